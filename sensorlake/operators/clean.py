@@ -76,9 +76,12 @@ def _segments(seq: DataFrame, features: list[str], group_cols: list[str]) -> Dat
         aggs += [F.min(known).alias(f"_first_{f}"), F.max(known).alias(f"_last_{f}")]
     seg = seq.groupBy(*seg_keys).agg(*aggs)
 
-    w = Window.partitionBy(*group_cols).orderBy(_PID) if group_cols else Window.orderBy(_PID)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
+    # running frames only: a frame that ends at "unbounded following" is
+    # re-evaluated per row in Spark, so "next" is a running frame in reverse order
+    fwd = Window.partitionBy(*group_cols).orderBy(_PID) if group_cols else Window.orderBy(_PID)
+    rev = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy(F.col(_PID).desc())
+    before = fwd.rowsBetween(Window.unboundedPreceding, -1)
+    after = rev.rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
 
     def to_pos(s: Column) -> Column:
@@ -91,7 +94,7 @@ def _segments(seq: DataFrame, features: list[str], group_cols: list[str]) -> Dat
                .withColumn(f"_lastp_{f}", to_pos(F.col(f"_last_{f}"))))
     for f in features:
         seg = (seg.withColumn(f"_carry_prev_{f}", F.last(f"_lastp_{f}", ignorenulls=True).over(before))
-               .withColumn(f"_carry_next_{f}", F.first(f"_firstp_{f}", ignorenulls=True).over(after)))
+               .withColumn(f"_carry_next_{f}", F.last(f"_firstp_{f}", ignorenulls=True).over(after)))
         cols += [f"_carry_prev_{f}", f"_carry_next_{f}"]
     return seg.select(*cols)
 
@@ -159,15 +162,16 @@ def interpolate_sequenced(seq: DataFrame, features: list[str] = FEATURES,
     joined = _with_segments(seq, features, group_cols)
     pos = (F.col(_MID) - F.col("_mid0") + F.col("_off") + 1)
     joined = joined.withColumn("_pos", pos)
-    w = Window.partitionBy(_PID, *group_cols).orderBy(_MID)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    onward = w.rowsBetween(0, Window.unboundedFollowing)
+    upto = Window.partitionBy(_PID, *group_cols).orderBy(_MID).rowsBetween(Window.unboundedPreceding, 0)
+    # "from here on" as a running frame over the reversed order (linear, not quadratic)
+    onward = Window.partitionBy(_PID, *group_cols).orderBy(F.col(_MID).desc()).rowsBetween(
+        Window.unboundedPreceding, 0)
     out = joined
     for f in features:
         known = F.when(F.col(f).isNotNull(), F.struct(F.col("_pos").alias("i"), F.col(f).alias("v")))
         out = (out.withColumn(f"_p_{f}", F.coalesce(F.last(known, ignorenulls=True).over(upto),
                                                      F.col(f"_carry_prev_{f}")))
-               .withColumn(f"_q_{f}", F.coalesce(F.first(known, ignorenulls=True).over(onward),
+               .withColumn(f"_q_{f}", F.coalesce(F.last(known, ignorenulls=True).over(onward),
                                                   F.col(f"_carry_next_{f}"))))
     for f in features:
         p, q = F.col(f"_p_{f}"), F.col(f"_q_{f}")

@@ -24,7 +24,15 @@ LIGHT_ON_EVENT = "view"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The driver's ``events`` table. It is one parquet file with a single row
+    group, i.e. one scan task; it is spread over the cluster's cores so that
+    line encoding and parsing do not run in a single task (landing zones of
+    many files are already read in parallel)."""
+    df = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _d(x: Column, p: int, s: int) -> Column:
