@@ -22,12 +22,24 @@ from sensorlake.operators.store import (append_new, date_bounds, storage_cast, s
 from sensorlake.schemas import FEATURES, MART_NAMES, MINUTE_TABLE, MINUTE_TABLE_NAME, mart_schema
 from sensorlake.sources.landing import history_to_lines, read_history_csv, read_landing, write_landing
 from sensorlake.sources.tables import Lakehouse
+from sensorlake.session import ensure_checkpoint_dir
 
 # Tie-break of the pooled time order: the reference sorts on time only
 # (unstable); we add device, file and the raw line so results are repeatable.
 ORDER_COLS = ["timestamp", "device_id", "file_name", "raw_line"]
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """Materialize ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Used where a result is read several times (bounds, anti-join, rejects):
+    it is computed once, survives the loss of an executor, and later plans
+    start from a plain scan instead of a deep expression tree (constraint
+    inference over 35 derived mart columns grows very large otherwise)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def minute_batch(lines: DataFrame, watermark: _dt.datetime | None = None, clean: bool = True,
                  group_cols: list[str] | None = None, exact_quantiles: bool = True,
                  num_partitions: int | None = None) -> DataFrame:
@@ -53,7 +65,9 @@ def run_minute(spark: SparkSession, lake: Lakehouse, landing_path: str, clean: b
     wm = latest_timestamp(table)
     lines = read_landing(spark, landing_path, since=wm)
     minutes = minute_batch(lines, wm, clean, group_cols, exact_quantiles)
-    cast = storage_cast(minutes, MINUTE_TABLE)
+    # pin the typed minute rows once: the date bounds, the anti-join and the
+    # reject report all read them, and the cut lineage keeps the plans small
+    cast = pinned(storage_cast(minutes, MINUTE_TABLE))
     ok = stored_rows(cast)
     bounds = date_bounds(ok)
     new = append_new(ok, table, bounds=bounds)
@@ -107,7 +121,7 @@ def run_hour(spark: SparkSession, lake: Lakehouse, lookback_days: int = 7,
     try:
         bounds = date_bounds(stats)
         for name, mart in all_marts(stats).items():
-            cast = storage_cast(mart, mart_schema(name))
+            cast = pinned(storage_cast(mart, mart_schema(name)))
             new = append_new(stored_rows(cast), lake.read(name), bounds=bounds)
             lake.append(name, with_partition_columns(new, seq))
             rejects[name] = storage_rejects(cast)

@@ -108,7 +108,7 @@ def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path
     stored keys (a replayed batch appends nothing twice) and the rest is
     written as the pending rows of the next batch."""
     from sensorlake.operators.slices import full_periods
-    from sensorlake.plans.jobs import ORDER_COLS
+    from sensorlake.plans.jobs import ORDER_COLS, pinned
     from sensorlake.operators.clean import clean_batch
     from sensorlake.operators.rollup import minute_rollup
 
@@ -132,7 +132,7 @@ def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path
         if clean:
             complete = clean_batch(complete, ORDER_COLS, FEATURES, group_cols)
         minutes = minute_rollup(complete, with_count=False)
-        ok = stored_rows(storage_cast(minutes, MINUTE_TABLE))
+        ok = stored_rows(pinned(storage_cast(minutes, MINUTE_TABLE)))
         table = lake.read(MINUTE_TABLE_NAME)
         new = append_new(ok, table, bounds=date_bounds(ok))
         lake.append(MINUTE_TABLE_NAME, with_partition_columns(new, batch_id))
