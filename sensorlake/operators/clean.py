@@ -120,16 +120,23 @@ def row_index(df: DataFrame, order_cols: list[str], group_cols: list[str] | None
 
 def batch_quantiles(df: DataFrame, features: list[str] = FEATURES, probs=(0.01, 0.99),
                     group_cols: list[str] | None = None, exact: bool = True,
-                    accuracy: int = 100_000) -> DataFrame:
+                    method: str = "sort", accuracy: int = 100_000) -> DataFrame:
     """AG9: per-feature quantiles of the batch (pooled, or per group), missing
-    values skipped, linear interpolation between order statistics.
-
-    ``exact=True`` uses ``percentile`` (exact, merges per-value counts);
-    ``exact=False`` uses the bounded-memory ``percentile_approx`` sketch.
-    Output columns ``{feature}_lo`` / ``{feature}_hi``.
+    values skipped, linear interpolation between order statistics
+    (``pos = p * (n - 1)``). Output columns ``{feature}_lo`` / ``{feature}_hi``.
+
+    * ``method="sort"`` (default, exact): all features are stacked into one
+      (feature, value) column and range-sorted once; the two order statistics
+      around each position are picked by global row index. Memory per task is
+      bounded by the partition size, whatever the number of distinct values.
+    * ``method="percentile"`` (exact): Spark's ``percentile``; its final merge
+      holds a count per distinct value in one task - for small batches only.
+    * ``exact=False``: the bounded ``percentile_approx`` sketch.
     """
     group_cols = list(group_cols or [])
     ps = [float(p) for p in probs]
+    if exact and method == "sort":
+        return _sorted_quantiles(df, features, ps, group_cols)
     aggs = []
     for f in features:
         if exact:
@@ -140,6 +147,51 @@ def batch_quantiles(df: DataFrame, features: list[str] = FEATURES, probs=(0.01,
     return df.groupBy(*group_cols).agg(*aggs)
 
 
+def _sorted_quantiles(df: DataFrame, features: list[str], ps: list[float], group_cols: list[str]) -> DataFrame:
+    """Exact quantiles by one distributed sort of the stacked feature values."""
+    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"))
+                                for f in features])).alias("_c")
+    stacked = (df.select(*group_cols, cells).select(*group_cols, "_c.feature", "_c.v")
+               .where(F.col("v").isNotNull() & ~F.isnan("v")))
+    keys = group_cols + ["feature"]
+    idx = row_index(stacked, ["v"], keys)
+    # per (group, feature): n, then the 1-based ranks around each position
+    targets = idx.groupBy(*keys).agg(F.max("row_idx").alias("n"))
+    for i, p in enumerate(ps):
+        pos = F.lit(p) * (F.col("n") - 1).cast("double")
+        targets = (targets.withColumn(f"_pos{i}", pos)
+                   .withColumn(f"_lo{i}", F.floor(pos).cast("long") + 1)
+                   .withColumn(f"_hi{i}", F.ceil(pos).cast("long") + 1))
+    bounded = not group_cols  # pooled: one row per feature
+    picked = join_small(idx, targets, keys, bounded=bounded)
+    wanted = F.lit(False)
+    for i in range(len(ps)):
+        wanted = wanted | (F.col("row_idx") == F.col(f"_lo{i}")) | (F.col("row_idx") == F.col(f"_hi{i}"))
+    picked = picked.where(wanted)
+    aggs = []
+    for i in range(len(ps)):
+        lo_v = F.max(F.when(F.col("row_idx") == F.col(f"_lo{i}"), F.col("v")))
+        hi_v = F.max(F.when(F.col("row_idx") == F.col(f"_hi{i}"), F.col("v")))
+        aggs += [lo_v.alias(f"_vlo{i}"), hi_v.alias(f"_vhi{i}"), F.first(f"_pos{i}").alias(f"_pos{i}"),
+                 F.first(f"_lo{i}").alias(f"_lo{i}"), F.first(f"_hi{i}").alias(f"_hi{i}")]
+    per = picked.groupBy(*keys).agg(*aggs)
+    names = ["lo", "hi"] if len(ps) == 2 else [str(i) for i in range(len(ps))]
+    outs = []
+    for i, name in enumerate(names):
+        lo_r, hi_r, pos = F.col(f"_lo{i}") - 1, F.col(f"_hi{i}") - 1, F.col(f"_pos{i}")
+        vlo, vhi = F.col(f"_vlo{i}"), F.col(f"_vhi{i}")
+        value = F.when((lo_r == hi_r) | (vlo == vhi), vlo).otherwise(
+            (hi_r.cast("double") - pos) * vlo + (pos - lo_r.cast("double")) * vhi)
+        outs.append(value.alias(f"_q_{name}"))
+    per = per.select(*keys, *outs)
+    # one row per group: pivot the features into {feature}_{lo,hi}
+    aggs = [F.max(F.when(F.col("feature") == f, F.col(f"_q_{name}"))).alias(f"{f}_{name}")
+            for f in features for name in names]
+    if group_cols:
+        return per.groupBy(*group_cols).agg(*aggs)
+    return per.agg(*aggs)
+
+
 def clip_outliers(df: DataFrame, limits: DataFrame, features: list[str] = FEATURES,
                   group_cols: list[str] | None = None) -> DataFrame:
     """FL6/SF10: values strictly outside [lo, hi] become missing."""
