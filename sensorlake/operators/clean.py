@@ -118,9 +118,14 @@ def row_index(df: DataFrame, order_cols: list[str], group_cols: list[str] | None
     return joined.withColumn(out_col, pos).select(*df.columns, out_col)
 
 
+# Row bound under which the single-reducer exact ``percentile`` is used: its
+# final merge keeps one count per distinct value per feature in one task.
+PERCENTILE_MAX_ROWS = 2_000_000
+
+
 def batch_quantiles(df: DataFrame, features: list[str] = FEATURES, probs=(0.01, 0.99),
                     group_cols: list[str] | None = None, exact: bool = True,
-                    method: str = "sort", accuracy: int = 100_000) -> DataFrame:
+                    method: str = "auto", accuracy: int = 100_000) -> DataFrame:
     """AG9: per-feature quantiles of the batch (pooled, or per group), missing
     values skipped, linear interpolation between order statistics
     (``pos = p * (n - 1)``). Output columns ``{feature}_lo`` / ``{feature}_hi``.
@@ -132,21 +137,31 @@ def batch_quantiles(df: DataFrame, features: list[str] = FEATURES, probs=(0.01,
     * ``method="percentile"`` (exact): Spark's ``percentile``; its final merge
       holds a count per distinct value in one task - for small batches only.
     * ``exact=False``: the bounded ``percentile_approx`` sketch.
+    * ``method="auto"``: counts the rows and takes ``percentile`` up to
+      ``PERCENTILE_MAX_ROWS`` (fewer jobs on small batches), ``sort`` beyond.
     """
     group_cols = list(group_cols or [])
     ps = [float(p) for p in probs]
+    if exact and method == "auto":
+        method = "percentile" if df.count() <= PERCENTILE_MAX_ROWS else "sort"
     if exact and method == "sort":
         return _sorted_quantiles(df, features, ps, group_cols)
+    names = _quantile_names(ps)
     aggs = []
     for f in features:
         if exact:
             q = F.percentile(F.col(f), F.array(*[F.lit(p) for p in ps]))
         else:
             q = F.percentile_approx(F.col(f), ps, accuracy)
-        aggs += [q[0].alias(f"{f}_lo"), q[1].alias(f"{f}_hi")]
+        aggs += [q[i].alias(f"{f}_{name}") for i, name in enumerate(names)]
     return df.groupBy(*group_cols).agg(*aggs)
 
 
+def _quantile_names(ps: list[float]) -> list[str]:
+    """Output suffixes: ``lo``/``hi`` for a (low, high) pair, else 0, 1, ..."""
+    return ["lo", "hi"] if len(ps) == 2 else [str(i) for i in range(len(ps))]
+
+
 def _sorted_quantiles(df: DataFrame, features: list[str], ps: list[float], group_cols: list[str]) -> DataFrame:
     """Exact quantiles by one distributed sort of the stacked feature values."""
     cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"))
@@ -175,7 +190,7 @@ def _sorted_quantiles(df: DataFrame, features: list[str], ps: list[float], group
         aggs += [lo_v.alias(f"_vlo{i}"), hi_v.alias(f"_vhi{i}"), F.first(f"_pos{i}").alias(f"_pos{i}"),
                  F.first(f"_lo{i}").alias(f"_lo{i}"), F.first(f"_hi{i}").alias(f"_hi{i}")]
     per = picked.groupBy(*keys).agg(*aggs)
-    names = ["lo", "hi"] if len(ps) == 2 else [str(i) for i in range(len(ps))]
+    names = _quantile_names(ps)
     outs = []
     for i, name in enumerate(names):
         lo_r, hi_r, pos = F.col(f"_lo{i}") - 1, F.col(f"_hi{i}") - 1, F.col(f"_pos{i}")

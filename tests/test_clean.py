@@ -72,3 +72,20 @@ def test_quantiles_and_clip(spark):
     assert (lim["x_lo"], lim["x_hi"]) == (1.0, 99.0)
     clipped = clip_outliers(df, batch_quantiles(df, ["x"]), ["x"]).orderBy("t").collect()
     assert clipped[0]["x"] is None and clipped[100]["x"] is None and clipped[50]["x"] == 50.0
+
+
+def test_sorted_quantiles_equal_percentile(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(i), ["a", "b", "c"][i % 3], float(v) if i % 11 else None, float(round(w, 1)))
+            for i, (v, w) in enumerate(zip(rng.normal(size=500), rng.normal(size=500) * 10))]
+    df = spark.createDataFrame(rows, "t long, device_id string, x double, y double")
+    for group in (None, ["device_id"]):
+        a = batch_quantiles(df, ["x", "y"], (0.01, 0.5, 0.99), group_cols=group, method="sort")
+        b = batch_quantiles(df, ["x", "y"], (0.01, 0.5, 0.99), group_cols=group, method="percentile")
+        key = group or []
+        ra = sorted(tuple(r) for r in a.select(*key, "x_0", "x_1", "x_2", "y_0", "y_1", "y_2").collect())
+        rb = sorted(tuple(r) for r in b.select(*key, *[F.col(c) for c in b.columns if c not in key]).collect())
+        assert len(ra) == len(rb)
+        for u, v in zip(ra, rb):
+            for p, q in zip(u, v):
+                assert p == q or abs(p - q) <= 1e-12 * max(1.0, abs(q)), (group, u, v)
