@@ -76,25 +76,28 @@ def _segments(seq: DataFrame, features: list[str], group_cols: list[str]) -> Dat
         aggs += [F.min(known).alias(f"_first_{f}"), F.max(known).alias(f"_last_{f}")]
     seg = seq.groupBy(*seg_keys).agg(*aggs)
 
-    # running frames only: a frame that ends at "unbounded following" is
-    # re-evaluated per row in Spark, so "next" is a running frame in reverse order
+    # running frames only (a frame ending at "unbounded following" is
+    # re-evaluated per row); "next" is a running frame in reverse order. All
+    # expressions of one frame go into one select, so each order is one sort.
     fwd = Window.partitionBy(*group_cols).orderBy(_PID) if group_cols else Window.orderBy(_PID)
     rev = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy(F.col(_PID).desc())
     before = fwd.rowsBetween(Window.unboundedPreceding, -1)
     after = rev.rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+    seg = seg.select("*", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
 
     def to_pos(s: Column) -> Column:
         return F.when(s.isNotNull(), F.struct(
             (s["m"] - F.col("_mid0") + F.col("_off") + 1).alias("i"), s["v"].alias("v")))
 
+    seg = seg.select(*seg_keys, "_mid0", "_off",
+                     *[to_pos(F.col(f"_first_{f}")).alias(f"_firstp_{f}") for f in features],
+                     *[to_pos(F.col(f"_last_{f}")).alias(f"_lastp_{f}") for f in features])
+    seg = seg.select("*", *[F.last(f"_lastp_{f}", ignorenulls=True).over(before).alias(f"_carry_prev_{f}")
+                            for f in features])
+    seg = seg.select("*", *[F.last(f"_firstp_{f}", ignorenulls=True).over(after).alias(f"_carry_next_{f}")
+                            for f in features])
     cols = seg_keys + ["_mid0", "_off"]
     for f in features:
-        seg = (seg.withColumn(f"_firstp_{f}", to_pos(F.col(f"_first_{f}")))
-               .withColumn(f"_lastp_{f}", to_pos(F.col(f"_last_{f}"))))
-    for f in features:
-        seg = (seg.withColumn(f"_carry_prev_{f}", F.last(f"_lastp_{f}", ignorenulls=True).over(before))
-               .withColumn(f"_carry_next_{f}", F.last(f"_firstp_{f}", ignorenulls=True).over(after)))
         cols += [f"_carry_prev_{f}", f"_carry_next_{f}"]
     return seg.select(*cols)
 
@@ -233,13 +236,19 @@ def interpolate_sequenced(seq: DataFrame, features: list[str] = FEATURES,
     # "from here on" as a running frame over the reversed order (linear, not quadratic)
     onward = Window.partitionBy(_PID, *group_cols).orderBy(F.col(_MID).desc()).rowsBetween(
         Window.unboundedPreceding, 0)
-    out = joined
-    for f in features:
-        known = F.when(F.col(f).isNotNull(), F.struct(F.col("_pos").alias("i"), F.col(f).alias("v")))
-        out = (out.withColumn(f"_p_{f}", F.coalesce(F.last(known, ignorenulls=True).over(upto),
-                                                     F.col(f"_carry_prev_{f}")))
-               .withColumn(f"_q_{f}", F.coalesce(F.last(known, ignorenulls=True).over(onward),
-                                                  F.col(f"_carry_next_{f}"))))
+
+    def known(f: str) -> Column:
+        return F.when(F.col(f).isNotNull(), F.struct(F.col("_pos").alias("i"), F.col(f).alias("v")))
+
+    # one select per frame: two window operators (one sort each) for all features
+    out = joined.select("*", *[F.last(known(f), ignorenulls=True).over(upto).alias(f"_pw_{f}")
+                               for f in features])
+    out = out.select("*", *[F.last(known(f), ignorenulls=True).over(onward).alias(f"_qw_{f}")
+                            for f in features])
+    out = out.select("*", *[F.coalesce(F.col(f"_pw_{f}"), F.col(f"_carry_prev_{f}")).alias(f"_p_{f}")
+                            for f in features],
+                     *[F.coalesce(F.col(f"_qw_{f}"), F.col(f"_carry_next_{f}")).alias(f"_q_{f}")
+                       for f in features])
     for f in features:
         p, q = F.col(f"_p_{f}"), F.col(f"_q_{f}")
         slope = (q["v"] - p["v"]) / (q["i"] - p["i"]).cast("double")
