@@ -271,7 +271,7 @@ def interpolate(df: DataFrame, order_cols: list[str], features: list[str] = FEAT
 
 def clean_batch(df: DataFrame, order_cols: list[str], features: list[str] = FEATURES,
                 group_cols: list[str] | None = None, exact_quantiles: bool = True,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, keep_index: str | None = None) -> DataFrame:
     """AG9 -> FL6 -> WN5 in one plan: the batch is sequenced (and pinned) once,
     quantiles are taken from the pinned rows, clipping keeps the segment
     columns, and interpolation runs on the clipped rows."""
@@ -285,4 +285,4 @@ def clean_batch(df: DataFrame, order_cols: list[str], features: list[str] = FEAT
         clipped = clipped.withColumn(f, F.when((x < F.col(f"{f}_lo")) | (x > F.col(f"{f}_hi")),
                                                F.lit(None).cast("double")).otherwise(x))
     clipped = clipped.select(*seq.columns)
-    return interpolate_sequenced(clipped, features, group_cols)
+    return interpolate_sequenced(clipped, features, group_cols, keep_index)

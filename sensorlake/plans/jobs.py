@@ -48,6 +48,10 @@ def minute_batch(lines: DataFrame, watermark: _dt.datetime | None = None, clean:
     if "file_name" not in lines.columns:
         lines = lines.withColumn("file_name", F.lit(""))
     rows = accepted(parse_lines(lines, keep=["file_name"]))
+    if clean:
+        # the cleaning reads the batch several times (cut, range sampling,
+        # shuffle): parse the text once and read the pinned rows after that
+        rows = pinned(rows)
     # FL4: the cut uses the max over the whole batch, before the lower bound
     rows = after_watermark(full_periods(rows, "minute"), watermark)
     if clean:

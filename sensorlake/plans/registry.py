@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorlake.functions.columns import file_name_timestamp, floor_minute, timestamp_text
-from sensorlake.operators.clean import batch_quantiles, clip_outliers, interpolate, row_index
+from sensorlake.operators.clean import batch_quantiles, clean_batch, clip_outliers, row_index
 from sensorlake.operators.marts import (average_mart, count_mart, extreme_mart, hourly_stats, ml_mart,
                                         with_changes)
 from sensorlake.operators.parse import accepted, parse_lines, reject_counts
@@ -120,17 +120,14 @@ def q_outlier_clip(spark, sf_dir):
 
 
 def q_interpolate_pooled(spark, sf_dir):
-    acc = accepted_rows(spark, sf_dir)
-    clipped = clip_outliers(acc, batch_quantiles(acc, FEATURES))
-    out = interpolate(clipped, ["timestamp", "device_id", "raw_line"], FEATURES, keep_index="row_idx")
+    out = clean_batch(accepted_rows(spark, sf_dir), ["timestamp", "device_id", "raw_line"], FEATURES,
+                      keep_index="row_idx")
     return rounded(out.select("event_id", "row_idx", *FEATURES))
 
 
 def q_interpolate_per_device(spark, sf_dir):
-    acc = accepted_rows(spark, sf_dir)
-    dev = ["device_id"]
-    clipped = clip_outliers(acc, batch_quantiles(acc, FEATURES, group_cols=dev), group_cols=dev)
-    out = interpolate(clipped, ["timestamp", "raw_line"], FEATURES, group_cols=dev, keep_index="row_idx")
+    out = clean_batch(accepted_rows(spark, sf_dir), ["timestamp", "raw_line"], FEATURES,
+                      group_cols=["device_id"], keep_index="row_idx")
     return rounded(out.select("event_id", "device_id", "row_idx", *FEATURES))
 
 
