@@ -29,6 +29,11 @@ from sensorlake.session import ensure_checkpoint_dir
 ORDER_COLS = ["timestamp", "device_id", "file_name", "raw_line"]
 
 
+# Marts wider than this are pinned before their anti-join append (the
+# optimizer's constraint inference over many derived columns grows very large).
+WIDE_MART_COLUMNS = 16
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared checkpoint folder and cut its lineage.
 
@@ -125,7 +130,9 @@ def run_hour(spark: SparkSession, lake: Lakehouse, lookback_days: int = 7,
     try:
         bounds = date_bounds(stats)
         for name, mart in all_marts(stats).items():
-            cast = pinned(storage_cast(mart, mart_schema(name)))
+            cast = storage_cast(mart, mart_schema(name))
+            if len(cast.columns) > WIDE_MART_COLUMNS:
+                cast = pinned(cast)
             new = append_new(stored_rows(cast), lake.read(name), bounds=bounds)
             lake.append(name, with_partition_columns(new, seq))
             rejects[name] = storage_rejects(cast)
