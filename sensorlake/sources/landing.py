@@ -77,8 +77,11 @@ def write_landing(lines: DataFrame, path: str, index_col: str = "row_idx",
     order) as files of at most ``batch_size`` records, one file per batch,
     each in a ``batch=<label of its last record>`` directory."""
     labels = batch_labels(lines, [index_col], index_col, batch_size)
+    # the label's time part 'HH:mm:ss' becomes 'HH_mm_ss': ':' is not a
+    # portable path character (file sources cannot read it back)
+    labels = labels.select("batch_no", F.regexp_replace("batch", ":", "_").alias("batch"))
     batched = lines.withColumn("batch_no", F.floor((F.col(index_col) - 1) / batch_size))
-    out = (batched.join(labels.select("batch_no", "batch"), "batch_no")
+    out = (batched.join(labels, "batch_no")
            .repartition("batch")                      # one task, one file per batch
            .sortWithinPartitions("batch", index_col)
            .select("value", "batch"))
@@ -87,9 +90,14 @@ def write_landing(lines: DataFrame, path: str, index_col: str = "row_idx",
 
 
 def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
-    """SC4: headered historical CSV, columns resolved by header name."""
-    return (spark.read.schema(HISTORY_CSV).option("header", True)
-            .option("enforceSchema", False).csv(path))
+    """SC4: headered historical CSV, columns resolved by header name (the
+    column order of the file is not known), typed by ``HISTORY_CSV``."""
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    present = {c.lower(): c for c in raw.columns}
+    return raw.select(*[
+        (F.col(f"`{present[f.name]}`").try_cast(f.dataType) if f.name in present
+         else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in HISTORY_CSV.fields])
 
 
 def history_to_lines(history: DataFrame, keep: list[str] | None = None) -> DataFrame:
