@@ -50,19 +50,22 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], bounded: bool =
 
 
 def sequence(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None,
-             num_partitions: int | None = None) -> DataFrame:
+             num_partitions: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """ST1: range-partition and sort by ``group_cols + order_cols`` and pin
     ``_pid`` (partition id) and ``_mid`` (increasing id inside the partition)
-    with a reliable checkpoint, so later passes see the same positions."""
+    with a reliable checkpoint, so later passes see the same positions.
+    ``keep`` (default: all) lists the columns written with them; columns used
+    only for ordering (e.g. the raw line as last tie-break) can be left out."""
     group_cols = list(group_cols or [])
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = group_cols + list(order_cols)
+    keep = list(keep) if keep is not None else list(df.columns)
+    keep = keep + [c for c in group_cols if c not in keep]
     ensure_checkpoint_dir(spark)
     ordered = (df.repartitionByRange(n, *key)
                .sortWithinPartitions(*key)
-               .withColumn(_PID, F.spark_partition_id())
-               .withColumn(_MID, F.monotonically_increasing_id()))
+               .select(*keep, F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID)))
     return ordered.checkpoint(eager=True)
 
 
@@ -226,28 +229,38 @@ def clip_outliers(df: DataFrame, limits: DataFrame, features: list[str] = FEATUR
 def interpolate_sequenced(seq: DataFrame, features: list[str] = FEATURES,
                           group_cols: list[str] | None = None, keep_index: str | None = None) -> DataFrame:
     """WN5 on a frame from ``sequence``: linear interpolation by row position;
-    leading gaps stay missing, trailing gaps take the last known value."""
+    leading gaps stay missing, trailing gaps take the last known value.
+
+    The two window passes run on the rows as they are (neighbours found by
+    ``_mid``); the small per-segment table (offsets, carried neighbours) is
+    joined afterwards, so the sorts do not carry it."""
     group_cols = list(group_cols or [])
     base_cols = [c for c in seq.columns if c not in (_PID, _MID)]
-    joined = _with_segments(seq, features, group_cols)
-    pos = (F.col(_MID) - F.col("_mid0") + F.col("_off") + 1)
-    joined = joined.withColumn("_pos", pos)
-    upto = Window.partitionBy(_PID, *group_cols).orderBy(_MID).rowsBetween(Window.unboundedPreceding, 0)
+    part = Window.partitionBy(_PID, *group_cols)
+    upto = part.orderBy(_MID).rowsBetween(Window.unboundedPreceding, 0)
     # "from here on" as a running frame over the reversed order (linear, not quadratic)
-    onward = Window.partitionBy(_PID, *group_cols).orderBy(F.col(_MID).desc()).rowsBetween(
-        Window.unboundedPreceding, 0)
+    onward = part.orderBy(F.col(_MID).desc()).rowsBetween(Window.unboundedPreceding, 0)
 
     def known(f: str) -> Column:
-        return F.when(F.col(f).isNotNull(), F.struct(F.col("_pos").alias("i"), F.col(f).alias("v")))
+        return F.when(F.col(f).isNotNull(), F.struct(F.col(_MID).alias("m"), F.col(f).alias("v")))
 
     # one select per frame: two window operators (one sort each) for all features
-    out = joined.select("*", *[F.last(known(f), ignorenulls=True).over(upto).alias(f"_pw_{f}")
-                               for f in features])
+    out = seq.select("*", *[F.last(known(f), ignorenulls=True).over(upto).alias(f"_pw_{f}")
+                            for f in features])
     out = out.select("*", *[F.last(known(f), ignorenulls=True).over(onward).alias(f"_qw_{f}")
                             for f in features])
-    out = out.select("*", *[F.coalesce(F.col(f"_pw_{f}"), F.col(f"_carry_prev_{f}")).alias(f"_p_{f}")
-                            for f in features],
-                     *[F.coalesce(F.col(f"_qw_{f}"), F.col(f"_carry_next_{f}")).alias(f"_q_{f}")
+    out = join_small(out, _segments(seq, features, group_cols).persist() if group_cols
+                     else _segments(seq, features, group_cols), [_PID] + group_cols, bounded=not group_cols)
+    pos = F.col(_MID) - F.col("_mid0") + F.col("_off") + 1
+
+    def in_group(w: Column) -> Column:
+        return F.when(w.isNotNull(), F.struct((w["m"] - F.col("_mid0") + F.col("_off") + 1).alias("i"),
+                                               w["v"].alias("v")))
+
+    out = out.select("*", pos.alias("_pos"),
+                     *[F.coalesce(in_group(F.col(f"_pw_{f}")), F.col(f"_carry_prev_{f}")).alias(f"_p_{f}")
+                       for f in features],
+                     *[F.coalesce(in_group(F.col(f"_qw_{f}")), F.col(f"_carry_next_{f}")).alias(f"_q_{f}")
                        for f in features])
     for f in features:
         p, q = F.col(f"_p_{f}"), F.col(f"_q_{f}")
@@ -269,6 +282,11 @@ def interpolate(df: DataFrame, order_cols: list[str], features: list[str] = FEAT
     return interpolate_sequenced(seq, features, group_cols, keep_index)
 
 
+# order columns that are also data (kept after sequencing); the rest of the
+# order key (file name, raw line) only breaks ties and is dropped before the pin
+KEEP_ORDER_COLS = ("timestamp", "device_id")
+
+
 def clean_batch(df: DataFrame, order_cols: list[str], features: list[str] = FEATURES,
                 group_cols: list[str] | None = None, exact_quantiles: bool = True,
                 num_partitions: int | None = None, keep_index: str | None = None) -> DataFrame:
@@ -276,7 +294,8 @@ def clean_batch(df: DataFrame, order_cols: list[str], features: list[str] = FEAT
     quantiles are taken from the pinned rows, clipping keeps the segment
     columns, and interpolation runs on the clipped rows."""
     group_cols = list(group_cols or [])
-    seq = sequence(df, order_cols, group_cols, num_partitions)
+    keep = [c for c in df.columns if c not in order_cols or c in KEEP_ORDER_COLS]
+    seq = sequence(df, order_cols, group_cols, num_partitions, keep=keep)
     limits = batch_quantiles(seq, features, group_cols=group_cols, exact=exact_quantiles)
     joined = join_small(seq, limits, group_cols, bounded=not group_cols)
     clipped = joined
