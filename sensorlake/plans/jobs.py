@@ -16,7 +16,7 @@ from sensorlake.operators.clean import clean_batch
 from sensorlake.operators.marts import all_marts, hourly_stats
 from sensorlake.operators.parse import accepted, parse_lines, rejected
 from sensorlake.operators.rollup import minute_rollup
-from sensorlake.operators.slices import after_watermark, full_periods, latest_timestamp
+from sensorlake.operators.slices import after_watermark, full_periods
 from sensorlake.operators.store import (append_new, date_bounds, storage_cast, storage_rejects,
                                         stored_rows, with_partition_columns)
 from sensorlake.schemas import FEATURES, MART_NAMES, MINUTE_TABLE, MINUTE_TABLE_NAME, mart_schema
@@ -71,7 +71,7 @@ def run_minute(spark: SparkSession, lake: Lakehouse, landing_path: str, clean: b
     table. Returns the watermark used and the reject DataFrames."""
     lake.create(MINUTE_TABLE_NAME)
     table = lake.read(MINUTE_TABLE_NAME)
-    wm = latest_timestamp(table)
+    wm = lake.latest_timestamp(MINUTE_TABLE_NAME)
     lines = read_landing(spark, landing_path, since=wm)
     minutes = minute_batch(lines, wm, clean, group_cols, exact_quantiles)
     # pin the typed minute rows once: the date bounds, the anti-join and the
@@ -102,7 +102,7 @@ def _hour_scan_start(lake: Lakehouse, lookback_days: int) -> _dt.datetime | None
     holes in the others). The change feature needs every device's last stored
     hour again, so the bound is the oldest last hour among devices seen within
     ``lookback_days`` of the newest stored hour. None = scan everything."""
-    marks = [latest_timestamp(lake.read(t)) for t in MART_NAMES]
+    marks = [lake.latest_timestamp(t) for t in MART_NAMES]
     if any(m is None for m in marks):
         return None
     newest = max(marks)

@@ -8,6 +8,8 @@ row's timestamp), with an ``ingest_seq`` load id. The minute table is named
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,22 @@ class Lakehouse:
         return self.spark.catalog.tableExists(table, self.database) if self.database \
             else self.spark.catalog.tableExists(table)
 
+    # --- watermarks ------------------------------------------------------------------
+    def newest_partition(self, table: str):
+        """Newest ``dt`` partition from the catalog's partition list (metadata
+        only: one entry per day, no data file is opened). None when empty."""
+        parts = [r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()]
+        days = [p.split("=", 1)[1] for p in parts if p.startswith("dt=")]
+        return _dt.date.fromisoformat(max(days)) if days else None
+
+    def latest_timestamp(self, table: str) -> _dt.datetime | None:
+        """AG11: ``MAX(timestamp)`` read from the newest partition only."""
+        newest = self.newest_partition(table)
+        if newest is None:
+            return None
+        return (self.read(table).where(F.col("dt") == F.lit(newest))
+                .agg(F.max("timestamp").alias("wm")).first()["wm"])
+
     # --- scans and appends -------------------------------------------------------
     def read(self, table: str) -> DataFrame:
         """SC5/SC6: the table as a DataFrame (filters on ``timestamp`` and ``dt``
