@@ -21,9 +21,9 @@ __all__ = [
 def whitespace_tokens(line: Column) -> Column:
     """SF7: split a line on any run of whitespace, ignoring leading/trailing
     whitespace, like Python's ``str.split()``. A blank line gives []."""
-    stripped = F.regexp_replace(line, r"^\s+|\s+$", "")
-    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(
-        F.split(stripped, r"\s+"))
+    # one regex split; the only empty pieces are at the ends (leading or
+    # trailing whitespace, blank line), and array_remove drops them
+    return F.array_remove(F.split(line, r"\s+"), "")
 
 
 def line_timestamp(date_tok: Column, time_tok: Column) -> Column:
