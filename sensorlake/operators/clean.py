@@ -44,7 +44,10 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], bounded: bool =
     either bounded by construction (``bounded``) or counted below ``max_rows``."""
     if not on:
         return big.crossJoin(F.broadcast(small))
-    if bounded or small.count() <= max_rows:
+    if bounded:
+        return big.join(F.broadcast(small), on, how)
+    small = small.persist()  # counted once, then joined without recomputing it
+    if small.count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
@@ -107,8 +110,6 @@ def _segments(seq: DataFrame, features: list[str], group_cols: list[str]) -> Dat
 
 def _with_segments(seq: DataFrame, features: list[str], group_cols: list[str]) -> DataFrame:
     seg = _segments(seq, features, group_cols)
-    if group_cols:
-        seg = seg.persist()
     # pooled mode: one row per partition, a proven bound
     return join_small(seq, seg, [_PID] + group_cols, bounded=not group_cols)
 
@@ -249,8 +250,7 @@ def interpolate_sequenced(seq: DataFrame, features: list[str] = FEATURES,
                             for f in features])
     out = out.select("*", *[F.last(known(f), ignorenulls=True).over(onward).alias(f"_qw_{f}")
                             for f in features])
-    out = join_small(out, _segments(seq, features, group_cols).persist() if group_cols
-                     else _segments(seq, features, group_cols), [_PID] + group_cols, bounded=not group_cols)
+    out = join_small(out, _segments(seq, features, group_cols), [_PID] + group_cols, bounded=not group_cols)
     pos = F.col(_MID) - F.col("_mid0") + F.col("_off") + 1
 
     def in_group(w: Column) -> Column:
