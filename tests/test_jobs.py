@@ -114,3 +114,18 @@ def test_constraint_report(spark):
     got = {(r["column_name"], r["check_name"]): r["violations"]
            for r in constraint_violations(df, MINUTE_TABLE).collect()}
     assert got == {("device_id", "length"): 1, ("light", "domain"): 1, ("co", "range"): 1}
+
+
+def test_table_ddl_probe_and_drop(spark):
+    lake = Lakehouse(spark, "t_ddl")
+    lake.drop_all()
+    names = [MINUTE_TABLE_NAME, *MART_NAMES]
+    assert not any(lake.exists(t) for t in names)
+    lake.create_all()
+    lake.create_all()  # idempotent
+    assert all(lake.exists(t) for t in names)
+    assert lake.latest_timestamp(MINUTE_TABLE_NAME) is None
+    cols = lake.read("dm_iot_ml").columns
+    assert len(cols) == 35 + 2 and cols[-2:] == ["ingest_seq", "dt"]
+    lake.drop_all()
+    assert not any(lake.exists(t) for t in names)
