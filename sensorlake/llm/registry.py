@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import mixing, secrets, sharding
+from sensorlake.llm import mixing, secrets, setsketch, sharding
 from sensorlake.llm.scratch import pin
 
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents at 85 % of shared five-word shingles."""
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes from each document."""
     docs = _table(spark, sf_dir, "documents")
@@ -42,7 +47,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_mixing, op5_sharding, op7_secrets)}
+    return {f.__name__: f for f in (op3_near_duplicates, op4_mixing, op5_sharding, op7_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
