@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import mixing, secrets, setsketch, sharding
+from sensorlake.llm import bpe, mixing, secrets, setsketch, sharding, tokenfile
 from sensorlake.llm.scratch import pin
 
 
@@ -15,6 +15,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at 85 % of shared five-word shingles."""
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
@@ -36,6 +42,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_tokens(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """All documents' ids, written to a token file and read back through its index."""
+    segments = tokenfile.write_tokens(_table(spark, sf_dir, "documents"), vocabulary or _vocabulary())
+    return tokenfile.read_documents(segments)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents: counts and spans of the base kinds, and all spans."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,8 +58,18 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.span_text(F.col("spans")).alias("spans"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """All documents encoded with a lexicon of their own frequent words, and decoded."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    codec = bpe.Codec.compile(docs, vocabulary or _vocabulary())
+    done = codec.decode(codec.encode(docs))
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_near_duplicates, op4_mixing, op5_sharding, op7_secrets)}
+    return {f.__name__: f for f in (op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import zipfile
@@ -11,6 +12,7 @@ from pyspark.sql import SparkSession
 import sensorlake
 
 _shipped: set[str] = set()
+_sent: set[tuple[str, str]] = set()
 
 
 def ship(spark: SparkSession) -> None:
@@ -28,3 +30,21 @@ def ship(spark: SparkSession) -> None:
                     out.write(path, os.path.join("sensorlake", os.path.relpath(path, home)))
     sc.addPyFile(archive)
     _shipped.add(sc.applicationId)
+
+
+def send(spark: SparkSession, path: str) -> str:
+    """Send a file to the executors, once for each application; its name for ``SparkFiles.get``.
+
+    The name holds a digest of the content, so different files never meet.
+    """
+    with open(path, "rb") as f:
+        raw = f.read()
+    name = hashlib.sha256(raw).hexdigest()[:24] + os.path.splitext(path)[1]
+    sc = spark.sparkContext
+    if (sc.applicationId, name) not in _sent:
+        copy = os.path.join(tempfile.mkdtemp(prefix="sensorlake-"), name)
+        with open(copy, "wb") as f:
+            f.write(raw)
+        sc.addFile(copy)
+        _sent.add((sc.applicationId, name))
+    return name
