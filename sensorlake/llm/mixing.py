@@ -91,13 +91,13 @@ def mix_counts(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, limit: floa
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = source_targets(sized.drop("row"), weights, share, limit).withColumn("_each", each)
     trials = [_offset(seed, i) for i in range(TRIALS)]
-    tried = running_total(sized.drop("row"), "_one", of, levels, ["_order"]).join(targets, of).groupBy(*of).agg(
+    tried = running_total(sized.drop("row"), "_one", of, levels, ["_order"], attach=targets).groupBy(*of).agg(
         F.first("target").alias("target"),
         *[F.sum(F.col("size") * _copies(F.col("before"), F.col("_each"), u)).alias(f"_words{i}") for i, u in enumerate(trials)])
     nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"_words{i}") - F.col("target")), F.lit(i), u.alias("offset"))
                                     for i, u in enumerate(trials)]))
     offsets = tried.select(*of, nearest["offset"].alias("_offset"))
-    mixed = running_total(sized, "_one", of, levels, ["_order"]).join(targets.join(offsets, of), of)
+    mixed = running_total(sized, "_one", of, levels, ["_order"], attach=targets.join(offsets, of))
     return mixed.select("row", "size", "source_size", "target", _copies(F.col("before"), F.col("_each"), F.col("_offset")).alias("copies"))
 
 

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 
 def running_total(df: DataFrame, value: str, within: list[str], levels: list[list[str]],
-                  order: list[str | Column], out: str = "before") -> DataFrame:
+                  order: list[str | Column], out: str = "before", attach: DataFrame | None = None) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows that precede a row within its group.
 
     Rows are ordered by the columns of ``levels``, level by level, and then by
     ``order``.  Only the rows of one innermost bucket (``within`` plus all levels)
     meet in a task; the buckets' sums are added up level by level, so a window
     sees one row for each bucket of its parent.  All key columns must be non-null.
+    ``attach`` (one row per ``within``) reaches the rows by way of the buckets, so that
+    no join deals the rows of a hot group to one task.
     """
     flat = [c for level in levels for c in level]
     sums = df.groupBy(*within, *flat).agg(F.sum(value).alias("_sum"))
@@ -22,7 +24,9 @@ def running_total(df: DataFrame, value: str, within: list[str], levels: list[lis
         here = sums if i == len(levels) - 1 else sums.groupBy(*keys, *level).agg(F.sum("_sum").alias("_sum"))
         over = Window.partitionBy(*keys).orderBy(*level).rowsBetween(Window.unboundedPreceding, -1)
         here = here.withColumn("_before", F.coalesce(F.sum("_sum").over(over), F.lit(0))).drop("_sum")
-        if offsets is not None:
+        if offsets is None:
+            here = here if attach is None else here.join(attach, within)
+        else:
             here = here.join(offsets, keys).withColumn("_before", F.col("_before") + F.col("_outer")).drop("_outer")
         keys += level
         offsets = here.withColumnRenamed("_before", "_outer")
