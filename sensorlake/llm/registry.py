@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe, mixing, secrets, setsketch, sharding, tokenfile
+from sensorlake.llm import bpe, mixing, secrets, setsketch, sharding, suffix, tokenfile
 from sensorlake.llm.scratch import pin
 
 
@@ -68,8 +68,13 @@ def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) ->
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 200-byte strings that start anywhere else too."""
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe)}
+    return {f.__name__: f for f in (op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
