@@ -291,7 +291,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     # the sets of the classes that are compared, from the texts of their first documents
     asked = pairs.select(F.explode(F.array("a", "b")).alias("key")).union(crowd.select("key")).distinct()
     firsts = pin(nodes.join(asked, "key").select("key", F.col("first_id").alias("doc_id")), "asked")
-    texts = body.join(firsts, "doc_id").select("key", "text")
+    texts = body.join(firsts.hint("merge"), "doc_id").select("key", "text")  # the asked grow with the documents
     sets = pin(texts.mapInArrow(shingle_sets, "key binary, shingles binary").groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
 
     one, two = (sets.select(F.col("key").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
