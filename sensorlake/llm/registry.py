@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe, mixing, secrets, setsketch, sharding, suffix, tokenfile
+from sensorlake.llm import ann, bpe, mixing, secrets, setsketch, sharding, suffix, tokenfile
 from sensorlake.llm.scratch import pin
 
 
@@ -21,6 +21,14 @@ def _vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every row whose id is divisible by 100."""
+    vectors = ann.vectors_of(_table(spark, sf_dir, "embeddings"))
+    shards = ann.shard_count(vectors)
+    index = pin(ann.build_index(vectors, shards), "ann-index")
+    return ann.search(index, vectors.where("vec_id % 100 = 0"), shards, k=10)
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at 85 % of shared five-word shingles."""
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
@@ -74,7 +82,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe, op10_repeats)}
+    return {f.__name__: f for f in (op1_neighbours, op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
