@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import ann, bpe, mixing, secrets, setsketch, sharding, suffix, tokenfile
+from sensorlake.llm import ann, bpe, gam, mixing, search, secrets, setsketch, sharding, suffix, tokenfile
 from sensorlake.llm.scratch import pin
 
 
@@ -29,6 +29,15 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(index, vectors.where("vec_id % 100 = 0"), shards, k=10)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, learned from the labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = gam.train(docs, _table(spark, sf_dir, "labels"))
+    scored = gam.score(docs, model, ["doc_id"])
+    return scored.select("row.doc_id", gam.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at 85 % of shared five-word shingles."""
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
@@ -76,13 +85,19 @@ def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) ->
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents, by BM25, for the words of every document whose id is divisible by 100."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.Index.build(docs).search(docs.where("doc_id % 100 = 0"), k=10)
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of 200-byte strings that start anywhere else too."""
     return suffix.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_neighbours, op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe, op10_repeats)}
+    return {f.__name__: f for f in (op1_neighbours, op2_quality, op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe, op9_search, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
