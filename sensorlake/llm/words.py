@@ -29,6 +29,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def lower(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z as a-z."""
+    return _LOWER[data]
+
+
 def powers(n: int, base: int = _BASE) -> np.ndarray:
     """``base ** 0 .. base ** (n - 1)`` modulo 2**64."""
     out = np.ones(max(n, 1), np.uint64)
