@@ -5,10 +5,9 @@ minimal acyclic automaton: words share prefixes and suffixes, and the numbers on
 word's path add up to its place in a table of id sequences.  The automaton is one array
 file that executors receive once and memory-map; a batch's distinct words walk it
 together, a byte at a time.  Words that it does not know are normalized and cut by the
-vocabulary's own rules and merged here exactly, by rank.
+vocabulary's own rules and merged here exactly, by rank, all words of a batch in step.
 
-Texts are cut at spaces, tabs, line feeds and carriage returns first.  No token of these
-vocabularies spans one of them, so the ids of a text are those of its words in order.
+What a word is, and how a text's ids follow from its words', is said in ``wordids``.
 
 Vocabulary files: ``tokenizers`` BPE with NFC, white space to blanks, lower case, a
 splitting expression, byte-level letters, an end-of-word suffix and no decoder.
@@ -24,7 +23,6 @@ import json
 import os
 import re
 import tempfile
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,20 +33,35 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sensorlake.llm import words as W
+from sensorlake.llm.scratch import pin
 from sensorlake.llm.ship import send, ship
+from sensorlake.llm.wordids import LETTER, POINT, WordEncoder, cut_words, spread
 
 LEXICON_WORDS, LONGEST = 32_768, 48
-CACHE_WORDS = 100_000
-SLICE = 4 << 20
-SPACES = " \t\n\r"
+SLICE = 2 << 20
 
 
-def split_words(text: str) -> list[str]:
-    """The text cut at SPACES; empty strings stand between adjoining ones."""
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+# ---- the vocabulary -------------------------------------------------------------------------
 
+def byte_letters() -> list[str]:
+    """The letter of each byte: itself where it prints in Latin-1, else the next one from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    out, more = [], 0x100
+    for b in range(256):
+        out.append(chr(b if b in own else more))
+        more += b not in own
+    return out
+
+
+def simple(word: bytes) -> bytes | None:
+    """The word in lower case if it is a single pre-token by its bytes alone: ASCII and Latin-1 letters, or points."""
+    if word.isascii():
+        return word.lower() if word.isalpha() or POINT[np.frombuffer(word, np.uint8)].all() else None
+    text = word.decode()
+    if text.isalpha() and max(text) <= "\xff" and not {"\xaa", "\xb5", "\xba"} & set(text):
+        return text.lower().encode()
+    return None
 
-# ---- the vocabulary -------------------------------------------------------------------------
 
 class Vocabulary:
     """Encodes and decodes by the rules of a vocabulary file, a word at a time."""
@@ -58,9 +71,17 @@ class Vocabulary:
             spec = json.load(f)
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
-        self.suffix = model["end_of_word_suffix"] or ""
-        # a pair's rank and the id of what it becomes
-        self.merges = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(model["merges"])}
+        suffix = model["end_of_word_suffix"] or ""
+        letters = byte_letters()
+        self.letters = {c: b for b, c in enumerate(letters)}
+        self.byte_ids = np.array([self.ids[c] for c in letters], np.int64)
+        self.last_ids = np.array([self.ids[c + suffix] for c in letters], np.int64)
+        self.rank = {(self.ids[a], self.ids[b]): rank for rank, (a, b) in enumerate(model["merges"])}
+        self.merge_to = np.array([self.ids[a + b] for a, b in model["merges"]], np.int64)
+        self.no_rank = len(self.merge_to)
+        keys = np.array([a << 32 | b for a, b in self.rank], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], np.array(list(self.rank.values()), np.int64)[order]
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*self.ids.values(), *special.values()]) + 1
         self.tokens = np.full(size, "", object)
@@ -71,39 +92,98 @@ class Vocabulary:
         rules = Tokenizer.from_file(path)
         self.normalize, self.cut = rules.normalizer.normalize_str, rules.pre_tokenizer.pre_tokenize_str
 
-    def encode_word(self, text: str) -> list[int]:
-        out: list[int] = []
-        parts = self.special_text.split(text) if self.special_text and any(s in text for s in self.special) else [text]
+    def pieces(self, word: str) -> list[str | int]:
+        """The pre-tokens of a word, in byte letters, and the ids of special tokens in it."""
+        out: list[str | int] = []
+        parts = self.special_text.split(word) if self.special_text and any(s in word for s in self.special) else [word]
         for part in parts:
             if part in self.special:
                 out.append(self.special[part])
             elif part:
-                for letters, _ in self.cut(self.normalize(part)):
-                    out += self.merge(list(letters))
+                out += [letters for letters, _ in self.cut(self.normalize(part))]
         return out
 
-    def merge(self, letters: list[str]) -> list[int]:
-        """Merges by rank, the leftmost first, over a linked list of symbols and a heap of pairs."""
-        letters[-1] += self.suffix
-        ids = [self.ids[s] for s in letters if s in self.ids]
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after the other, and how many each has."""
+        symbols: list[np.ndarray] = []  # of each piece; a special token is a piece of one symbol
+        done: list[bool] = []
+        owner: list[int] = []
+        for i, word in enumerate(words):
+            if (same := simple(word)) is not None:
+                symbols.append(self.byte_ids[np.frombuffer(same, np.uint8)])
+                symbols[-1][-1] = self.last_ids[same[-1]]
+                done.append(False)
+                owner.append(i)
+                continue
+            for piece in self.pieces(word.decode()):
+                done.append(isinstance(piece, int))
+                symbols.append(np.array([piece] if done[-1] else [self.byte_ids[self.letters[c]] for c in piece[:-1]] + [self.last_ids[self.letters[piece[-1]]]], np.int64))
+                owner.append(i)
+        merged: list[np.ndarray] = list(symbols)
+        sizes = np.array([len(x) for x in symbols], np.int64)
+        short = np.flatnonzero(~np.array(done, bool) & (sizes > 1) & (sizes <= LONGEST))
+        for low, high in ((2, 8), (9, 16), (17, LONGEST)):
+            own = short[(sizes[short] >= low) & (sizes[short] <= high)]
+            for k in range(0, len(own), 20_000):
+                part = own[k:k + 20_000]
+                for i, ids in zip(part.tolist(), self.merge_together([symbols[i] for i in part.tolist()]), strict=True):
+                    merged[i] = ids
+        for i in np.flatnonzero(~np.array(done, bool) & (sizes > LONGEST)).tolist():
+            merged[i] = np.array(self.merge_long(symbols[i].tolist()), np.int64)
+        count = np.bincount(np.array(owner, np.int64), [len(x) for x in merged], len(words)).astype(np.int64) if owner else np.zeros(len(words), np.int64)
+        return (np.concatenate(merged) if merged else np.zeros(0, np.int64)).astype(np.int32), count
+
+    def merge_together(self, pieces: list[np.ndarray]) -> list[np.ndarray]:
+        """Merges many short pieces in step: in each, the pair of the lowest rank, the leftmost of equal ones."""
+        n, length = len(pieces), np.array([len(p) for p in pieces], np.int64)
+        width = int(length.max())
+        ids = np.full((n, width + 1), -1, np.int64)
+        ids[np.repeat(np.arange(n), length), spread(np.zeros(n, np.int64), length)] = np.concatenate(pieces)
+        ranks = self._ranks(ids[:, :-1], ids[:, 1:])
+        rows = np.arange(n)
+        while len(rows):
+            best = ranks[rows].argmin(1)
+            found = ranks[rows, best] < self.no_rank
+            rows, best = rows[found], best[found]
+            if not len(rows):
+                break
+            ids[rows, best] = self.merge_to[ranks[rows, best]]
+            # what stands behind the pair moves one to the left
+            column = np.arange(width)
+            source = column + (column > best[:, None])
+            ids[rows, :-1] = np.take_along_axis(ids[rows], source, 1)
+            shifted = np.minimum(source, width - 1)
+            ranks[rows] = np.take_along_axis(ranks[rows], shifted, 1)
+            ranks[rows, width - 1] = self.no_rank
+            ranks[rows, best] = self._ranks(ids[rows, best], ids[rows, best + 1])
+            left = best > 0
+            ranks[rows[left], best[left] - 1] = self._ranks(ids[rows[left], best[left] - 1], ids[rows[left], best[left]])
+        return [row[row >= 0] for row in ids]
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = np.where((a >= 0) & (b >= 0), a << 32 | b, -1)
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], self.no_rank)
+
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """The same for one long piece, over a linked list of symbols and a heap of pairs."""
         n = len(ids)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(*self.merges[p], i) for i in range(n - 1) if (p := (ids[i], ids[i + 1])) in self.merges]
-        heap = [(rank, i, new) for rank, new, i in heap]
+        heap = [(rank, i) for i in range(n - 1) if (rank := self.rank.get((ids[i], ids[i + 1]))) is not None]
         heapq.heapify(heap)
         gone = [False] * n
         while heap:
-            _, i, new = heapq.heappop(heap)
+            rank, i = heapq.heappop(heap)
             j = after[i]
-            if gone[i] or j < 0 or self.merges.get((ids[i], ids[j]), (0, -1))[1] != new:
+            if gone[i] or j < 0 or self.rank.get((ids[i], ids[j])) != rank:
                 continue
-            ids[i], gone[j], after[i] = new, True, after[j]
+            ids[i], gone[j], after[i] = int(self.merge_to[rank]), True, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for left in (before[i], i):
                 right = after[left] if left >= 0 else -1
-                if right >= 0 and (found := self.merges.get((ids[left], ids[right]))):
-                    heapq.heappush(heap, (found[0], left, found[1]))
+                if right >= 0 and (new := self.rank.get((ids[left], ids[right]))) is not None:
+                    heapq.heappush(heap, (new, left))
         return [x for x, dead in zip(ids, gone, strict=True) if not dead]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -213,83 +293,75 @@ class Lexicon:
 
 # ---- in the executors ---------------------------------------------------------------------------
 
-_opened: dict[tuple[str, str], Encoder] = {}
+class Encoder(WordEncoder):
+    """Vocabulary and lexicon; one per worker process."""
 
-
-class Encoder:
-    """Vocabulary, lexicon and a bounded memory of merged words; one per worker process."""
+    _open: dict[tuple[str, str], Encoder] = {}
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
+        super().__init__()
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.merged: dict[str, list[int]] = {}
 
     @staticmethod
     def of(vocabulary: str, lexicon: str) -> Encoder:
         key = (vocabulary, lexicon)
-        if key not in _opened:
-            _opened[key] = Encoder(Vocabulary(SparkFiles.get(vocabulary)), Lexicon.open(SparkFiles.get(lexicon)))
-        return _opened[key]
-
-    def _merge(self, word: str) -> list[int]:
-        ids = self.merged.get(word)
-        if ids is None:
-            ids = self.vocabulary.encode_word(word)
-            if len(word) <= LONGEST:
-                if len(self.merged) >= CACHE_WORDS:
-                    self.merged.clear()
-                self.merged[word] = ids
-        return ids
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, and the n + 1 offsets."""
-        place: dict[str, int] = {}
-        codes, counts = [], []
-        for text in texts:
-            found = split_words(text) if text else []
-            counts.append(len(found))
-            codes += [place.setdefault(w, len(place)) for w in found]
-        distinct = list(place)
-        at = self.lexicon.find([w.encode() for w in distinct])
+        if key not in Encoder._open:
+            Encoder._open[key] = Encoder(Vocabulary(SparkFiles.get(vocabulary)), Lexicon.open(SparkFiles.get(lexicon)))
+        return Encoder._open[key]
+
+    def word_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """From the lexicon where it knows the word, else merged."""
+        at = self.lexicon.find(words)
+        known = at >= 0
+        count = np.zeros(len(words), np.int64)
         offsets = self.lexicon.offsets
-        pieces = [self.lexicon.ids[offsets[p]:offsets[p + 1]] if p >= 0 else self._merge(w) for w, p in zip(distinct, at.tolist(), strict=True)]
-        lengths = np.array([len(p) for p in pieces], np.int64)
-        flat = np.concatenate([np.asarray(p, np.int64) for p in pieces]) if pieces else np.zeros(0, np.int64)
-        begins = np.cumsum(lengths) - lengths
-        codes = np.array(codes, np.int64)
-        own = lengths[codes]
-        ends = np.cumsum(own)
-        ids = flat[np.repeat(begins[codes] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
-        per_word = np.concatenate([[0], ends])
-        return ids.astype(np.int32), per_word[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        count[known] = offsets[at[known] + 1] - offsets[at[known]]
+        new = np.flatnonzero(~known)
+        ids, count[new] = self.vocabulary.encode_words([words[i] for i in new.tolist()])
+        begin = np.cumsum(count) - count
+        out = np.zeros(count.sum(), np.int32)
+        out[spread(begin[known], count[known])] = self.lexicon.ids[spread(offsets[at[known]], count[known])]
+        out[spread(begin[new], count[new])] = ids
+        return out, count
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text) -> word, n: partial counts of the words that fit the lexicon."""
 
-    def rows(counts: Counter) -> pa.RecordBatch:
-        counts.pop("", None)
-        kept = [(w, n) for w, n in counts.items() if len(w) <= LONGEST]
-        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
-
-    counts: Counter = Counter()
-    for batch in batches:
-        for text in batch.column(0):
-            if text.is_valid:
-                counts.update(split_words(text.as_py()))
-                if len(counts) > 400_000:
-                    yield rows(counts)
-                    counts = Counter()
-    yield rows(counts)
-
-
-def _encode(vocabulary: str, lexicon: str):
+    def rows(hashes: np.ndarray, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(words.tolist(), pa.binary()), pa.array(counts, pa.int64())], ["word", "n"])
+
+    empty = np.zeros(0, np.uint64), np.zeros(0, object), np.zeros(0, np.int64)
+    known = empty
+    for whole in batches:
+        for batch in W.slices(whole, 0, SLICE):
+            plain, starts, ends, hashes, _ = cut_words(*W.text_bytes(batch.column(0)))
+            keep = ends - starts <= LONGEST
+            starts, ends, hashes = starts[keep], ends[keep], hashes[keep]
+            own, sample, counts = np.unique(hashes, return_index=True, return_counts=True)
+            raw = plain.tobytes()
+            words = np.empty(len(own), object)
+            words[:] = [raw[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
+            every = np.concatenate([known[0], own])
+            merged, first, place = np.unique(every, return_index=True, return_inverse=True)
+            known = merged, np.concatenate([known[1], words])[first], np.bincount(place, np.concatenate([known[2], counts]), len(merged)).astype(np.int64)
+            if len(merged) > 300_000:
+                yield rows(*known)
+                known = empty
+    yield rows(*known)
+
+
+def _encode(vocabulary: str, lexicon: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(vocabulary, lexicon)
         for whole in batches:
             for batch in W.slices(whole, 1, SLICE):
-                ids, offsets = encoder.encode(batch.column(1).to_pylist())
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "ids"])
+                ids, counts = encoder.encode(*W.text_bytes(batch.column(1)))
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                columns = [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))]
+                if decoded:
+                    columns.append(pa.array([encoder.vocabulary.decode(ids[a:b]) for a, b in zip(offsets, offsets[1:], strict=False)], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][:len(columns)])
 
     return run
 
@@ -317,19 +389,29 @@ class Codec:
         """Count all words of ``texts`` and compile the ``most`` frequent ones; the rest is merged when met."""
         spark = texts.sparkSession
         ship(spark)
-        counts = (texts.select(F.col(text).cast("string")).mapInArrow(_count_words, "word string, n long")
-                  .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most))
-        vocabulary = Vocabulary(path)
-        entries = {r["word"].encode(): vocabulary.encode_word(r["word"]) for r in counts.collect()}  # at most `most` rows
-        flat = Lexicon.build({w: ids for w, ids in entries.items() if len(w) <= LONGEST})
+        counts = pin(texts.select(F.col(text).cast("string")).mapInArrow(_count_words, "word binary, n long")
+                     .groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+        # the words of the most frequent classes, as many classes as hold `most` words at the most
+        size = F.floor(8 * F.log2("n"))
+        classes = counts.groupBy(size.alias("size")).count().orderBy(F.desc("size")).collect()  # 8 for each doubling
+        total, least = 0, None
+        for row in classes:
+            total += row["count"]
+            if total > most:
+                break
+            least = row["size"]
+        frequent = [] if least is None else [bytes(r["word"]) for r in counts.where(size >= least).collect()]
+        ids, count = Vocabulary(path).encode_words(frequent)
+        ends = np.cumsum(count)
+        flat = Lexicon.build({w: ids[e - n:e].tolist() for w, e, n in zip(frequent, ends, count, strict=True)})
         file = os.path.join(tempfile.mkdtemp(prefix="sensorlake-bpe-"), "lexicon.npy")
         np.save(file, flat)
         return Codec(spark, send(spark, path), send(spark, file))
 
-    def encode(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-        """``doc_id, ids`` of every whole text."""
+    def encode(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
+        """``doc_id, ids`` of every whole text, and ``decoded``, the text that its ids decode to, if asked for."""
         body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-        return body.mapInArrow(_encode(self.vocabulary, self.lexicon), "doc_id long, ids array<int>")
+        return body.mapInArrow(_encode(self.vocabulary, self.lexicon, decoded), "doc_id long, ids array<int>" + ", decoded string" * decoded)
 
     def decode(self, encoded: DataFrame) -> DataFrame:
         """``doc_id, ids, decoded`` of rows ``doc_id, ids``."""

@@ -79,7 +79,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) ->
     """All documents encoded with a lexicon of their own frequent words, and decoded."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     codec = bpe.Codec.compile(docs, vocabulary or _vocabulary())
-    done = codec.decode(codec.encode(docs))
+    done = codec.encode(docs, decoded=True)
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -28,13 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.llm import words as W
-from sensorlake.llm.bpe import SPACES
 from sensorlake.llm.running import running_total
 from sensorlake.llm.scratch import pin
 from sensorlake.llm.ship import send, ship
+from sensorlake.llm.wordids import WordEncoder
 
 SEGMENT_BYTES = 2 << 20  # of text
-MEMORY_WORDS = 2_000_000
 PARTITION_BYTES = 32 << 20
 SEGMENT = "part int, seq int, n_docs int, n_tokens long, width int, keys binary, payload binary, seeds binary, slots binary"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -120,55 +119,19 @@ class Segment:
 
 # ---- writing ------------------------------------------------------------------------------------
 
-_GAP = np.zeros(256, bool)
-_GAP[list(SPACES.encode())] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
-_POINT = np.zeros(256, bool)
-_POINT[list(b'!"#$%&()*+,-./:;=?@[]^_`{}~')] = True
-
-
-def cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Begins, ends and hashes of the words of all texts, and the n + 1 offsets of the texts' words.
-
-    Words end at SPACES, and where an ASCII letter meets a point: a token of the vocabulary
-    holds letters or points, never both.  An apostrophe may start a token with letters, and
-    ``<|>`` stand in special tokens, so these do not cut.  A-Z hash as a-z; the ids are the same.
-    """
-    n = len(data)
-    if not n:
-        return (*(np.zeros(0, np.int64),) * 2, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
-    inside = ~_GAP[data]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1] | (_LETTER[data[:-1]] & _POINT[data[1:]])
-    texts = offsets[:-1][offsets[:-1] < n]
-    begins[texts] = inside[texts]
-    starts = np.flatnonzero(begins)
-    ends = np.append(starts[1:], n)[:len(starts)]
-    gaps = np.concatenate([[0], np.cumsum(~inside, dtype=np.int32)])
-    ends = ends - (gaps[ends] - gaps[starts])  # white space follows a word up to the next one
-    terms = np.where(inside, W.lower(data).astype(np.uint64) + np.uint64(1), np.uint64(0)) * W.powers(n)
-    hashes = np.add.reduceat(terms, starts) * W.powers(n, W.inverse())[starts] if len(starts) else np.zeros(0, np.uint64)
-    return starts, ends, W.mix64(hashes), np.searchsorted(starts, offsets)
-
-
-class LibraryEncoder:
-    """The tokenizers library, asked once for each word that a worker has not met.
-
-    The words' ids are kept in flat arrays by the words' 64-bit hashes: ``MEMORY_WORDS`` at most,
-    after which the memory starts anew.
-    """
+class LibraryEncoder(WordEncoder):
+    """The tokenizers library, asked once for each word that a worker has not met."""
 
     _open: dict[str, LibraryEncoder] = {}
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.forget()
 
     @staticmethod
     def of(name: str) -> LibraryEncoder:
@@ -176,66 +139,11 @@ class LibraryEncoder:
             LibraryEncoder._open[name] = LibraryEncoder(SparkFiles.get(name))
         return LibraryEncoder._open[name]
 
-    def forget(self) -> None:
-        # two sorted tables, so that new words are merged into a small one; columns: hash, first id, number of ids
-        self.tables = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)) for _ in range(2)]
-        self.flat = np.zeros(1 << 16, np.int32)
-        self.used = 0
-
-    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first, count = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        for known, begin, length in self.tables:
-            if len(known):
-                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                hit = known[at] == hashes
-                first[hit], count[hit] = begin[at[hit]], length[at[hit]]
-        return first, count
-
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        """``hashes`` in ascending order, none of them known."""
-        ids = []
-        for i in range(0, len(words), 5_000):
-            ids += [e.ids for e in self.tokenizer.encode_batch_fast(words[i:i + 5_000], add_special_tokens=False)]
-        count = np.array([len(x) for x in ids], np.int32)
-        total = int(count.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used:self.used + total] = np.fromiter((i for x in ids for i in x), np.int32, total)
-        begin = self.used + np.cumsum(count, dtype=np.int64) - count
-        self.used += total
-        large, small = self.tables
-        small = _merged(small, (hashes, begin, count))
-        if len(small[0]) > 100_000:
-            large, small = _merged(large, small), tuple(c[:0] for c in small)
-        self.tables = [large, small]
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, the end id after each, and the number of ids of each text."""
-        if sum(len(t[0]) for t in self.tables) > MEMORY_WORDS:
-            self.forget()
-        starts, ends, hashes, texts = cut_words(data, offsets)
-        distinct, sample, place = np.unique(hashes, return_index=True, return_inverse=True)
-        first, count = self._find(distinct)
-        new = np.flatnonzero(first < 0)
-        if len(new):
-            raw = data.tobytes()
-            at = sample[new]
-            self._learn(distinct[new], [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-            first[new], count[new] = self._find(distinct[new])
-        own = count[place]
-        before = np.concatenate([[0], np.cumsum(own)])
-        n_ids = before[texts[1:]] - before[texts[:-1]]
-        out = np.full(len(n_ids) + int(before[-1]), end, np.int32)
-        text_of = np.repeat(np.arange(len(n_ids)), np.diff(texts))
-        where = np.arange(before[-1]) + np.repeat(text_of, own)  # one end id stands behind each earlier text
-        out[where] = self.flat[np.repeat(first[place] - before[:-1], own) + np.arange(before[-1])]
-        return out, n_ids + 1
-
-
-def _merged(a: tuple, b: tuple) -> tuple:
-    both = [np.concatenate(c) for c in zip(a, b, strict=True)]
-    order = np.argsort(both[0], kind="stable")
-    return tuple(c[order] for c in both)
+    def word_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for i in range(0, len(words), 5_000)
+                 for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i:i + 5_000]], add_special_tokens=False)]
+        count = np.array([len(x) for x in found], np.int64)
+        return np.fromiter((i for x in found for i in x), np.int32, int(count.sum())), count
 
 
 def _segments(name: str, end: int, width: int):
@@ -247,7 +155,7 @@ def _segments(name: str, end: int, width: int):
         last, copy = object(), 0
         for whole in batches:
             for batch in W.slices(whole, 1, SEGMENT_BYTES):
-                ids, lengths = encoder.encode(*W.text_bytes(batch.column(1)), end)
+                ids, lengths = encoder.encode(*W.text_bytes(batch.column(1)), end=end)
                 keys = np.zeros(len(lengths), _KEY)
                 for i, doc_id in enumerate(batch.column(0).to_pylist()):
                     copy = copy + 1 if doc_id == last else 0
