@@ -41,7 +41,7 @@ from sensorlake.llm.ship import ship
 LENGTH, GRAM = 200, 64
 LONGEST_PIECE = 256  # windows
 HOT = 1024
-SHARD_BYTES = 2_500_000
+SHARD_BYTES = 1_500_000
 MERGE_ROWS = 200_000
 SLICE = 1 << 18
 
@@ -230,37 +230,36 @@ def _search_shard(table: pa.Table, most: int) -> pa.Table:
     """
     table = table.combine_chunks()
     number: dict[bytes, int] = {}
-    places: list[list[int]] = []
-    texts = table.column("piece").to_pylist()
-    for row, text in enumerate(texts):
-        i = number.setdefault(text, len(number))
-        if i == len(places):
-            places.append([])
-        places[i].append(row)
+    text_of = np.array([number.setdefault(x.as_buffer().to_pybytes(), len(number)) for x in table.column("piece").chunk(0)], np.int64)
     marks = repeated_windows(list(number))
-    keys, begins = table.column("key").to_pylist(), table.column("begin").to_pylist()
-    hot = np.asarray(table.column("n")) > most
-    shard = table.column("shard")[0].as_py()
-    out: list[list] = [[], [], [], [], [], [], []]
-
-    def add(*row) -> None:
-        for column, value in zip(out, row, strict=True):
-            column.append(value)
-
-    for text, i in number.items():
-        rows, own = places[i], marks[i]
-        if len(rows) > 1:
-            own = np.ones(len(own), bool)
-        first, last = runs(own)
-        for row in rows:
-            for a, b in zip(first.tolist(), last.tolist(), strict=True):
-                add(keys[row], begins[row] + a, begins[row] + b - 1 + LENGTH, None, None, None, None)
-        if hot[rows[0]]:
-            prints = window_prints(text).view(np.int64)
-            for o, (high, low) in enumerate(prints.tolist()):
-                add(keys[rows[0]], begins[rows[0]] + o, None, high, low, shard, bool(own[o]))
-    types = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
-    return pa.table({f.split()[0]: pa.array(c, t) for f, c, t in zip(_FOUND.split(", "), out, types, strict=True)})
+    begin, hot = np.asarray(table.column("begin")).astype(np.int64), np.asarray(table.column("n")) > most
+    rows, places, stops = [], [], []  # spans: row, begin and end in the text
+    copies = np.bincount(text_of)
+    for row, i in enumerate(text_of.tolist()):
+        first, last = runs(np.ones(len(marks[i]), bool) if copies[i] > 1 else marks[i])
+        rows.append(np.full(len(first), row))
+        places.append(begin[row] + first)
+        stops.append(begin[row] + last - 1 + LENGTH)
+    spans, empty = sum(map(len, rows)), np.zeros(0, np.int64)
+    prints, sure, offsets = [np.zeros((0, 2), np.uint64)], [np.zeros(0, bool)], []
+    _, samples = np.unique(text_of, return_index=True)
+    texts = list(number)
+    for row in samples[hot[samples]].tolist():
+        i = text_of[row]
+        prints.append(window_prints(texts[i]))
+        sure.append(np.ones(len(marks[i]), bool) if copies[i] > 1 else marks[i])
+        offsets.append(np.arange(len(marks[i])) + begin[row])
+        rows.append(np.full(len(marks[i]), row))
+    rows = np.concatenate([empty, *rows])
+    prints, sure = np.concatenate(prints).view(np.int64), np.concatenate(sure)
+    is_print = np.arange(len(rows)) >= spans
+    blank = np.zeros(spans, np.int64)
+    columns = [
+        table.column("key").chunk(0).take(pa.array(rows)), pa.array(np.concatenate([empty, *places, *offsets]).astype(np.int32)),
+        pa.array(np.concatenate([empty, *stops, np.zeros(len(prints), np.int64)]).astype(np.int32), mask=is_print),
+        *[pa.array(np.concatenate([blank, prints[:, c]]), mask=~is_print) for c in (0, 1)],
+        pa.array(np.full(len(rows), table.column("shard")[0].as_py(), np.int32)), pa.array(np.concatenate([blank.astype(bool), sure]), mask=~is_print)]
+    return pa.table(columns, [f.split()[0] for f in _FOUND.split(", ")])
 
 
 def _merge(table: pa.Table) -> pa.Table:
