@@ -34,7 +34,7 @@ from sensorlake.llm.ship import ship
 
 K1, B = 1.2, 0.75
 BLOCK = 32
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 DIGITS = 6
 SLICE = 1 << 20
 
@@ -110,10 +110,23 @@ def _build(table: pa.Table) -> pa.Table:
     docs, terms, times = docs[order], terms[order], times[order]
     begins = np.flatnonzero(np.append(True, terms[1:] != terms[:-1])) if len(terms) else np.zeros(0, np.int64)
     row = [table.column("shard")[0].as_py(), ids[by].astype("<i8").tobytes(), lengths[by].astype("<i4").tobytes(), terms[begins].astype("<u8").tobytes(),
-           np.append(begins, len(terms)).astype("<i8").tobytes(), docs.astype("<i4").tobytes(), times.astype("<i4").tobytes()]
+           np.append(begins, len(terms)).astype("<i4").tobytes(), _narrow(docs), _narrow(times)]
     return pa.table({f.split()[0]: pa.array([v], pa.int32() if f.endswith("int") else pa.binary()) for f, v in zip(_INDEX.split(", "), row, strict=True)})
 
 
+_WIDTHS = (np.dtype("u1"), np.dtype("<u2"), np.dtype("<u4"))
+
+
+def _narrow(x: np.ndarray) -> bytes:
+    """The numbers in the fewest bytes that hold them all; the first byte tells how many."""
+    kind = next(k for k, w in enumerate(_WIDTHS) if not len(x) or x.max() <= np.iinfo(w).max)
+    return bytes([kind]) + x.astype(_WIDTHS[kind]).tobytes()
+
+
+def _wide(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, _WIDTHS[raw[0]], offset=1)
+
+
 def _spread(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The numbers of all ranges, one after the other."""
     n = ends - begins
@@ -125,22 +138,23 @@ class Shard:
 
     def __init__(self, row: dict, mean_length: float):
         self.ids, lengths = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["lengths"], "<i4")
-        self.terms, begins = np.frombuffer(row["terms"], "<u8"), np.frombuffer(row["begins"], "<i8")
-        self.docs = np.frombuffer(row["docs"], "<i4")
-        times = np.frombuffer(row["times"], "<i4").astype(float)
-        self.impact = times * (K1 + 1) / (times + K1 * (1 - B + B * lengths[self.docs] / mean_length))
+        self.terms, begins = np.frombuffer(row["terms"], "<u8"), np.frombuffer(row["begins"], "<i4")
+        self.docs, self.times = _wide(row["docs"]), _wide(row["times"])
+        self.norm = K1 * (1 - B + B * lengths / mean_length)
         # a part is what one term has in one block of documents
-        block = self.docs // BLOCK
-        new = np.append(True, block[1:] != block[:-1]) if len(block) else np.zeros(0, bool)
+        new = np.append(True, self.docs[1:] // BLOCK != self.docs[:-1] // BLOCK) if len(self.docs) else np.zeros(0, bool)
         new[begins[:-1]] = True
-        self.part_begin = np.flatnonzero(new)
-        self.part_end = np.append(self.part_begin[1:], len(self.docs))
-        self.part_block = block[self.part_begin]
-        self.part_most = np.maximum.reduceat(self.impact, self.part_begin) if len(self.part_begin) else np.zeros(0)
-        self.term_parts = np.searchsorted(self.part_begin, begins)
+        self.part_begin = np.append(np.flatnonzero(new), len(self.docs)).astype(np.int32)
+        self.part_block = (self.docs[self.part_begin[:-1]] // BLOCK).astype(np.int32)
+        self.part_most = np.maximum.reduceat(self.impact(slice(None)), self.part_begin[:-1]) if len(self.docs) else np.zeros(0)
+        self.term_parts = np.searchsorted(self.part_begin[:-1], begins)
         self.blocks = -(-len(self.ids) // BLOCK)
         self.scored = 0  # blocks, over all queries
 
+    def impact(self, postings) -> np.ndarray:
+        times = self.times[postings].astype(float)
+        return times * (K1 + 1) / (times + self.norm[self.docs[postings]])
+
     def top(self, own: int, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the best ``k`` documents but ``own``; terms in ascending order."""
         if not len(self.terms):
@@ -161,9 +175,9 @@ class Shard:
             chosen[order[done:done + step]] = True
             done, step = done + step, step * 2
             own_parts = chosen[block]
-            begin, end = self.part_begin[parts[own_parts]], self.part_end[parts[own_parts]]
+            begin, end = self.part_begin[parts[own_parts]], self.part_begin[parts[own_parts] + 1]
             posting = _spread(begin, end)
-            score = np.bincount(self.docs[posting], np.repeat(weight[own_parts], end - begin) * self.impact[posting], len(self.ids))
+            score = np.bincount(self.docs[posting], np.repeat(weight[own_parts], end - begin) * self.impact(posting), len(self.ids))
             found = np.flatnonzero(score)
             found = found[self.ids[found] != own]
             ids, scores = np.concatenate([ids, self.ids[found]]), np.concatenate([scores, np.round(score[found], DIGITS)])
