@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.llm import ann, bpe, gam, mixing, search, secrets, setsketch, sharding, suffix, tokenfile
+from sensorlake.llm.oracle import oracle_sql  # noqa: F401
 from sensorlake.llm.scratch import pin
 
 
@@ -98,7 +99,3 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_neighbours, op2_quality, op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe, op9_search, op10_repeats)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
