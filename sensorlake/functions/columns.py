@@ -13,8 +13,8 @@ from sensorlake.schemas import LANDING_NAME_FORMAT, RAW_TIME_FORMAT
 __all__ = [
     "whitespace_tokens", "line_timestamp", "file_name_timestamp",
     "file_stem", "floor_minute", "floor_hour", "epoch_to_timestamp",
-    "timestamp_text", "bool_to_int", "null_outside", "safe_ratio",
-    "percent_of", "to_decimal", "batch_label_from_line", "float_text",
+    "timestamp_text", "safe_ratio",
+    "percent_of", "batch_label_from_line", "float_text",
 ]
 
 
@@ -27,8 +27,12 @@ def whitespace_tokens(line: Column) -> Column:
 
 
 def line_timestamp(date_tok: Column, time_tok: Column) -> Column:
-    """SF2: 'yyyy-MM-dd' + 'HH:mm:ss[.ffffff]' -> TIMESTAMP_NTZ, NULL when invalid."""
-    return F.concat_ws(" ", date_tok, time_tok).try_cast("timestamp_ntz")
+    """SF2: 'yyyy-MM-dd' + 'HH:mm:ss[.ffffff]' -> TIMESTAMP_NTZ, NULL when invalid.
+
+    Nothing but digits and separators is taken: a cast alone would accept a
+    zone offset behind the time and drop it."""
+    plain = (F.translate(date_tok, "0123456789-", "") == "") & (F.translate(time_tok, "0123456789:.", "") == "")
+    return F.when(plain, F.concat_ws(" ", date_tok, time_tok).try_cast("timestamp_ntz"))
 
 
 def file_stem(path: Column) -> Column:
@@ -68,14 +72,6 @@ def timestamp_text(ts: Column) -> Column:
     return F.date_format(ts, RAW_TIME_FORMAT)
 
 
-def bool_to_int(b: Column) -> Column:
-    """SF9: boolean -> 0/1."""
-    return b.cast("int")
-
-
-def null_outside(x: Column, lo: Column, hi: Column) -> Column:
-    """SF10 / FL6: NULL when strictly below ``lo`` or strictly above ``hi``."""
-    return F.when((x < lo) | (x > hi), F.lit(None)).otherwise(x)
 
 
 def safe_ratio(num: Column, den: Column) -> Column:
@@ -88,10 +84,6 @@ def percent_of(part: Column, whole: Column) -> Column:
     return F.lit(100.0) * part.cast("double") / whole.cast("double")
 
 
-def to_decimal(x: Column, p: int, s: int) -> Column:
-    """SF14: fixed-scale storage cast, half-up, NULL on overflow."""
-    return x.try_cast(f"decimal({p},{s})")
-
 
 def batch_label_from_line(line: Column) -> Column:
     """SF8: first two blank-separated tokens of a trimmed line joined by '_'."""

@@ -125,42 +125,29 @@ def row_index(df: DataFrame, order_cols: list[str], group_cols: list[str] | None
     return joined.withColumn(out_col, pos).select(*df.columns, out_col)
 
 
-# Row bound under which the single-reducer exact ``percentile`` is used: its
-# final merge keeps one count per distinct value per feature in one task.
-PERCENTILE_MAX_ROWS = 2_000_000
-
-
 def batch_quantiles(df: DataFrame, features: list[str] = FEATURES, probs=(0.01, 0.99),
                     group_cols: list[str] | None = None, exact: bool = True,
-                    method: str = "auto", accuracy: int = 100_000) -> DataFrame:
+                    accuracy: int = 100_000) -> DataFrame:
     """AG9: per-feature quantiles of the batch (pooled, or per group), missing
-    values skipped, linear interpolation between order statistics
-    (``pos = p * (n - 1)``). Output columns ``{feature}_lo`` / ``{feature}_hi``.
-
-    * ``method="sort"`` (default, exact): all features are stacked into one
-      (feature, value) column and range-sorted once; the two order statistics
-      around each position are picked by global row index. Memory per task is
-      bounded by the partition size, whatever the number of distinct values.
-    * ``method="percentile"`` (exact): Spark's ``percentile``; its final merge
-      holds a count per distinct value in one task - for small batches only.
-    * ``exact=False``: the bounded ``percentile_approx`` sketch.
-    * ``method="auto"``: counts the rows and takes ``percentile`` up to
-      ``PERCENTILE_MAX_ROWS`` (fewer jobs on small batches), ``sort`` beyond.
+    values (NULL or NaN) skipped, linear interpolation between order
+    statistics (``pos = p * (n - 1)``). Output columns ``{feature}_lo`` /
+    ``{feature}_hi``.
+
+    Exact: the values are counted per (feature, value), which reduces a hot
+    value to one row before the shuffle; the distinct values are range-sorted
+    once, their counts summed up over the sorted partitions, and the two
+    values around each position picked by their running counts. One path for
+    every size; a task holds its range of distinct values.
+    ``exact=False``: the bounded ``percentile_approx`` sketch.
     """
     group_cols = list(group_cols or [])
     ps = [float(p) for p in probs]
-    if exact and method == "auto":
-        method = "percentile" if df.count() <= PERCENTILE_MAX_ROWS else "sort"
-    if exact and method == "sort":
-        return _sorted_quantiles(df, features, ps, group_cols)
-    names = _quantile_names(ps)
+    if exact:
+        return _counted_quantiles(df, features, ps, group_cols)
     aggs = []
     for f in features:
-        if exact:
-            q = F.percentile(F.col(f), F.array(*[F.lit(p) for p in ps]))
-        else:
-            q = F.percentile_approx(F.col(f), ps, accuracy)
-        aggs += [q[i].alias(f"{f}_{name}") for i, name in enumerate(names)]
+        q = F.percentile_approx(F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")), ps, accuracy)
+        aggs += [q[i].alias(f"{f}_{name}") for i, name in enumerate(_quantile_names(ps))]
     return df.groupBy(*group_cols).agg(*aggs)
 
 
@@ -169,39 +156,36 @@ def _quantile_names(ps: list[float]) -> list[str]:
     return ["lo", "hi"] if len(ps) == 2 else [str(i) for i in range(len(ps))]
 
 
-def _sorted_quantiles(df: DataFrame, features: list[str], ps: list[float], group_cols: list[str]) -> DataFrame:
-    """Exact quantiles by one distributed sort of the stacked feature values."""
+def _counted_quantiles(df: DataFrame, features: list[str], ps: list[float], group_cols: list[str]) -> DataFrame:
+    """Exact quantiles from the counts of the distinct values."""
     cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"))
                                 for f in features])).alias("_c")
-    stacked = (df.select(*group_cols, cells).select(*group_cols, "_c.feature", "_c.v")
-               .where(F.col("v").isNotNull() & ~F.isnan("v")))
     keys = group_cols + ["feature"]
-    idx = row_index(stacked, ["v"], keys)
-    # per (group, feature): n, then the 1-based ranks around each position
-    targets = idx.groupBy(*keys).agg(F.max("row_idx").alias("n"))
+    counted = (df.select(*group_cols, cells).select(*group_cols, "_c.feature", "_c.v")
+               .where(F.col("v").isNotNull() & ~F.isnan("v"))
+               .groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c")))
+    seq = sequence(counted, ["v"], keys)
+    per_part = seq.groupBy(_PID, *keys).agg(F.sum("c").alias("_n"))
+    parts = Window.partitionBy(*keys).orderBy(_PID)
+    per_part = per_part.select(
+        _PID, *keys, F.sum("_n").over(Window.partitionBy(*keys)).alias("n"),
+        F.coalesce(F.sum("_n").over(parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(_PID, *keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = seq.withColumn("_upto", F.sum("c").over(inside)).join(per_part, [_PID, *keys])
+    # a value stands at the ranks (last - c, last]
+    ranked = ranked.select(*keys, "v", "c", "n", (F.col("_before") + F.col("_upto")).alias("last"))
+    aggs = []
     for i, p in enumerate(ps):
         pos = F.lit(p) * (F.col("n") - 1).cast("double")
-        targets = (targets.withColumn(f"_pos{i}", pos)
-                   .withColumn(f"_lo{i}", F.floor(pos).cast("long") + 1)
-                   .withColumn(f"_hi{i}", F.ceil(pos).cast("long") + 1))
-    bounded = not group_cols  # pooled: one row per feature
-    picked = join_small(idx, targets, keys, bounded=bounded)
-    wanted = F.lit(False)
-    for i in range(len(ps)):
-        wanted = wanted | (F.col("row_idx") == F.col(f"_lo{i}")) | (F.col("row_idx") == F.col(f"_hi{i}"))
-    picked = picked.where(wanted)
-    aggs = []
-    for i in range(len(ps)):
-        lo_v = F.max(F.when(F.col("row_idx") == F.col(f"_lo{i}"), F.col("v")))
-        hi_v = F.max(F.when(F.col("row_idx") == F.col(f"_hi{i}"), F.col("v")))
-        aggs += [lo_v.alias(f"_vlo{i}"), hi_v.alias(f"_vhi{i}"), F.first(f"_pos{i}").alias(f"_pos{i}"),
-                 F.first(f"_lo{i}").alias(f"_lo{i}"), F.first(f"_hi{i}").alias(f"_hi{i}")]
-    per = picked.groupBy(*keys).agg(*aggs)
+        for side, rank in (("lo", F.floor(pos).cast("long") + 1), ("hi", F.ceil(pos).cast("long") + 1)):
+            here = (F.col("last") - F.col("c") < rank) & (rank <= F.col("last"))
+            aggs.append(F.max(F.when(here, F.col("v"))).alias(f"_v{side}{i}"))
+    per = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *aggs)
     names = _quantile_names(ps)
     outs = []
-    for i, name in enumerate(names):
-        lo_r, hi_r, pos = F.col(f"_lo{i}") - 1, F.col(f"_hi{i}") - 1, F.col(f"_pos{i}")
-        vlo, vhi = F.col(f"_vlo{i}"), F.col(f"_vhi{i}")
+    for i, (name, p) in enumerate(zip(names, ps, strict=True)):
+        pos = F.lit(p) * (F.col("n") - 1).cast("double")
+        lo_r, hi_r, vlo, vhi = F.floor(pos), F.ceil(pos), F.col(f"_vlo{i}"), F.col(f"_vhi{i}")
         value = F.when((lo_r == hi_r) | (vlo == vhi), vlo).otherwise(
             (hi_r.cast("double") - pos) * vlo + (pos - lo_r.cast("double")) * vhi)
         outs.append(value.alias(f"_q_{name}"))

@@ -14,19 +14,22 @@ from pyspark.sql import functions as F
 from sensorlake.functions.columns import line_timestamp, whitespace_tokens
 from sensorlake.schemas import DEVICE_ID_MAX_LEN, FEATURES, LIGHT_DOMAIN
 
-# --- fixed values: reject reasons in the order they are tested ------------------
-REASONS = ["arity", "timestamp", "number", "domain", "length", "range", "null"]
-# ---------------------------------------------------------------------------------
-
-
 def _tok(i: int):
     return F.try_element_at(F.col("_tok"), F.lit(i + 1))
 
 
+def _double(tok):
+    """Token -> DOUBLE; NULL when it is not a decimal number, ``nan`` or ``inf``
+    (a cast alone would also take type suffixes such as ``1.0d``)."""
+    plain = F.translate(tok, "0123456789+-.eE", "") == ""
+    word = F.lower(F.ltrim(tok, F.lit("+-"))).isin("nan", "inf", "infinity")
+    return F.when(plain | word, tok.try_cast("double"))
+
+
 def _number(tok):
     """Token -> DOUBLE; NULL when not a number. NaN counts as a missing value
     (it is later interpolated), not as a reject."""
-    x = tok.try_cast("double")
+    x = _double(tok)
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 
@@ -39,11 +42,11 @@ def parse_lines(lines: DataFrame, line_col: str = "value", keep: list[str] | Non
                         whitespace_tokens(F.col(line_col)).alias("_tok"))
     ts = line_timestamp(_tok(0), _tok(1))
     feats = {f: _number(_tok(3 + i)) for i, f in enumerate(FEATURES)}
-    light_num = _tok(8).try_cast("double")
+    light_num = _double(_tok(8))
     bad_number = F.lit(False)
     for i, f in enumerate(FEATURES):
         tok = _tok(3 + i)
-        bad_number = bad_number | (tok.try_cast("double").isNull())
+        bad_number = bad_number | (_double(tok).isNull())
     bad_number = bad_number | light_num.isNull()
     reason = (F.when(F.size("_tok") != 9, F.lit("arity"))
               .when(ts.isNull(), F.lit("timestamp"))

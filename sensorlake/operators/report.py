@@ -23,6 +23,13 @@ def time_series_report(average: DataFrame, extreme: DataFrame, device_ids=None,
     return avg.join(ext, KEYS, "inner")
 
 
+def time_series(stats: DataFrame, device_ids=None, start=None, end=None) -> DataFrame:
+    """RP1 from one frame of hourly statistics, without a join of two marts."""
+    hours = time_range(devices(stats, device_ids), start, end)
+    return hours.select(*KEYS, *[F.col(f"mean_{f}").alias(f"avg_{f}") for f in FEATURES],
+                        *[F.col(f"{m}_{f}") for f in FEATURES for m in ("min", "max")])
+
+
 def device_summary(minutes: DataFrame, device_ids=None, start=None, end=None) -> DataFrame:
     """RP3: per-device mean, standard deviation and count of every feature."""
     df = time_range(devices(minutes, device_ids), start, end)

@@ -12,6 +12,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorlake.functions.columns import floor_hour
 from sensorlake.operators.clean import clean_batch
 from sensorlake.operators.marts import all_marts, hourly_stats
 from sensorlake.operators.parse import accepted, parse_lines, rejected
@@ -29,11 +30,6 @@ from sensorlake.session import ensure_checkpoint_dir
 ORDER_COLS = ["timestamp", "device_id", "file_name", "raw_line"]
 
 
-# Marts wider than this are pinned before their anti-join append (the
-# optimizer's constraint inference over many derived columns grows very large).
-WIDE_MART_COLUMNS = 16
-
-
 def pinned(df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared checkpoint folder and cut its lineage.
 
@@ -95,44 +91,47 @@ def hour_batch(minutes: DataFrame) -> dict[str, DataFrame]:
     return all_marts(stats)
 
 
-def _hour_scan_start(lake: Lakehouse, lookback_days: int) -> _dt.datetime | None:
-    """Lower bound of the minute scan for an hourly run.
+def _hour_input(lake: Lakehouse) -> tuple[_dt.datetime | None, DataFrame]:
+    """The minutes of an hourly run and their lower bound (None: all minutes).
 
     Each mart has its own watermark (a failed run of one mart does not leave
-    holes in the others). The change feature needs every device's last stored
-    hour again, so the bound is the oldest last hour among devices seen within
-    ``lookback_days`` of the newest stored hour. None = scan everything."""
+    holes in the others); the scan starts at the oldest. The change of a
+    device's first new hour needs its last stored hour again, however long
+    ago that was: the last hours come from one aggregate over the ML mart, and
+    of the minutes before the bound only those hours of the devices that have
+    new minutes are read (their dates prune the partitions)."""
+    minutes = lake.read(MINUTE_TABLE_NAME)
     marks = [lake.latest_timestamp(t) for t in MART_NAMES]
     if any(m is None for m in marks):
-        return None
-    newest = max(marks)
-    ml = lake.read("dm_iot_ml")
-    since = newest - _dt.timedelta(days=lookback_days)
-    recent = ml.where((F.col("dt") >= F.lit(since.date())) & (F.col("timestamp") >= F.lit(since)))
-    oldest_last = (recent.groupBy("device_id").agg(F.max("timestamp").alias("last"))
-                   .agg(F.min("last").alias("m")).first()["m"])
-    return min([m for m in marks + [oldest_last] if m is not None])
-
-
-def run_hour(spark: SparkSession, lake: Lakehouse, lookback_days: int = 7,
-             ingest_seq: int | None = None) -> dict:
+        return None, minutes
+    start = min(marks)
+    fresh = after_watermark(minutes, start, inclusive=True)
+    last = (lake.read("dm_iot_ml").where(F.col("timestamp") < F.lit(start))
+            .join(fresh.select("device_id").distinct(), "device_id", "left_semi")
+            .groupBy("device_id").agg(F.max("timestamp").alias("hour")))
+    last = pinned(last)
+    dates = [r["d"] for r in last.select(F.to_date("hour").alias("d")).distinct().collect()]  # days of history at most
+    earlier = (minutes.where(F.col("dt").isin(dates) & (F.col("timestamp") < F.lit(start)))
+               .withColumn("hour", floor_hour(F.col("timestamp")))
+               .join(last, ["device_id", "hour"], "left_semi").select(*minutes.columns))
+    return start, fresh.unionByName(earlier)
+
+
+def run_hour(spark: SparkSession, lake: Lakehouse, ingest_seq: int | None = None) -> dict:
     """PL2: minute table -> four hourly marts, each appended idempotently.
 
     The hourly statistics are computed once (one window + one aggregate),
     persisted (they are small: one row per hour and device) and projected
     into the four marts."""
     lake.create_all()
-    start = _hour_scan_start(lake, lookback_days)
-    minutes = after_watermark(lake.read(MINUTE_TABLE_NAME), start, inclusive=True)
+    start, minutes = _hour_input(lake)
     stats = hourly_stats(full_periods(minutes, "hour")).persist()
     seq = ingest_seq if ingest_seq is not None else int(time.time() * 1e6)
     rejects = {}
     try:
         bounds = date_bounds(stats)
         for name, mart in all_marts(stats).items():
-            cast = storage_cast(mart, mart_schema(name))
-            if len(cast.columns) > WIDE_MART_COLUMNS:
-                cast = pinned(cast)
+            cast = pinned(storage_cast(mart, mart_schema(name)))
             new = append_new(stored_rows(cast), lake.read(name), bounds=bounds)
             lake.append(name, with_partition_columns(new, seq))
             rejects[name] = storage_rejects(cast)

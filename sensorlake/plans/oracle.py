@@ -7,11 +7,10 @@ doubles rounded to 12 decimals in both engines.
 
 from __future__ import annotations
 
-from sensorlake.schemas import FEATURE_DECIMAL, FEATURES
+from sensorlake.schemas import (FEATURE_DECIMAL, FEATURES, LIGHT_MEAN_DECIMAL, PERCENT_DECIMAL, RATIO_DECIMAL,
+                                RATIOS, VARIANCE_DECIMAL)
 
-import os
-
-R = int(os.environ.get("SL_ROUND", "12"))  # decimals kept on DOUBLE outputs in both engines
+R = 12  # decimals kept on DOUBLE outputs in both engines
 
 TELEMETRY = """
 telemetry AS (
@@ -251,12 +250,12 @@ v AS (SELECT
   count(*) FILTER (WHERE length(device_id) > 17) AS dev_len,
   count(*) FILTER (WHERE light IS NULL) AS light_null,
   count(*) FILTER (WHERE light NOT IN (0, 1)) AS light_dom,
-  """ + _feats("count(*) FILTER (WHERE {f} IS NOT NULL AND try_cast({f} AS DECIMAL(%s)) IS NULL) AS {f}_rng") + """
+  """ + _feats("count(*) FILTER (WHERE {f} IS NULL) AS {f}_null") + ", " + _feats("count(*) FILTER (WHERE {f} IS NOT NULL AND try_cast({f} AS DECIMAL(%s)) IS NULL) AS {f}_rng") + """
   FROM parsed),
 l AS (SELECT 'timestamp' AS column_name, 'not_null' AS check_name, ts_null AS violations FROM v
   UNION ALL SELECT 'device_id', 'not_null', dev_null FROM v
   UNION ALL SELECT 'device_id', 'length', dev_len FROM v
-  """ + "\n  ".join(f"UNION ALL SELECT '{f}', 'range', {f}_rng FROM v" for f in FEATURES) + """
+  """ + "\n  ".join(f"UNION ALL SELECT '{f}', 'range', {f}_rng FROM v UNION ALL SELECT '{f}', 'not_null', {f}_null FROM v" for f in FEATURES) + """
   UNION ALL SELECT 'light', 'not_null', light_null FROM v
   UNION ALL SELECT 'light', 'domain', light_dom FROM v)
 SELECT * FROM l WHERE violations > 0"""
@@ -303,9 +302,65 @@ hours AS (SELECT m.* FROM minutes m, mcut WHERE date_trunc('hour', m.timestamp)
 SELECT date_trunc('hour', timestamp) AS timestamp, device_id, count(*) AS record_count, """ + _feats(
         "round(avg({f}), %d) AS {f}, round(max({f}), %d) AS max_{f}, round(min({f}), %d) AS min_{f}") + \
         " FROM hours GROUP BY 1, 2"
+    q |= _job_oracles(q)
     return {k: _half_up_rounding(v) for k, v in q.items()}
 
 
+def _decimal(expr: str, p: int, s: int) -> str:
+    return f"try_cast(CAST({expr} AS VARCHAR) AS DECIMAL({p},{s}))"
+
+
+def _stored(src: str) -> str:
+    """Minutes of ``src`` as the minute table stores them."""
+    return (f"SELECT timestamp, device_id, " + ", ".join(f"{_decimal(f, *FEATURE_DECIMAL[f])} AS {f}" for f in FEATURES)
+            + f", CAST(light AS SMALLINT) AS light FROM ({_minute_rollup(src, False, rounded=False)})")
+
+
+def _job_oracles(q: dict[str, str]) -> dict[str, str]:
+    """What the deployed jobs leave in their tables, computed in one go."""
+    out = {}
+    out["job_minutes"] = out["minute_table_stream"] = ACC + MINUTE_SLICE + "\n" + _stored("sliced")
+    ml = {}
+    for f in FEATURES:
+        ml |= {f"{c}_{f}": FEATURE_DECIMAL[f] for c in ("max", "min", "mean", "median")}
+        ml |= {f"variance_{f}": VARIANCE_DECIMAL[f], f"{f}_change_last_hour": FEATURE_DECIMAL[f]}
+    cols = [_decimal(f"mean_{f}", *FEATURE_DECIMAL[f]) + f" AS {f}" for f in FEATURES]
+    cols += [_decimal("mean_light", *LIGHT_MEAN_DECIMAL) + " AS light", "CAST(record_count AS INTEGER) AS record_count"]
+    cols += [_decimal(c, *d) + f" AS {c}" for c, d in ml.items()]
+    cols += [_decimal(_ratio(f"mean_{n}", f"mean_{d}"), *RATIO_DECIMAL) + f" AS {name}" for name, (n, d) in RATIOS.items()]
+    cols += [_decimal(_ratio(f"variance_{f}", f"mean_{f}"), *RATIO_DECIMAL) + f" AS variance_to_mean_{f}" for f in FEATURES]
+    cols += [_decimal(f"100.0 * above_{f} / record_count", *PERCENT_DECIMAL) + f" AS high_low_percentage_{f}" for f in FEATURES]
+    out["job_marts"] = ACC + MINUTE_SLICE + f""",
+stored AS ({_stored('sliced')}),
+hcut AS (SELECT date_trunc('hour', max(timestamp)) AS c FROM stored),
+dds AS (SELECT s.* FROM stored s, hcut WHERE s.timestamp < hcut.c)""" + _hourly("dds") + "\nSELECT timestamp, device_id, " + ", ".join(cols) + " FROM hchg"
+    out["history_load"] = TEL + """
+SELECT timestamp, device_id, CASE WHEN event_id % 61 <> 0 THEN CAST(co AS DOUBLE) END AS co, CAST(humidity AS DOUBLE) AS humidity,
+  CAST(lpg AS DOUBLE) AS lpg, CAST(smoke AS DOUBLE) AS smoke, CAST(temperature AS DOUBLE) AS temperature, light, CAST(NULL AS VARCHAR) AS reject
+FROM telemetry"""
+    out["device_export"] = TEL + ",\none AS (SELECT * FROM telemetry WHERE device_id = 'b8:27:eb:bf:9d:51')" + _hourly("one") + \
+        "\nSELECT timestamp, device_id, " + _feats(
+            "round(mean_{f}, %d) AS avg_{f}, round(min_{f}, %d) AS min_{f}, round(max_{f}, %d) AS max_{f}") + " FROM hstats"
+    out["reject_reasons"] = TEL + f""",
+f AS (SELECT *, CASE WHEN event_id % 73 = 0 OR event_id % 71 = 0 THEN 'timestamp' WHEN event_id % 67 = 0 THEN 'number'
+  WHEN event_id % 83 = 0 THEN 'domain' WHEN event_id % 79 = 0 THEN 'length' ELSE 'ok' END AS reason FROM telemetry),
+good AS (SELECT timestamp, device_id, CASE WHEN event_id % 5 = 0 THEN 123.0 ELSE CAST(co AS DOUBLE) END AS co,
+  CASE WHEN event_id % 7 <> 0 THEN CAST(humidity AS DOUBLE) END AS humidity, lpg, smoke, temperature, light FROM f WHERE reason = 'ok'),
+m AS ({_stored("good")}),
+r AS ({_minute_rollup("good", False, rounded=False)}),
+s AS (SELECT CASE WHEN m.co IS NULL THEN 'range' WHEN r.humidity IS NULL THEN 'null' ELSE 'ok' END AS reason FROM m JOIN r USING (timestamp, device_id))
+SELECT 'line' AS stage, reason, count(*) AS lines FROM f GROUP BY ALL UNION ALL SELECT 'minute', reason, count(*) FROM s GROUP BY ALL"""
+    hours = "hours AS (SELECT m.*"
+    share = q["hour_stream"].replace(hours, "hours AS (SELECT m.*, date_trunc('hour', m.timestamp) AS h")
+    share = share.replace("\nSELECT date_trunc('hour', timestamp) AS timestamp, device_id, count(*) AS record_count, ",
+                          ",\nflagged AS (SELECT *, " + ", ".join("CASE WHEN {d} * count({f}) OVER g > sum({d}) OVER g THEN 1 ELSE 0 END AS above_{f}".format(
+                              f=f, d=_decimal(f, *FEATURE_DECIMAL[f])) for f in FEATURES)
+                          + " FROM hours WINDOW g AS (PARTITION BY h, device_id))\nSELECT h AS timestamp, device_id, count(*) AS record_count, "
+                          + "round(avg(CAST(light AS DOUBLE)), %d) AS light, " + _feats("round(100.0 * sum(above_{f}) / count(*), %d) AS high_low_percentage_{f}") + ", ")
+    out["hour_stream"] = share.replace(" FROM hours GROUP BY 1, 2", " FROM flagged GROUP BY 1, 2")
+    return out
+
+
 def _half_up_rounding(sql: str) -> str:
     """Rewrite ``round(expr, %d)`` as Spark's DOUBLE rounding: half-up on the
     shortest decimal text of the double (DuckDB's ``round`` scales in binary,

@@ -8,7 +8,7 @@ to 12 decimals, as in the DuckDB oracles of ``sensorlake.plans.oracle``.
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,21 +21,24 @@ from sensorlake.operators.marts import (average_mart, count_mart, extreme_mart,
                                         with_changes)
 from sensorlake.operators.parse import accepted, parse_lines, reject_counts
 from sensorlake.operators.quality import completeness, constraint_violations, duplicate_keys, late_rows
-from sensorlake.operators.report import device_summary, time_series_report
+from sensorlake.operators.report import device_summary, export_order, time_series
 from sensorlake.operators.rollup import minute_rollup
-from sensorlake.operators.slices import after_watermark, full_periods, latest_timestamp
+from sensorlake.operators.slices import after_watermark, devices, full_periods, latest_timestamp
 from sensorlake.operators.store import append_new, dedupe_first, storage_cast
 from sensorlake.plans.jobs import hour_batch, minute_batch
 from sensorlake.schemas import FEATURES, MINUTE_TABLE, RATIOS
 from sensorlake.sources.events import raw_lines_from_telemetry, read_events, telemetry_from_events
 from sensorlake.sources.landing import batch_labels, history_to_lines
 
-ROUND = int(os.environ.get("SL_ROUND", "12"))
+ROUND = 12  # decimals kept on DOUBLE outputs, here and in the oracles
 WINDOW_DAYS = 7  # report / watermark window, counted back from the newest reading
 
 
-def use_utc(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def need_utc(spark: SparkSession) -> None:
+    """The lines and tables are in UTC; the caller's session has to be, too."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def rounded(df: DataFrame, digits: int = ROUND) -> DataFrame:
@@ -47,14 +50,13 @@ def rounded(df: DataFrame, digits: int = ROUND) -> DataFrame:
 
 # --- inputs derived from the driver tables --------------------------------------
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_utc(spark)
+    need_utc(spark)
     return telemetry_from_events(read_events(spark, sf_dir))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw landing lines with the event time (arrival order)."""
-    tel = telemetry(spark, sf_dir)
-    return raw_lines_from_telemetry(tel).join(tel.select("event_id", "timestamp"), "event_id")
+    return raw_lines_from_telemetry(telemetry(spark, sf_dir), keep=["timestamp"])
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,9 +235,10 @@ def q_keep_first_dedupe(spark, sf_dir):
 
 def q_anti_join_append(spark, sf_dir):
     tel = telemetry(spark, sf_dir)
-    r = tel.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    mid = r["lo"] + (r["hi"] - r["lo"]) / 2
-    stored = minute_rollup(tel.where(F.col("timestamp") < F.lit(mid).cast("timestamp_ntz")))
+    # the middle of the time span, as a one-row broadcast
+    mid = tel.agg((F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2).alias("_mid"))
+    early = tel.crossJoin(F.broadcast(mid)).where(F.col("timestamp") < F.col("_mid")).drop("_mid")
+    stored = minute_rollup(early)
     return rounded(append_new(minute_rollup(tel), stored))
 
 
@@ -250,8 +253,7 @@ def q_duplicate_keys(spark, sf_dir):
 
 def q_time_series_report(spark, sf_dir):
     tel = telemetry(spark, sf_dir)
-    stats = hourly_stats(tel)
-    return rounded(time_series_report(average_mart(stats), extreme_mart(stats), start=window_start(tel)))
+    return rounded(time_series(hourly_stats(tel), start=window_start(tel)))
 
 
 def q_completeness_monitor(spark, sf_dir):
@@ -291,5 +293,125 @@ def q_hour_stream(spark, sf_dir):
     return rounded(run_hour_stream_once(spark, raw_lines_from_telemetry(telemetry(spark, sf_dir))))
 
 
+# --- the deployed jobs, on catalog tables of a database of their own ---------------------
+def _thirds(spark, sf_dir):
+    """The landing lines in three parts by time, each staged as landing files: (path, stage next part)."""
+    from sensorlake.sources.landing import write_landing
+    from sensorlake.streaming.streams import scratch_path
+
+    indexed = row_index(lines(spark, sf_dir), ["timestamp", "event_id"])
+    span = indexed.agg(F.max("row_idx").alias("n")).first()["n"] or 0
+    path = scratch_path(spark, "landing")
+
+    def stage(part: int) -> str:
+        here = F.floor((F.col("row_idx") - 1) * 3 / F.lit(max(span, 1))) == part
+        write_landing(indexed.where(here), path)
+        return path
+
+    return stage
+
+
+def _job_lake(spark):
+    from sensorlake.sources.tables import Lakehouse
+
+    lake = Lakehouse(spark, "sensorlake_" + uuid.uuid4().hex[:12])
+    lake.create_all()
+    return lake
+
+
+def _minute_rows(lake):
+    return lake.read("dds_iot_data").select(*[f.name for f in MINUTE_TABLE.fields])
+
+
+def q_job_minutes(spark, sf_dir):
+    """Landing files -> run_minute after each third -> the stored minutes."""
+    from sensorlake.plans.jobs import run_minute
+
+    lake, stage = _job_lake(spark), _thirds(spark, sf_dir)
+    for part in range(3):
+        run_minute(spark, lake, stage(part), clean=False, ingest_seq=part)
+    return _minute_rows(lake)
+
+
+def q_job_marts(spark, sf_dir):
+    """The stored minutes in three parts -> run_hour after each -> the four marts side by side."""
+    from sensorlake.operators.store import stored_rows, with_partition_columns
+    from sensorlake.plans.jobs import pinned, run_hour
+
+    lake = _job_lake(spark)
+    minutes = pinned(stored_rows(storage_cast(
+        minute_rollup(full_periods(accepted_rows(spark, sf_dir), "minute"), with_count=False), MINUTE_TABLE)))
+    span = minutes.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    if span["lo"] is not None:
+        third = (span["hi"] - span["lo"]) / 3
+        for part in range(3):
+            lo, hi = span["lo"] + part * third, span["lo"] + (part + 1) * third
+            here = (F.col("timestamp") >= F.lit(lo).cast("timestamp_ntz")) if part else F.lit(True)
+            if part < 2:
+                here = here & (F.col("timestamp") < F.lit(hi).cast("timestamp_ntz"))
+            lake.append("dds_iot_data", with_partition_columns(minutes.where(here), part))
+            run_hour(spark, lake, ingest_seq=part)
+    keys = ["timestamp", "device_id"]
+    read = {t: lake.read(t).drop("ingest_seq", "dt") for t in ("dm_iot_average", "dm_iot_extreme", "dm_iot_count", "dm_iot_ml")}
+    return (read["dm_iot_average"].join(read["dm_iot_extreme"], keys).join(read["dm_iot_count"], keys)
+            .join(read["dm_iot_ml"], keys))
+
+
+def q_minute_table_stream(spark, sf_dir):
+    """The streaming sink over the thirds of the landing lines, one micro-batch each."""
+    from sensorlake.streaming.streams import minute_table_sink, scratch_path
+
+    lake, stage = _job_lake(spark), _thirds(spark, sf_dir)
+    pending, checkpoint = scratch_path(spark, "pending"), scratch_path(spark, "sink-ckpt")
+    for part in range(3):
+        minute_table_sink(spark, lake, stage(part), pending, checkpoint, clean=False).awaitTermination()
+    return _minute_rows(lake)
+
+
+def q_history_load(spark, sf_dir):
+    """Historical CSV with missing values -> landing files -> parsed rows."""
+    from sensorlake.plans.jobs import load_history
+    from sensorlake.sources.landing import read_landing
+    from sensorlake.streaming.streams import scratch_path
+
+    csv, landing = scratch_path(spark, "history"), scratch_path(spark, "landing")
+    hist = history(spark, sf_dir)
+    hist = hist.withColumn("co", F.when(F.col("event_id") % 61 != 0, F.col("co"))).drop("event_id")
+    hist.write.option("header", True).csv(csv)
+    load_history(spark, csv, landing)
+    return parse_lines(read_landing(spark, landing), keep=[]).drop("raw_line")
+
+
+def q_reject_reasons(spark, sf_dir):
+    """Lines and minutes of every reject reason: faults by event id, at the parser and at storage."""
+    faulty = _faulty_lines(telemetry(spark, sf_dir))
+    rows = parse_lines(faulty, keep=["event_id"])
+    at_parse = reject_counts(rows).select(F.lit("line").alias("stage"), "reason", "lines")
+    minutes = storage_cast(minute_rollup(accepted(rows), with_count=False), MINUTE_TABLE)
+    at_store = (minutes.groupBy(F.coalesce("reject", F.lit("ok")).alias("reason")).agg(F.count("*").alias("lines"))
+                .select(F.lit("minute").alias("stage"), "reason", "lines"))
+    return at_parse.unionByName(at_store)
+
+
+def _faulty_lines(tel):
+    """Raw lines with a fault for some event ids: month 99, light 2, an 18-character device, a zone offset, a
+    type suffix, a co of 123 and a missing humidity."""
+    at = lambda n: F.col("event_id") % n == 0
+    text = timestamp_text(F.col("timestamp"))
+    text = F.when(at(73), F.regexp_replace(text, "-[0-9]{2}-", "-99-")).when(at(71), F.concat(text, F.lit("+05:00"))).otherwise(text)
+    device = F.when(at(79), F.concat("device_id", F.lit("0"))).otherwise(F.col("device_id"))
+    co = F.when(at(67), F.lit("1.0d")).when(at(5), F.lit("123.0")).otherwise(F.col("co").cast("string"))
+    humidity = F.when(at(7), F.lit("nan")).otherwise(F.col("humidity").cast("string"))
+    light = F.when(at(83), F.lit("2")).otherwise(F.col("light").cast("string"))
+    rest = [F.col(c).cast("string") for c in ("lpg", "smoke", "temperature")]
+    return tel.select("event_id", F.concat_ws(" ", text, device, co, humidity, *rest, light).alias("value"))
+
+
+def q_device_export(spark, sf_dir):
+    """The time-series report of one device in export order."""
+    stats = hourly_stats(devices(telemetry(spark, sf_dir), ["b8:27:eb:bf:9d:51"]))
+    return rounded(export_order(time_series(stats)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

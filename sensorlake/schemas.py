@@ -55,14 +55,6 @@ def dec(p_s: tuple[int, int]) -> T.DecimalType:
 # One raw landing line (D1).
 RAW_LINE = T.StructType([T.StructField("value", T.StringType())])
 
-# Parsed line (D5), typed at parse; features as DOUBLE (computed type).
-PARSED = T.StructType([
-    T.StructField("timestamp", T.TimestampNTZType()),
-    T.StructField("device_id", T.StringType()),
-    *[T.StructField(f, T.DoubleType()) for f in FEATURES],
-    T.StructField("light", T.IntegerType()),
-])
-
 # Historical CSV (D10): read by header name, motion is present but unused.
 HISTORY_CSV = T.StructType([
     T.StructField("ts", T.DoubleType()),
@@ -81,7 +73,7 @@ HISTORY_CSV = T.StructType([
 MINUTE_TABLE = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType(), False),
     T.StructField("device_id", T.StringType(), False),
-    *[T.StructField(f, dec(FEATURE_DECIMAL[f])) for f in FEATURES],
+    *[T.StructField(f, dec(FEATURE_DECIMAL[f]), False) for f in FEATURES],
     T.StructField("light", T.ShortType(), False),
 ])
 
@@ -127,9 +119,14 @@ def mart_storage_type(table: str, column: str) -> T.DataType:
     raise KeyError(f"{table}.{column}")
 
 
+def mart_nullable(column: str) -> bool:
+    """Only what one minute or the first hour cannot give: variances, their ratios, and changes."""
+    return column.startswith("variance_") or column.endswith("_change_last_hour")
+
+
 def mart_schema(table: str) -> T.StructType:
     return T.StructType([
-        T.StructField(c, mart_storage_type(table, c), c not in KEYS)
+        T.StructField(c, mart_storage_type(table, c), mart_nullable(c))
         for c in MART_COLUMNS[table]
     ])
 
@@ -143,5 +140,5 @@ def ddl_columns(schema: T.StructType) -> str:
     parts = []
     for f in schema.fields:
         typ = f"VARCHAR({DEVICE_ID_MAX_LEN})" if f.name == "device_id" else f.dataType.simpleString()
-        parts.append(f"`{f.name}` {typ}")
+        parts.append(f"`{f.name}` {typ}" + ("" if f.nullable else " NOT NULL"))
     return ", ".join(parts)

@@ -55,9 +55,10 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def raw_lines_from_telemetry(tel: DataFrame) -> DataFrame:
+def raw_lines_from_telemetry(tel: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """PJ2: encode telemetry rows as raw landing lines, with the fault model
-    (faulty lines and a non-numeric token) keyed on ``event_id``."""
+    (faulty lines and a non-numeric token) keyed on ``event_id``. ``keep``
+    columns are passed through."""
     ts_txt = timestamp_text(F.col("timestamp"))
     co_tok = F.when(F.col("event_id") % BAD_NUMBER_EVERY == 0, F.lit("x")).otherwise(
         F.col("co").cast("string"))
@@ -65,8 +66,4 @@ def raw_lines_from_telemetry(tel: DataFrame) -> DataFrame:
                        *[F.col(c).cast("string") for c in ("humidity", "lpg", "smoke", "temperature", "light")])
     faulty = F.concat(ts_txt, F.lit(" "), F.col("device_id"), F.lit(" " * 7))
     line = F.when(F.col("event_id") % FAULTY_LINE_EVERY == 0, faulty).otherwise(good)
-    return tel.select(F.col("event_id"), line.alias("value"))
-
-
-def raw_lines_from_events(events: DataFrame) -> DataFrame:
-    return raw_lines_from_telemetry(telemetry_from_events(events))
+    return tel.select(F.col("event_id"), *(keep or []), line.alias("value"))

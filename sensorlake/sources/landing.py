@@ -102,11 +102,12 @@ def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def history_to_lines(history: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """PJ2+PJ3+SF5+SF9: historical rows -> raw landing lines (UTC).
-    ``keep`` columns are passed through beside each line."""
+    A missing feature or light is written as ``nan``, so the line keeps its
+    nine tokens. ``keep`` columns are passed through beside each line."""
     ts = epoch_to_timestamp(F.col("ts"))
     feats = {"co": "co", "humidity": "humidity", "lpg": "lpg", "smoke": "smoke", "temperature": "temp"}
     line = F.concat_ws(" ", timestamp_text(ts), F.col("device"),
-                       *[float_text(F.col(feats[f])) for f in FEATURES],
-                       F.col("light").cast("int").cast("string"))
+                       *[F.coalesce(float_text(F.col(feats[f])), F.lit("nan")) for f in FEATURES],
+                       F.coalesce(F.col("light").cast("int").cast("string"), F.lit("nan")))
     return history.select(*(keep or []), ts.alias("timestamp"), F.col("device").alias("device_id"),
                           line.alias("value"))

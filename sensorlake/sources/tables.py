@@ -53,6 +53,10 @@ class Lakehouse:
         return self.spark.catalog.tableExists(table, self.database) if self.database \
             else self.spark.catalog.tableExists(table)
 
+    def refresh(self, table: str) -> None:
+        """Forget this session's cached file listing of a table that another session wrote."""
+        self.spark.catalog.refreshTable(self.name(table))
+
     # --- watermarks ------------------------------------------------------------------
     def newest_partition(self, table: str):
         """Newest ``dt`` partition from the catalog's partition list (metadata

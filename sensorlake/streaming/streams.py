@@ -7,8 +7,9 @@
 * ``hour_stream``         SS3: chained 1-hour windows over the minute windows.
 * ``late_rows`` in ``sensorlake.operators.quality`` counts what the watermark drops (SS4).
 * ``minute_table_sink``   SS5/SS6: ``foreachBatch`` running the full batch
-  cleaning on each micro-batch, carrying the unfinished minute over in a
-  pending folder and appending idempotently (anti-join on stored keys).
+  cleaning on each micro-batch, carrying the rows after the newest stored
+  minute over in a pending folder and appending idempotently (anti-join on
+  stored keys).
 * ``landing_sink``        SS7: streaming text sink, files of at most 1,000 lines.
 
 Streams use TIMESTAMP event time (watermarks refuse TIMESTAMP_NTZ); tables
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from sensorlake.operators.parse import accepted, parse_lines
 from sensorlake.operators.rollup import light_mode
 from sensorlake.operators.store import append_new, date_bounds, storage_cast, stored_rows, with_partition_columns
-from sensorlake.schemas import FEATURES, LANDING_FILE_RECORDS, MINUTE_TABLE, MINUTE_TABLE_NAME, RAW_LINE
+from sensorlake.schemas import FEATURE_DECIMAL, FEATURES, LANDING_FILE_RECORDS, MINUTE_TABLE, MINUTE_TABLE_NAME, RAW_LINE, dec
 from sensorlake.session import ensure_checkpoint_dir
 
 
@@ -59,14 +60,28 @@ def minute_stream(lines: DataFrame, allowed_lateness: str = "0 seconds") -> Data
 
 
 def hour_stream(minutes: DataFrame) -> DataFrame:
-    """SS3: complete (hour, device) windows over a minute stream (AG3-AG5)."""
-    aggs = [F.count(F.lit(1)).alias("record_count")]
+    """SS3: complete (hour, device) windows over a minute stream (AG3-AG5, AG12).
+
+    A window's above-mean share needs its mean first, so the hour's values are
+    kept per feature (at most 60 minutes of a device, at storage precision, so
+    that the comparison is exact) and counted when it closes."""
+    aggs = [F.count(F.lit(1)).alias("record_count"), F.avg(F.col("light").cast("double")).alias("light")]
     for f in FEATURES:
-        aggs += [F.avg(f).alias(f), F.max(f).alias(f"max_{f}"), F.min(f).alias(f"min_{f}")]
+        aggs += [F.avg(f).alias(f), F.max(f).alias(f"max_{f}"), F.min(f).alias(f"min_{f}"), F.collect_list(F.col(f).cast(dec(FEATURE_DECIMAL[f]))).alias(f"_all_{f}")]
     hours = (minutes.groupBy(F.window(F.window_time("window"), "1 hour").alias("hwin"), "device_id")
              .agg(*aggs))
+    for f in FEATURES:
+        total = F.aggregate(f"_all_{f}", F.lit(0).cast("decimal(38,10)"), lambda a, x: (a + x).cast("decimal(38,10)"))
+        n = F.size(f"_all_{f}")
+        above = F.size(_above(F.col(f"_all_{f}"), total, n))
+        hours = hours.withColumn(f"high_low_percentage_{f}", F.lit(100.0) * above / F.col("record_count"))
     return hours.select(F.col("hwin.start").cast("timestamp_ntz").alias("timestamp"),
-                        "device_id", *[c for c in hours.columns if c not in ("hwin", "device_id")])
+                        "device_id", *[c for c in hours.columns if c not in ("hwin", "device_id") and not c.startswith("_all_")])
+
+
+def _above(values, total, n):
+    """The values above the mean, by the exact comparison of the batch marts."""
+    return F.filter(values, lambda x: x * n > total)
 
 
 def run_to_parquet(stream: DataFrame, spark: SparkSession, kind: str) -> DataFrame:
@@ -102,40 +117,45 @@ def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path
                       trigger: dict | None = None, max_files_per_trigger: int | None = None):
     """SS5/SS6: micro-batches of landing lines -> minute table.
 
-    Each micro-batch is the pending (unfinished-minute) rows of the previous
-    batch plus the new lines; the batch job's full-minute cut, cleaning and
-    rollup run on it, the complete minutes are appended with an anti-join on
-    stored keys (a replayed batch appends nothing twice) and the rest is
-    written as the pending rows of the next batch."""
-    from sensorlake.operators.slices import full_periods
+    Each micro-batch is the pending rows of the previous batch plus the new
+    lines, and runs the batch job's steps: the full-minute cut over all of
+    them, the watermark bound (SS4: a row at or before the newest stored
+    minute is dropped and does not enter the quantiles), cleaning, rollup and
+    the anti-join append. Rows later than the newest stored minute are the
+    pending rows of the next batch, as the batch job reads their files again.
+
+    Table reads and the append go through the micro-batch's own session, with
+    the file listing refreshed first, so the anti-join sees what earlier
+    batches appended; a replayed batch appends nothing twice. A pending folder
+    that cannot be read fails the batch."""
+    from sensorlake.operators.slices import after_watermark, full_periods
     from sensorlake.plans.jobs import ORDER_COLS, pinned
     from sensorlake.operators.clean import clean_batch
     from sensorlake.operators.rollup import minute_rollup
+    from sensorlake.sources.tables import Lakehouse
 
     lake.create(MINUTE_TABLE_NAME)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         bspark = batch.sparkSession
+        own = Lakehouse(bspark, lake.database)
+        own.refresh(MINUTE_TABLE_NAME)
+        watermark = own.latest_timestamp(MINUTE_TABLE_NAME)
         rows = accepted(parse_lines(batch, keep=["file_name"]))
-        prev = f"{pending_path}/batch={batch_id - 1}"
-        try:
-            carried = bspark.read.parquet(prev)
-            rows = carried.unionByName(rows)
-        except Exception:  # no pending rows yet
-            pass
-        rows = rows.checkpoint(eager=True)  # pin the batch: it is read three times
-        complete = full_periods(rows, "minute")
-        cut = rows.agg(F.date_trunc("minute", F.max("timestamp")).cast("timestamp_ntz").alias("c"))
-        pending = rows.crossJoin(F.broadcast(cut)).where(
-            F.col("c").isNull() | (F.col("timestamp") >= F.col("c"))).drop("c")
-        pending.write.mode("overwrite").parquet(f"{pending_path}/batch={batch_id}")
+        if batch_id > 0:
+            rows = bspark.read.parquet(f"{pending_path}/batch={batch_id - 1}").unionByName(rows)
+        rows = pinned(rows)  # read for the cut, the cleaning and the pending rows
+        complete = after_watermark(full_periods(rows, "minute"), watermark)
         if clean:
             complete = clean_batch(complete, ORDER_COLS, FEATURES, group_cols)
         minutes = minute_rollup(complete, with_count=False)
         ok = stored_rows(pinned(storage_cast(minutes, MINUTE_TABLE)))
-        table = lake.read(MINUTE_TABLE_NAME)
-        new = append_new(ok, table, bounds=date_bounds(ok))
-        lake.append(MINUTE_TABLE_NAME, with_partition_columns(new, batch_id))
+        new = append_new(ok, own.read(MINUTE_TABLE_NAME), bounds=date_bounds(ok))
+        own.append(MINUTE_TABLE_NAME, with_partition_columns(new, batch_id))
+        own.refresh(MINUTE_TABLE_NAME)
+        pending = after_watermark(rows, own.latest_timestamp(MINUTE_TABLE_NAME))
+        pending.write.mode("overwrite").parquet(f"{pending_path}/batch={batch_id}")
+        lake.refresh(MINUTE_TABLE_NAME)  # readers of the caller's session
 
     src = landing_stream(spark, landing_path, max_files_per_trigger)
     writer = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_path)

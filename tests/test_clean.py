@@ -1,5 +1,6 @@
 """Distributed row index, clipping and interpolation vs a pandas computation."""
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -74,18 +75,50 @@ def test_quantiles_and_clip(spark):
     assert clipped[0]["x"] is None and clipped[100]["x"] is None and clipped[50]["x"] == 50.0
 
 
-def test_sorted_quantiles_equal_percentile(spark):
+def test_quantiles_equal_percentile(spark):
     rng = np.random.default_rng(3)
     rows = [(int(i), ["a", "b", "c"][i % 3], float(v) if i % 11 else None, float(round(w, 1)))
             for i, (v, w) in enumerate(zip(rng.normal(size=500), rng.normal(size=500) * 10))]
     df = spark.createDataFrame(rows, "t long, device_id string, x double, y double")
     for group in (None, ["device_id"]):
-        a = batch_quantiles(df, ["x", "y"], (0.01, 0.5, 0.99), group_cols=group, method="sort")
-        b = batch_quantiles(df, ["x", "y"], (0.01, 0.5, 0.99), group_cols=group, method="percentile")
+        a = batch_quantiles(df, ["x", "y"], (0.01, 0.5, 0.99), group_cols=group)
         key = group or []
-        ra = sorted(tuple(r) for r in a.select(*key, "x_0", "x_1", "x_2", "y_0", "y_1", "y_2").collect())
-        rb = sorted(tuple(r) for r in b.select(*key, *[F.col(c) for c in b.columns if c not in key]).collect())
+        b = df.groupBy(*key).agg(*[F.percentile(f, F.lit(p)).alias(f"{f}_{i}")
+                                   for f in ("x", "y") for i, p in enumerate((0.01, 0.5, 0.99))])
+        ra = sorted(tuple(r) for r in a.select(*b.columns).collect())
+        rb = sorted(tuple(r) for r in b.collect())
         assert len(ra) == len(rb)
         for u, v in zip(ra, rb):
             for p, q in zip(u, v):
                 assert p == q or abs(p - q) <= 1e-12 * max(1.0, abs(q)), (group, u, v)
+
+
+def test_quantiles_skip_nan_and_null(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(101)] + [(float("nan"),), (None,)], "x double")
+    for exact in (True, False):
+        r = batch_quantiles(df, ["x"], (0.01, 0.99), exact=exact).first()
+        assert (r["x_lo"], r["x_hi"]) == (1.0, 99.0)
+    nothing = batch_quantiles(df.where("x is null"), ["x"]).collect()
+    assert [r.asDict() for r in nothing] in ([], [{"x_lo": None, "x_hi": None}])
+
+
+def test_quantiles_of_a_hot_value_use_no_large_task(spark):
+    """90 % of the rows share one value: what is sorted are the distinct values, with their counts."""
+    from sensorlake.operators import clean
+    df = spark.range(50_000).select(F.when(F.col("id") % 10 != 0, F.lit(5.0)).otherwise(F.col("id") / 10).alias("x"))
+    seen = []
+    inner = clean.sequence
+
+    def spy(frame, *args, **kwargs):
+        out = inner(frame, *args, **kwargs)
+        seen.append([r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()])
+        return out
+
+    clean.sequence = spy
+    try:
+        r = clean.batch_quantiles(df, ["x"], (0.01, 0.5, 0.999)).first()
+    finally:
+        clean.sequence = inner
+    want = df.agg(*[F.percentile("x", F.lit(p)).alias(str(p)) for p in (0.01, 0.5, 0.999)]).first()
+    assert [r[f"x_{i}"] for i in range(3)] == pytest.approx(list(want))
+    assert sum(seen[0]) == 5_000 and max(seen[0]) < 2_500

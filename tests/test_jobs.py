@@ -108,6 +108,35 @@ def test_hourly_incremental_equals_full_recompute(spark):
         assert duplicate_keys(lake.read(name)).count() == 0
 
 
+def test_change_spans_any_silence(spark):
+    """A device that was silent for eleven days gets its change against its last stored hour."""
+    from sensorlake.operators.store import storage_cast, stored_rows, with_partition_columns
+    lake = Lakehouse(spark, "t_silent")
+    lake.drop_all()
+    lake.create_all()
+    other = "00:0f:00:70:91:0a"
+    rows = [(f"2020-01-{d:02d} {h:02d}:{m:02d}:00", other, f"0.00{d % 8 + 1}", "50.0", "0.006", "0.02", "20.0", 0)
+            for d in range(1, 13) for h in (3, 9) for m in (0, 30)]
+    rows += [(f"2020-01-01 05:{m:02d}:00", D, "0.001", "50.0", "0.006", "0.02", "20.0", 0) for m in (0, 10)]
+    rows += [(f"2020-01-12 06:{m:02d}:00", D, "0.008", "50.0", "0.006", "0.02", "20.0", 0) for m in (0, 10)]
+    rows += [("2020-01-12 10:00:00", other, "0.002", "50.0", "0.006", "0.02", "20.0", 0)]
+    stored = stored_rows(storage_cast(minute_rows(spark, rows), MINUTE_TABLE))
+    cut = F.lit("2020-01-12 04:00:00").cast("timestamp_ntz")
+    for seq, part in enumerate((stored.where(F.col("timestamp") < cut), stored.where(F.col("timestamp") >= cut))):
+        lake.append(MINUTE_TABLE_NAME, with_partition_columns(part, seq))
+        run_hour(spark, lake, ingest_seq=seq)
+    changes = {(str(r["timestamp"]), r["device_id"]): r["co_change_last_hour"] for r in lake.read("dm_iot_ml").collect()}
+    assert float(changes["2020-01-12 06:00:00", D]) == 0.007
+    assert changes["2020-01-01 05:00:00", D] is None and len(changes) == 26
+
+
+def test_a_minute_without_any_value_is_a_reject(spark):
+    from sensorlake.operators.store import storage_cast
+    df = minute_rows(spark, [("2020-01-01 00:00:00", D, "1.0", "50.0", "0.006", "0.02", "20.0", 1)])
+    assert storage_cast(df, MINUTE_TABLE).first()["reject"] is None
+    assert storage_cast(df.withColumn("co", F.lit(None).cast("double")), MINUTE_TABLE).first()["reject"] == "null"
+
+
 def test_constraint_report(spark):
     df = minute_rows(spark, [("2020-01-01 00:00:00", D + "xx", "1.0", "50.0", "0.006", "0.02", "20.0", 3)])
     df = df.withColumn("co", F.lit(123.0))

@@ -39,3 +39,22 @@ def test_nan_token_is_missing_not_reject(spark):
     df = parse_lines(lines_df(spark, [line(T, DEV, hum="NaN")]))
     r = df.collect()[0]
     assert r["reject"] is None and r["humidity"] is None
+
+
+def test_tokens_are_taken_as_written_or_not_at_all(spark):
+    """What a cast would accept beyond a plain number or time is a reject."""
+    cases = {line(T, DEV, co="1.0d"): "number", line(T, DEV, co="0x1p3"): "number", line(T, DEV, light="1f"): "number",
+             line("2020-07-19 00:00:00.000000+05:00", DEV): "timestamp", line("2020-07-19 00:00:00Z", DEV): "timestamp",
+             line(T, DEV, co="1e-3"): None, line(T, DEV, co="-0.5"): None, line(T, DEV, co=".5"): None}
+    got = {r["raw_line"]: r["reject"] for r in parse_lines(lines_df(spark, list(cases))).collect()}
+    assert got == cases
+
+
+def test_missing_values_survive_a_replay(spark):
+    from sensorlake.sources.landing import history_to_lines
+    hist = spark.createDataFrame([(1594512000.5, DEV, None, 50.0, True, 0.1, 0.2, 20.0)],
+                                 "ts double, device string, co double, humidity double, light boolean, lpg double, smoke double, temp double")
+    lines = history_to_lines(hist).select("value")
+    assert " nan 50.0 " in lines.first()["value"]
+    r = parse_lines(lines.selectExpr("value", "'' as file_name")).first()
+    assert r["reject"] is None and r["co"] is None and r["humidity"] == 50.0
