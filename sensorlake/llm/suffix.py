@@ -14,8 +14,8 @@ Every byte that lies in a string of ``LENGTH`` bytes which also starts anywhere
    which runs along all pieces in step.  A window is repeated if its suffix shares ``LENGTH``
    bytes with a neighbour in the array.
 4. The pieces of an anchor with more than ``HOT`` occurrences are spread over several shards.
-   Such shards hand on their windows' fingerprints in sorted order, one for each different
-   window, and the runs of all shards are merged by binary search.
+   Such shards hand on their windows' fingerprints in sorted runs, dealt into parts by the
+   fingerprint, and the runs of all shards are merged by binary search.
 
 So no shard grows with a common passage, and every shard is compared with those that can
 share a window with it, not with all others.  Hashes: 64 bits for anchors (a collision costs
@@ -42,7 +42,7 @@ LENGTH, GRAM = 200, 64
 LONGEST_PIECE = 256  # windows
 HOT = 1024
 SHARD_BYTES = 1_500_000
-MERGE_ROWS = 200_000
+MERGE_ROWS = 100_000
 SLICE = 1 << 18
 
 
@@ -203,9 +203,11 @@ def repeated_windows(strings: list[bytes]) -> list[np.ndarray]:
 
 
 def window_prints(text: bytes) -> np.ndarray:
-    """128 bits for every window of ``text``, as two columns."""
+    """128 bits for every window of ``text``."""
     data = np.frombuffer(text, np.uint8)
-    return np.stack([gram_hashes(data, LENGTH), gram_hashes(data, LENGTH, 0x9E3779B97F4A7C15)], 1)
+    out = np.empty(len(data) - LENGTH + 1, [("high", "<u8"), ("low", "<u8")])
+    out["high"], out["low"] = gram_hashes(data, LENGTH), gram_hashes(data, LENGTH, 0x9E3779B97F4A7C15)
+    return out
 
 
 def runs(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,73 +216,86 @@ def runs(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-_FOUND = "key binary, start int, stop int, high long, low long, shard int, sure boolean"
+_FOUND = "key binary, start int, stop int, part int, shard int, prints binary, sure binary, starts binary, owners binary, keys array<binary>"
+_PRINT = np.dtype([("high", "<u8"), ("low", "<u8")])
 
 
-def _search(most: int):
-    """See ``_search_shard``; ``most`` is the number of occurrences beyond which an anchor is spread over shards."""
-    return lambda table: _search_shard(table, most)
+def _search(most: int, parts: int):
+    """See ``_search_shard``."""
+    return lambda table: _search_shard(table, most, parts)
 
 
-def _search_shard(table: pa.Table, most: int) -> pa.Table:
-    """The pieces of one shard (key, begin, n, shard, piece) -> spans that go, and windows to merge.
+def _search_shard(table: pa.Table, most: int, parts: int) -> pa.Table:
+    """The pieces of one shard (key, begin, n, shard, piece) -> spans that go, and runs of windows to merge.
 
-    A row with ``start`` is a span of a text's bytes (``stop`` its end).  A row with ``high, low``
-    is a window's fingerprint at ``start`` of a hot anchor: ``sure`` if it is repeated here.
+    A row with ``start`` is a span of a text's bytes (``stop`` its end).  A row with ``prints`` is a sorted run:
+    the fingerprints, in one of ``parts`` parts, of the windows of pieces whose anchor occurs more than ``most``
+    times, with each window's place and whether it is repeated here already.
     """
     table = table.combine_chunks()
     number: dict[bytes, int] = {}
     text_of = np.array([number.setdefault(x.as_buffer().to_pybytes(), len(number)) for x in table.column("piece").chunk(0)], np.int64)
     marks = repeated_windows(list(number))
-    begin, hot = np.asarray(table.column("begin")).astype(np.int64), np.asarray(table.column("n")) > most
-    rows, places, stops = [], [], []  # spans: row, begin and end in the text
+    keys, begin, hot = table.column("key").chunk(0), np.asarray(table.column("begin")).astype(np.int64), np.asarray(table.column("n")) > most
     copies = np.bincount(text_of)
+    empty = np.zeros(0, np.int64)
+    rows, places, stops = [empty], [empty], [empty]
     for row, i in enumerate(text_of.tolist()):
         first, last = runs(np.ones(len(marks[i]), bool) if copies[i] > 1 else marks[i])
         rows.append(np.full(len(first), row))
         places.append(begin[row] + first)
         stops.append(begin[row] + last - 1 + LENGTH)
-    spans, empty = sum(map(len, rows)), np.zeros(0, np.int64)
-    prints, sure, offsets = [np.zeros((0, 2), np.uint64)], [np.zeros(0, bool)], []
-    _, samples = np.unique(text_of, return_index=True)
+    rows = np.concatenate(rows)
+    spans = pa.table({"key": keys.take(pa.array(rows)), "start": pa.array(np.concatenate(places), pa.int32()), "stop": pa.array(np.concatenate(stops), pa.int32())})
+
+    _, samples = np.unique(text_of, return_index=True)  # a row for each different piece
+    samples = samples[hot[samples]]
     texts = list(number)
-    for row in samples[hot[samples]].tolist():
+    prints, sure, starts, owners = [np.zeros(0, _PRINT)], [np.zeros(0, bool)], [empty], [empty]
+    for row in samples.tolist():
         i = text_of[row]
         prints.append(window_prints(texts[i]))
         sure.append(np.ones(len(marks[i]), bool) if copies[i] > 1 else marks[i])
-        offsets.append(np.arange(len(marks[i])) + begin[row])
-        rows.append(np.full(len(marks[i]), row))
-    rows = np.concatenate([empty, *rows])
-    prints, sure = np.concatenate(prints).view(np.int64), np.concatenate(sure)
-    is_print = np.arange(len(rows)) >= spans
-    blank = np.zeros(spans, np.int64)
-    columns = [
-        table.column("key").chunk(0).take(pa.array(rows)), pa.array(np.concatenate([empty, *places, *offsets]).astype(np.int32)),
-        pa.array(np.concatenate([empty, *stops, np.zeros(len(prints), np.int64)]).astype(np.int32), mask=is_print),
-        *[pa.array(np.concatenate([blank, prints[:, c]]), mask=~is_print) for c in (0, 1)],
-        pa.array(np.full(len(rows), table.column("shard")[0].as_py(), np.int32)), pa.array(np.concatenate([blank.astype(bool), sure]), mask=~is_print)]
-    return pa.table(columns, [f.split()[0] for f in _FOUND.split(", ")])
+        starts.append(np.arange(len(marks[i])) + begin[row])
+        owners.append(np.full(len(marks[i]), row))
+    prints, sure, starts, owners = (np.concatenate(x) for x in (prints, sure, starts, owners))
+    order = np.lexsort((prints["low"], prints["high"]))
+    part = (prints["low"][order] % np.uint64(parts)).astype(np.int64)
+    out = []
+    for p in np.unique(part).tolist():
+        own = order[part == p]
+        names, place = np.unique(owners[own], return_inverse=True)
+        out.append({"part": p, "shard": table.column("shard")[0].as_py(), "prints": prints[own].tobytes(), "sure": sure[own].tobytes(),
+                    "starts": starts[own].astype("<i4").tobytes(), "owners": place.astype("<i4").tobytes(), "keys": keys.take(pa.array(names)).to_pylist()})
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.binary())]
+    fields = [f.split()[0] for f in _FOUND.split(", ")]
+    run_rows = pa.table({f: pa.array([r[f] for r in out], k) for f, k in zip(fields[3:], kinds, strict=True)})
+    return pa.concat_tables([spans, run_rows], promote_options="default").select(fields)
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    """Sorted windows of several shards -> spans of those that another shard has too.
+    """The runs of all shards for one part -> spans of the windows that another shard has too.
 
-    Each shard's run is searched for the windows of all others at once: the places of a
-    window's fingerprint in the sorted whole, from the left and from the right, tell whether
-    more than one shard has it.
+    The runs are merged to one sorted array; where a window's fingerprint begins and ends in it
+    is found by binary search, and more than one shard between the two makes the window a repeat.
     """
-    print_ = np.stack([np.asarray(table.column("high")), np.asarray(table.column("low"))], 1)
-    whole = np.ascontiguousarray(print_).view([("high", np.int64), ("low", np.int64)])[:, 0]
-    shard = np.asarray(table.column("shard"))
-    several = np.zeros(len(whole), bool)
-    sorted_runs = {s: np.sort(whole[shard == s]) for s in np.unique(shard)}
-    for s, run in sorted_runs.items():
-        mine = np.flatnonzero(shard != s)
-        at = np.minimum(np.searchsorted(run, whole[mine]), len(run) - 1)
-        several[mine] |= run[at] == whole[mine]
-    keep = several & ~np.asarray(table.column("sure"))
-    start = np.asarray(table.column("start"))[keep]
-    return pa.table({"key": table.column("key").filter(pa.array(keep)).cast(pa.binary()), "start": pa.array(start, pa.int32()), "stop": pa.array(start + LENGTH, pa.int32())})
+    rows = table.select(["shard", "prints", "sure", "starts", "owners", "keys"]).to_pylist()
+    lengths = [len(r["sure"]) for r in rows]
+    whole = np.concatenate([np.frombuffer(r["prints"], _PRINT) for r in rows])
+    shard = np.repeat([r["shard"] for r in rows], lengths)
+    row_of = np.repeat(np.arange(len(rows)), lengths)
+    sure, starts, owners = (np.concatenate([np.frombuffer(r[c], t) for r in rows]) for c, t in (("sure", bool), ("starts", "<i4"), ("owners", "<i4")))
+    order = np.lexsort((shard, whole["low"], whole["high"]))
+    high = whole["high"][order]
+    new = np.append(True, (high[1:] != high[:-1]) | (whole["low"][order][1:] != whole["low"][order][:-1]))
+    begins = np.flatnonzero(new)
+    at = np.arange(len(order))
+    first = begins[np.searchsorted(begins, at, "right") - 1]
+    last = np.append(begins[1:], len(order))[np.searchsorted(begins, at, "right") - 1] - 1
+    several = shard[order[first]] != shard[order[last]]
+    keep = order[several & ~sure[order]]
+    keys = [rows[r]["keys"][o] for r, o in zip(row_of[keep].tolist(), owners[keep].tolist(), strict=True)]
+    return pa.table({"key": pa.array(keys, pa.binary()), "start": pa.array(starts[keep], pa.int32()), "stop": pa.array(starts[keep] + LENGTH, pa.int32())})
 
 
 # ---- cutting ----------------------------------------------------------------------------------------
@@ -319,8 +334,8 @@ def cut_texts(docs: DataFrame, text: str = "text", most: int = HOT) -> DataFrame
         "key", F.col("p.anchors").alias("anchor"), F.col("p.begins").alias("begin"), F.col("p.counts").alias("windows"), F.col("p.times").alias("times"))
     shared = pin(pieces.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1"), "shared-anchors")
     alive = pin(pieces.drop("times").join(shared, "anchor"), "alive-pieces")
-    size = alive.agg(F.sum(F.col("windows") + LENGTH - 1)).first()[0] or 0
-    shards = 1 + size // SHARD_BYTES
+    size, hot = alive.agg(F.sum(F.col("windows") + LENGTH - 1), F.sum(F.when(F.col("n") > most, F.col("windows")))).first()
+    shards, parts = 1 + (size or 0) // SHARD_BYTES, 1 + (hot or 0) // MERGE_ROWS
 
     wanted = alive.select("key").distinct()
     once = pin(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "cut-candidates")
@@ -328,11 +343,8 @@ def cut_texts(docs: DataFrame, text: str = "text", most: int = HOT) -> DataFrame
     dealt = alive.join(once, "key").select(
         "key", "begin", "n", F.pmod(F.xxhash64("anchor", part), F.lit(shards)).cast("int").alias("shard"),
         F.expr(f"substring(text, begin + 1, windows + {LENGTH - 1})").alias("piece"))
-    found = pin(dealt.groupBy("shard").applyInArrow(_search(most), _FOUND), "found")
-    prints = found.where("high is not null")
-    merges = 1 + prints.count() // MERGE_ROWS
-    merged = (prints.withColumn("part", F.pmod("high", F.lit(merges))).groupBy("part")
-              .applyInArrow(_merge, "key binary, start int, stop int"))
+    found = pin(dealt.groupBy("shard").applyInArrow(_search(most, parts), _FOUND), "found")
+    merged = (found.where("prints is not null").groupBy("part").applyInArrow(_merge, "key binary, start int, stop int"))
     spans = found.where("stop is not null").select("key", "start", "stop").union(merged)
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return once.join(spans, "key").select("key", "text", "spans").mapInArrow(_cut, "key binary, n_removed long, n_spans long, kept binary")
