@@ -31,25 +31,17 @@ from pyspark.sql import functions as F
 from sensorlake.schemas import FEATURES
 from sensorlake.session import ensure_checkpoint_dir
 
-# Broadcast a per-segment / per-group side table only below this many rows;
-# beyond it the join is left to a shuffle (and AQE).
-BROADCAST_MAX_ROWS = 1_000_000
-
 _PID, _MID = "_pid", "_mid"
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], bounded: bool = False,
-               max_rows: int = BROADCAST_MAX_ROWS, how: str = "inner") -> DataFrame:
-    """Join a side table, broadcasting it only when its size is proven small:
-    either bounded by construction (``bounded``) or counted below ``max_rows``."""
+               how: str = "inner") -> DataFrame:
+    """Join a side table. It is broadcast by hand only where its size is bounded by construction: one row
+    (no ``on``), or ``bounded``, one row per shuffle partition. Any other table grows with the data, and
+    Spark picks the join from its measured bytes."""
     if not on:
         return big.crossJoin(F.broadcast(small))
-    if bounded:
-        return big.join(F.broadcast(small), on, how)
-    small = small.persist()  # counted once, then joined without recomputing it
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    return big.join(F.broadcast(small) if bounded else small, on, how)
 
 
 def sequence(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None,
@@ -271,21 +263,31 @@ def interpolate(df: DataFrame, order_cols: list[str], features: list[str] = FEAT
 KEEP_ORDER_COLS = ("timestamp", "device_id")
 
 
-def clean_batch(df: DataFrame, order_cols: list[str], features: list[str] = FEATURES,
-                group_cols: list[str] | None = None, exact_quantiles: bool = True,
-                num_partitions: int | None = None, keep_index: str | None = None) -> DataFrame:
-    """AG9 -> FL6 -> WN5 in one plan: the batch is sequenced (and pinned) once,
-    quantiles are taken from the pinned rows, clipping keeps the segment
-    columns, and interpolation runs on the clipped rows."""
-    group_cols = list(group_cols or [])
+def sequence_batch(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None,
+                   num_partitions: int | None = None) -> DataFrame:
+    """``sequence`` without the columns that only break ties."""
     keep = [c for c in df.columns if c not in order_cols or c in KEEP_ORDER_COLS]
-    seq = sequence(df, order_cols, group_cols, num_partitions, keep=keep)
+    return sequence(df, order_cols, group_cols, num_partitions, keep=keep)
+
+
+def clean_sequenced(seq: DataFrame, features: list[str] = FEATURES, group_cols: list[str] | None = None,
+                    exact_quantiles: bool = True, keep_index: str | None = None) -> DataFrame:
+    """AG9 -> FL6 -> WN5 on sequenced rows. A time slice of them will do: it is a run of neighbours in the
+    order (of each group), and only distances between rows enter the interpolation."""
+    group_cols = list(group_cols or [])
     limits = batch_quantiles(seq, features, group_cols=group_cols, exact=exact_quantiles)
-    joined = join_small(seq, limits, group_cols, bounded=not group_cols)
-    clipped = joined
+    clipped = join_small(seq, limits, group_cols, bounded=not group_cols)
     for f in features:
         x = F.col(f)
         clipped = clipped.withColumn(f, F.when((x < F.col(f"{f}_lo")) | (x > F.col(f"{f}_hi")),
                                                F.lit(None).cast("double")).otherwise(x))
-    clipped = clipped.select(*seq.columns)
-    return interpolate_sequenced(clipped, features, group_cols, keep_index)
+    return interpolate_sequenced(clipped.select(*seq.columns), features, group_cols, keep_index)
+
+
+def clean_batch(df: DataFrame, order_cols: list[str], features: list[str] = FEATURES,
+                group_cols: list[str] | None = None, exact_quantiles: bool = True,
+                num_partitions: int | None = None, keep_index: str | None = None) -> DataFrame:
+    """AG9 -> FL6 -> WN5 in one plan: the batch is sequenced (and pinned) once, quantiles are taken from
+    the pinned rows, clipping keeps the segment columns, and interpolation runs on the clipped rows."""
+    seq = sequence_batch(df, order_cols, group_cols, num_partitions)
+    return clean_sequenced(seq, features, group_cols, exact_quantiles, keep_index)

@@ -80,13 +80,15 @@ def append_new(new: DataFrame, existing: DataFrame | None, keys: list[str] = KEY
 
 
 def dedupe_first(df: DataFrame, keys: list[str] = KEYS, order_col: str = "ingest_seq") -> DataFrame:
-    """WN1/FL10/JN2: keep the first copy of every key by ``order_col``.
+    """WN1/FL10/JN2: keep the first copy of every key by ``order_col``; among
+    copies of one load, the least by all their columns, so reruns agree.
 
-    ``min_by`` is an aggregate, so copies of a hot key are reduced on the map
-    side before the shuffle instead of being collected into one window task.
+    ``min`` of a struct is an aggregate, so copies of a hot key are reduced on the
+    map side before the shuffle instead of being collected into one window task.
     """
     others = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_first")
+    ranked = [order_col, *[c for c in others if c != order_col]]
+    first = F.min(F.struct(*[F.col(c) for c in ranked])).alias("_first")
     return df.groupBy(*keys).agg(first).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in others])
 
 

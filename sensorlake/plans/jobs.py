@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.functions.columns import floor_hour
-from sensorlake.operators.clean import clean_batch
+from sensorlake.operators.clean import clean_sequenced, sequence_batch
 from sensorlake.operators.marts import all_marts, hourly_stats
 from sensorlake.operators.parse import accepted, parse_lines, rejected
 from sensorlake.operators.rollup import minute_rollup
@@ -50,13 +50,13 @@ def minute_batch(lines: DataFrame, watermark: _dt.datetime | None = None, clean:
         lines = lines.withColumn("file_name", F.lit(""))
     rows = accepted(parse_lines(lines, keep=["file_name"]))
     if clean:
-        # the cleaning reads the batch several times (cut, range sampling,
-        # shuffle): parse the text once and read the pinned rows after that
-        rows = pinned(rows)
+        # one pin: the parsed rows in time order, without the raw text; the cut,
+        # the quantiles and the interpolation read it
+        rows = sequence_batch(rows, ORDER_COLS, group_cols, num_partitions)
     # FL4: the cut uses the max over the whole batch, before the lower bound
     rows = after_watermark(full_periods(rows, "minute"), watermark)
     if clean:
-        rows = clean_batch(rows, ORDER_COLS, FEATURES, group_cols, exact_quantiles, num_partitions)
+        rows = clean_sequenced(rows, FEATURES, group_cols, exact_quantiles)
     return minute_rollup(rows, with_count=False)
 
 

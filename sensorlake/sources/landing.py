@@ -2,7 +2,7 @@
 
 A landing file is named after the timestamp of its last record
 (``yyyy-MM-dd_HH_mm_ss.SSSSSS.txt``); files written by ``write_landing`` carry
-that label as a ``batch=<label>`` partition directory instead, because Spark
+that label as a ``day=<date>/batch=<label>`` directory instead, because Spark
 does not choose file names. Either form is understood by ``read_landing``.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorlake.functions.columns import (batch_label_from_line, epoch_to_timestamp,
@@ -26,16 +26,36 @@ def _file_time():
     return F.coalesce(file_name_timestamp(path), from_dir)
 
 
+def _paths_since(spark: SparkSession, path: str, since: _dt.datetime) -> list[str]:
+    """What of a landing folder may hold files later than ``since``: its ``day=`` folders from that day
+    on, or the folder itself if it holds files of its own. One listing of the top level."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root) or not fs.getFileStatus(root).isDirectory():
+        return [path]
+    names = [(s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(root)]
+    days = [n for n, folder in names if folder and n.startswith("day=")]
+    others = [n for n, _ in names if n not in days and not n.startswith(("_", "."))]
+    if others or not days:
+        return [path]
+    late = [n for n in days if n[len("day="):] >= since.date().isoformat()]
+    return [f"{path.rstrip('/')}/{n}" for n in sorted(late or days[-1:])]
+
+
 def read_landing(spark: SparkSession, path: str | list[str], since: _dt.datetime | None = None,
                  recursive: bool = True) -> DataFrame:
     """SC1+SC2+SC3+SO1: one row per line of every landing file under ``path``.
 
     Columns: ``value`` (the raw line), ``file_path``, ``file_name``,
     ``file_time`` (NULL for a malformed name). With ``since``, only files whose
-    name time is strictly later are read; the literal filter on file metadata
-    prunes the file listing before any byte is read.
+    name time is strictly later are read: of ``day=`` folders only those from
+    that day on are listed, and the filter on the file's time drops the other
+    files before any byte of them is read.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    if since is not None:
+        paths = [p for one in paths for p in _paths_since(spark, one, since)]
     reader = spark.read.schema(RAW_LINE)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -74,19 +94,21 @@ def batch_labels(lines: DataFrame, order_cols: list[str], index_col: str = "row_
 def write_landing(lines: DataFrame, path: str, index_col: str = "row_idx",
                   batch_size: int = LANDING_FILE_RECORDS, mode: str = "append") -> None:
     """SK1+SK2: write lines (with a dense 1-based ``index_col`` in arrival
-    order) as files of at most ``batch_size`` records, one file per batch,
-    each in a ``batch=<label of its last record>`` directory."""
-    labels = batch_labels(lines, [index_col], index_col, batch_size)
+    order) as files of at most ``batch_size`` records, one file per batch, each
+    in a ``day=<date>/batch=<label of its last record>`` directory.
+
+    One shuffle: a batch's rows meet in a task, which also labels them."""
+    batch = F.floor((F.col(index_col) - 1) / batch_size)
+    own = Window.partitionBy("batch_no")
     # the label's time part 'HH:mm:ss' becomes 'HH_mm_ss': ':' is not a
     # portable path character (file sources cannot read it back)
-    labels = labels.select("batch_no", F.regexp_replace("batch", ":", "_").alias("batch"))
-    batched = lines.withColumn("batch_no", F.floor((F.col(index_col) - 1) / batch_size))
-    out = (batched.join(labels, "batch_no")
-           .repartition("batch")                      # one task, one file per batch
-           .sortWithinPartitions("batch", index_col)
-           .select("value", "batch"))
+    label = F.regexp_replace(batch_label_from_line(F.max_by("value", index_col).over(own)), ":", "_")
+    out = (lines.select("value", index_col, batch.alias("batch_no")).withColumn("batch", label)
+           .withColumn("day", F.substring("batch", 1, 10))
+           .sortWithinPartitions("day", "batch", index_col)
+           .select("value", "day", "batch"))
     (out.write.mode(mode).option("maxRecordsPerFile", batch_size)
-     .partitionBy("batch").text(path))
+     .partitionBy("day", "batch").text(path))
 
 
 def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
