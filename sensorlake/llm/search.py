@@ -7,6 +7,10 @@ every block of documents.  Blocks are scored in falling order of their bounds, a
 bound reaches the k-th best score the rest is skipped, as WAND skips what lies before its pivot.
 Nothing that could rank is skipped, so a shard's answer is exact.
 
+Terms that stand in more than ``COMMON`` of a shard's documents have no list: their impacts are
+rows of a matrix, which gives their exact part of all scores of ``TOGETHER`` queries in one product,
+and this part's maxima, in place of those of each term, enter the bounds.
+
 Document frequencies, the number of documents and their mean length are those of the whole corpus,
 so scores of different shards compare and the best k of all shards are the best k.
 
@@ -33,8 +37,10 @@ from sensorlake.llm.scratch import pin
 from sensorlake.llm.ship import ship
 
 K1, B = 1.2, 0.75
-BLOCK = 32
-SHARD_BYTES = 16 << 20
+BLOCK = 128
+SHARD_BYTES = 48 << 20
+COMMON = 1 / 16  # of a shard's documents
+TOGETHER = 64  # queries
 DIGITS = 6
 SLICE = 1 << 20
 
@@ -92,24 +98,27 @@ _INDEX = "shard int, ids binary, lengths binary, terms binary, begins binary, do
 def _build(table: pa.Table) -> pa.Table:
     """All rows (shard, doc_id, text) of a shard -> one index row; documents in order of length, then id."""
     ids = np.asarray(table.column("doc_id"))
+    shard = table.column("shard")[0].as_py()
     owners, terms, times, lengths, done = [], [], [], [], 0
     for whole in table.to_batches():
         for batch in W.slices(whole, 2, SLICE):
             o, h, t, n = term_counts(*W.text_bytes(batch.column(2)))
-            owners.append(o + done)
+            owners.append((o + done).astype(np.int32))
             terms.append(h)
-            times.append(t)
+            times.append(t.astype(np.int32))
             lengths.append(n)
             done += batch.num_rows
+    del table
     lengths = np.concatenate(lengths)
     by = np.lexsort((ids, lengths))
-    place = np.empty(len(by), np.int64)
-    place[by] = np.arange(len(by))
+    place = np.empty(len(by), np.int32)
+    place[by] = np.arange(len(by), dtype=np.int32)
     docs, terms, times = place[np.concatenate(owners)], np.concatenate(terms), np.concatenate(times)
     order = np.lexsort((docs, terms))
     docs, terms, times = docs[order], terms[order], times[order]
+    del order
     begins = np.flatnonzero(np.append(True, terms[1:] != terms[:-1])) if len(terms) else np.zeros(0, np.int64)
-    row = [table.column("shard")[0].as_py(), ids[by].astype("<i8").tobytes(), lengths[by].astype("<i4").tobytes(), terms[begins].astype("<u8").tobytes(),
+    row = [shard, ids[by].astype("<i8").tobytes(), lengths[by].astype("<i4").tobytes(), terms[begins].astype("<u8").tobytes(),
            np.append(begins, len(terms)).astype("<i4").tobytes(), _narrow(docs), _narrow(times)]
     return pa.table({f.split()[0]: pa.array([v], pa.int32() if f.endswith("int") else pa.binary()) for f, v in zip(_INDEX.split(", "), row, strict=True)})
 
@@ -134,57 +143,78 @@ def _spread(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """An index row with impacts and block maxima, ready to search."""
+    """An index row with block maxima and the matrix of common terms, ready to search."""
 
     def __init__(self, row: dict, mean_length: float):
         self.ids, lengths = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["lengths"], "<i4")
         self.terms, begins = np.frombuffer(row["terms"], "<u8"), np.frombuffer(row["begins"], "<i4")
-        self.docs, self.times = _wide(row["docs"]), _wide(row["times"])
-        self.norm = K1 * (1 - B + B * lengths / mean_length)
+        self.docs, times = _wide(row["docs"]), _wide(row["times"])
+        times = times.astype(float)
+        self.impact = times * (K1 + 1) / (times + (K1 * (1 - B + B * lengths / mean_length))[self.docs])
+        del times
+        self.blocks = -(-len(self.ids) // BLOCK)
+        counts = np.diff(begins)
+        common = np.flatnonzero(counts > COMMON * len(self.ids)) if len(self.terms) else np.zeros(0, np.int64)
+        self.row_of = np.full(len(self.terms), -1, np.int32)
+        self.row_of[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), self.blocks * BLOCK))
+        for i, t in enumerate(common.tolist()):
+            own = slice(begins[t], begins[t + 1])
+            self.matrix[i, self.docs[own]] = self.impact[own]
         # a part is what one term has in one block of documents
         new = np.append(True, self.docs[1:] // BLOCK != self.docs[:-1] // BLOCK) if len(self.docs) else np.zeros(0, bool)
         new[begins[:-1]] = True
         self.part_begin = np.append(np.flatnonzero(new), len(self.docs)).astype(np.int32)
         self.part_block = (self.docs[self.part_begin[:-1]] // BLOCK).astype(np.int32)
-        self.part_most = np.maximum.reduceat(self.impact(slice(None)), self.part_begin[:-1]) if len(self.docs) else np.zeros(0)
-        self.term_parts = np.searchsorted(self.part_begin[:-1], begins)
-        self.blocks = -(-len(self.ids) // BLOCK)
+        self.part_most = np.maximum.reduceat(self.impact, self.part_begin[:-1]) if len(self.docs) else np.zeros(0)
+        self.term_parts = np.searchsorted(self.part_begin[:-1], begins).astype(np.int32)
         self.scored = 0  # blocks, over all queries
 
-    def impact(self, postings) -> np.ndarray:
-        times = self.times[postings].astype(float)
-        return times * (K1 + 1) / (times + self.norm[self.docs[postings]])
-
-    def top(self, own: int, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best ``k`` documents but ``own``; terms in ascending order."""
+    def top(self, queries: list[tuple[int, np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids and scores of the best ``k`` documents for each query (own id, terms in ascending order, their idf)."""
         if not len(self.terms):
-            return self.ids[:0], np.zeros(0)
-        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        known = self.terms[at] == terms
-        at, idf = at[known], idf[known]
+            return [(self.ids[:0], np.zeros(0)) for _ in queries]
+        weights, rare = np.zeros((len(queries), len(self.matrix))), []
+        for i, (_, terms, idf) in enumerate(queries):
+            at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+            known = self.terms[at] == terms
+            at, idf = at[known], idf[known]
+            rows = self.row_of[at]
+            weights[i, rows[rows >= 0]] = idf[rows >= 0]
+            rare.append((at[rows < 0], idf[rows < 0]))
+        base = weights @ self.matrix
+        return [self._best(own, *some, scores, k) for (own, _, _), some, scores in zip(queries, rare, base, strict=True)]
+
+    def _best(self, own: int, at: np.ndarray, idf: np.ndarray, base: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``base``: the common terms' part of every document's score."""
         first, last = self.term_parts[at], self.term_parts[at + 1]
         parts = _spread(first, last)
         weight = np.repeat(idf, last - first)
         block = self.part_block[parts]
-        bound = np.bincount(block, weight * self.part_most[parts], self.blocks)
+        bound = np.bincount(block, weight * self.part_most[parts], self.blocks) + base.reshape(-1, BLOCK).max(1)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        ids, scores, done, step, least = self.ids[:0], np.zeros(0), 0, 4, -1.0
+        score = base[:len(self.ids)]
+        ids, scores, done, step, least = self.ids[:0], np.zeros(0), 0, 32, -1.0
         while done < len(order) and bound[order[done]] >= least:
+            now = order[done:done + step]
+            done, step = done + step, step * 4
             chosen = np.zeros(self.blocks, bool)
-            chosen[order[done:done + step]] = True
-            done, step = done + step, step * 2
+            chosen[now] = True
             own_parts = chosen[block]
             begin, end = self.part_begin[parts[own_parts]], self.part_begin[parts[own_parts] + 1]
             posting = _spread(begin, end)
-            score = np.bincount(self.docs[posting], np.repeat(weight[own_parts], end - begin) * self.impact(posting), len(self.ids))
-            found = np.flatnonzero(score)
-            found = found[self.ids[found] != own]
-            ids, scores = np.concatenate([ids, self.ids[found]]), np.concatenate([scores, np.round(score[found], DIGITS)])
+            more = np.bincount(self.docs[posting], np.repeat(weight[own_parts], end - begin) * self.impact[posting], len(self.ids))
+            docs = (now[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            docs = docs[docs < len(self.ids)]
+            total = score[docs] + more[docs]
+            docs, total = docs[total > max(least, 0)], total[total > max(least, 0)]
+            other = self.ids[docs] != own
+            ids, scores = np.concatenate([ids, self.ids[docs[other]]]), np.concatenate([scores, np.round(total[other], DIGITS)])
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
             if len(ids) == k:
-                least = scores[-1] - 10.0 ** -DIGITS  # a bound that rounds to the k-th score may still tie
+                least = scores[-1] - 10.0 ** -DIGITS  # what rounds to the k-th score may still tie
         self.scored += min(done, len(order))
         return ids, scores
 
@@ -193,19 +223,27 @@ def _search(k: int, mean_length: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = None, None
         for batch in batches:
-            out: list[list] = [[], [], []]
             kinds, shards = np.asarray(batch.column(1)), np.asarray(batch.column(0))
-            for i in range(batch.num_rows):
-                if kinds[i] == 0:
-                    shard, number = Shard(batch.slice(i, 1).to_pylist()[0], mean_length), shards[i]
-                elif shards[i] == number:
-                    query = batch.column(2)[i].as_py()
-                    words = batch.column(3)[i].values
-                    ids, scores = shard.top(query, np.asarray(words.field("term")).view(np.uint64), np.asarray(words.field("idf")), k)
-                    out[0] += [query] * len(ids)
-                    out[1] += ids.tolist()
-                    out[2] += scores.tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["query_id", "doc_id", "score"])
+            at = 0
+            while at < batch.num_rows:
+                if kinds[at] == 0:
+                    shard, number = None, None  # before the next one is opened
+                    shard, number = Shard(batch.slice(at, 1).to_pylist()[0], mean_length), shards[at]
+                    at += 1
+                    continue
+                stop = at + 1
+                while stop < batch.num_rows and kinds[stop] == 1 and shards[stop] == shards[at] and stop - at < TOGETHER:
+                    stop += 1
+                if shards[at] == number:  # else the shard holds no document
+                    queries = []
+                    for i in range(at, stop):
+                        words = batch.column(3)[i].values
+                        queries.append((batch.column(2)[i].as_py(), np.asarray(words.field("term")).view(np.uint64), np.asarray(words.field("idf"))))
+                    found = shard.top(queries, k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat([q for q, _, _ in queries], [len(i) for i, _ in found]), pa.int64()),
+                         pa.array(np.concatenate([i for i, _ in found])), pa.array(np.concatenate([s for _, s in found]))], ["query_id", "doc_id", "score"])
+                at = stop
 
     return run
 
@@ -230,7 +268,7 @@ class Index:
         count = 1 + size // SHARD_BYTES
         # rows that share an id are dealt by their texts too
         dealt = body.select(F.pmod(F.xxhash64("doc_id", F.substring("text", -64, 64)), F.lit(count)).cast("int").alias("shard"), "doc_id", "text")
-        shards = pin(dealt.groupBy("shard").applyInArrow(_build, _INDEX), "bm25-index")
+        shards = pin(dealt.repartition(4 * count, "shard").groupBy("shard").applyInArrow(_build, _INDEX), "bm25-index")
         return Index(shards, count, documents, length / documents if length else 1.0, sums.where("term is not null").select("term", "documents"))
 
     def search(self, queries: DataFrame, k: int = 10, query_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -248,7 +286,7 @@ class Index:
         every = words.select(F.explode(F.sequence(F.lit(0), F.lit(self.count - 1))).alias("shard"), F.lit(1).alias("kind"), "query_id", "words", *nothing)
         stored = self.shards.select("shard", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("query_id"),
                                     F.lit(None).cast("array<struct<term:bigint,idf:double>>").alias("words"), "ids", "lengths", "terms", "begins", "docs", "times")
-        work = stored.union(every).repartition("shard").sortWithinPartitions("shard", "kind")
+        work = stored.union(every).repartition(4 * self.count, "shard").sortWithinPartitions("shard", "kind")
         found = work.mapInArrow(_search(k, self.mean_length), "query_id long, doc_id long, score double")
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
         return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")

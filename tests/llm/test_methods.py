@@ -282,7 +282,7 @@ def test_blocks_are_skipped_without_loss(spark, monkeypatch):
         _, terms, _, _ = search.term_counts(*W.text_bytes(pa.array([text])))
         known = np.array([t for t in terms.tolist() if np.uint64(t).astype(np.int64).item() in frequency], np.uint64)
         df = np.array([frequency[np.uint64(t).astype(np.int64).item()] for t in known.tolist()], float)
-        ids, scores = shard.top(q, known, np.log1p((900 - df + 0.5) / (df + 0.5)), 5)
+        [(ids, scores)] = shard.top([(q, known, np.log1p((900 - df + 0.5) / (df + 0.5)))], 5)
         assert list(zip(ids.tolist(), scores.tolist(), strict=True)) == want[q]
         total += shard.blocks
     assert shard.scored < 0.8 * total
