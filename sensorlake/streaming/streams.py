@@ -156,6 +156,8 @@ def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path
         pending = after_watermark(rows, own.latest_timestamp(MINUTE_TABLE_NAME))
         pending.write.mode("overwrite").parquet(f"{pending_path}/batch={batch_id}")
         lake.refresh(MINUTE_TABLE_NAME)  # readers of the caller's session
+        if batch_id > 1:  # this batch may still be replayed, the one before it not
+            _delete(bspark, f"{pending_path}/batch={batch_id - 2}")
 
     src = landing_stream(spark, landing_path, max_files_per_trigger)
     writer = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_path)
@@ -163,6 +165,11 @@ def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path
     return writer.start()
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def landing_sink(lines: DataFrame, path: str, checkpoint_path: str,
                  records_per_file: int = LANDING_FILE_RECORDS, trigger: dict | None = None):
     """SS7: stream raw lines into landing text files of at most

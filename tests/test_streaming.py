@@ -82,6 +82,7 @@ def test_three_micro_batches_equal_three_batch_runs(spark, scratch):
         want = sorted(tuple(r) for r in lake_b.read(MINUTE_TABLE_NAME).select(*key).collect())
         assert got == want and len(got) == 8 * (k + 1)
     assert duplicate_keys(lake_s.read(MINUTE_TABLE_NAME)).count() == 0
+    assert sorted(f for f in os.listdir(pending) if f.startswith("batch")) == ["batch=1", "batch=2"]
     assert {r["device_id"] for r in lake_s.read(MINUTE_TABLE_NAME).collect()} == set(devices)
 
 
