@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorlake.llm import mixing, search, secrets
+from sensorlake.llm import mixing, search, secrets, suffix
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -75,6 +75,22 @@ r AS (SELECT query_id, doc_id, round(s, {search.DIGITS}) AS score, row_number()
 SELECT query_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 10
 """
 
+#: Bytes as two hexadecimal digits each: byte p of a text begins at digit 2 * p + 1.
+OP10 = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+w AS MATERIALIZED (SELECT doc_id, p, md5(substr(h, 2 * p + 1, {2 * suffix.LENGTH})) AS m FROM (SELECT doc_id, h, unnest(range(0, n - {suffix.LENGTH - 1})) AS p FROM d)),
+s AS (SELECT doc_id, p FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+edges AS (SELECT doc_id, p, coalesce(p > lag(p) OVER o + {suffix.LENGTH}, true) AS first_ FROM s WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+islands AS (SELECT doc_id, p, sum(first_::INT) OVER (PARTITION BY doc_id ORDER BY p) AS i FROM edges),
+spans AS (SELECT doc_id, i, min(p) AS a, max(p) + {suffix.LENGTH} AS b FROM islands GROUP BY 1, 2),
+gaps AS (SELECT doc_id, i, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY i), 0) AS x, a AS y FROM spans
+  UNION ALL SELECT d.doc_id, 1000000000, coalesce(max(b), 0), any_value(n) FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id),
+kept AS (SELECT doc_id, coalesce(string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY i), '') AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+cut AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_duplicates": OP3, "op4_mixing": OP4, "op7_secrets": OP7, "op9_search": OP9}
+    return {"op3_near_duplicates": OP3, "op4_mixing": OP4, "op7_secrets": OP7, "op9_search": OP9, "op10_repeats": OP10}
