@@ -38,7 +38,7 @@ from sensorlake.llm.ship import send, ship
 from sensorlake.llm.wordids import LETTER, POINT, WordEncoder, cut_words, spread
 
 LEXICON_WORDS, LONGEST = 32_768, 48
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 # ---- the vocabulary -------------------------------------------------------------------------
@@ -345,7 +345,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             every = np.concatenate([known[0], own])
             merged, first, place = np.unique(every, return_index=True, return_inverse=True)
             known = merged, np.concatenate([known[1], words])[first], np.bincount(place, np.concatenate([known[2], counts]), len(merged)).astype(np.int64)
-            if len(merged) > 300_000:
+            if len(merged) > 200_000:
                 yield rows(*known)
                 known = empty
     yield rows(*known)

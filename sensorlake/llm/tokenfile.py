@@ -33,7 +33,7 @@ from sensorlake.llm.scratch import pin
 from sensorlake.llm.ship import send, ship
 from sensorlake.llm.wordids import WordEncoder
 
-SEGMENT_BYTES = 2 << 20  # of text
+SEGMENT_BYTES = 1 << 20  # of text
 PARTITION_BYTES = 32 << 20
 SEGMENT = "part int, seq int, n_docs int, n_tokens long, width int, keys binary, payload binary, seeds binary, slots binary"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)

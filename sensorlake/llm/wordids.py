@@ -17,7 +17,7 @@ import numpy as np
 from sensorlake.llm import words as W
 
 SPACES = b" \t\n\r"
-MEMORY_WORDS = 2_000_000
+MEMORY_WORDS = 1_000_000
 _RECENT = 100_000
 
 
