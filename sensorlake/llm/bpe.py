@@ -35,7 +35,7 @@ from tokenizers import Tokenizer
 from sensorlake.llm import words as W
 from sensorlake.llm.scratch import pin
 from sensorlake.llm.ship import send, ship
-from sensorlake.llm.wordids import LETTER, POINT, WordEncoder, cut_words, spread
+from sensorlake.llm.wordids import POINT, WordEncoder, cut_words, spread
 
 LEXICON_WORDS, LONGEST = 32_768, 48
 SLICE = 1 << 20

@@ -38,7 +38,7 @@ from sensorlake.llm.ship import ship
 
 K1, B = 1.2, 0.75
 BLOCK = 128
-SHARD_BYTES = 48 << 20
+SHARD_BYTES = 32 << 20
 COMMON = 1 / 16  # of a shard's documents
 TOGETHER = 64  # queries
 DIGITS = 6
@@ -149,9 +149,11 @@ class Shard:
         self.ids, lengths = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["lengths"], "<i4")
         self.terms, begins = np.frombuffer(row["terms"], "<u8"), np.frombuffer(row["begins"], "<i4")
         self.docs, times = _wide(row["docs"]), _wide(row["times"])
-        times = times.astype(float)
-        self.impact = times * (K1 + 1) / (times + (K1 * (1 - B + B * lengths / mean_length))[self.docs])
-        del times
+        norm = K1 * (1 - B + B * lengths / mean_length)
+        self.impact = np.empty(len(times))
+        for i in range(0, len(times), 1 << 18):  # in pieces, for small temporary arrays
+            t = times[i:i + (1 << 18)].astype(float)
+            self.impact[i:i + (1 << 18)] = t * (K1 + 1) / (t + norm[self.docs[i:i + (1 << 18)]])
         self.blocks = -(-len(self.ids) // BLOCK)
         counts = np.diff(begins)
         common = np.flatnonzero(counts > COMMON * len(self.ids)) if len(self.terms) else np.zeros(0, np.int64)
@@ -166,7 +168,8 @@ class Shard:
         new[begins[:-1]] = True
         self.part_begin = np.append(np.flatnonzero(new), len(self.docs)).astype(np.int32)
         self.part_block = (self.docs[self.part_begin[:-1]] // BLOCK).astype(np.int32)
-        self.part_most = np.maximum.reduceat(self.impact, self.part_begin[:-1]) if len(self.docs) else np.zeros(0)
+        most = np.maximum.reduceat(self.impact, self.part_begin[:-1]) if len(self.docs) else np.zeros(0)
+        self.part_most = np.nextafter(most.astype(np.float32), np.float32(np.inf))  # rounded up, so still a bound
         self.term_parts = np.searchsorted(self.part_begin[:-1], begins).astype(np.int32)
         self.scored = 0  # blocks, over all queries
 
