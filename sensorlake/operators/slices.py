@@ -65,9 +65,10 @@ def devices(df: DataFrame, device_ids: list[str] | None) -> DataFrame:
 def latest_timestamp(table: DataFrame, ts_col: str = "timestamp") -> _dt.datetime | None:
     """AG11/ST3: ``MAX(timestamp)`` of a table, None when empty.
 
-    Date-partitioned tables are answered from the newest ``dt`` partition only
-    (a partition-column max is served from the file listing), so the scan is one
-    partition, not the table. The result is one scalar.
+    Of a date-partitioned table the timestamps of the newest ``dt`` partition
+    only are read, after an aggregate over the partition column; for a catalog
+    table ``Lakehouse.latest_timestamp`` finds that partition without any scan.
+    The result is one scalar.
     """
     if "dt" in table.columns:
         newest = table.agg(F.max("dt").alias("dt")).first()["dt"]
