@@ -5,7 +5,7 @@ import sys
 import pytest
 from hypothesis import settings
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+sys.path.append(os.path.dirname(os.path.abspath(__file__)))
 
 from edges import CLASHES, DOCUMENTS, edge_documents  # noqa: E402
 
