@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorlake.llm.scratch import partitions
 from sensorlake.llm.ship import ship
 
 SHARD_ROWS = 4096
@@ -201,7 +202,7 @@ def build_index(vectors: DataFrame, shards: int) -> DataFrame:
     ship(vectors.sparkSession)
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     # a given number of partitions: shards are few bytes and much work, so they should not be put together by size
-    dealt = dealt.select("dim", "shard", "vec_id", "vector").repartition(4 * shards, "dim", "shard")
+    dealt = dealt.select("dim", "shard", "vec_id", "vector").repartition(partitions(vectors.sparkSession, shards), "dim", "shard")
     return dealt.groupBy("dim", "shard").applyInArrow(_build, _INDEX)
 
 
@@ -272,7 +273,7 @@ def search(index: DataFrame, queries: DataFrame, shards: int, k: int = 10, beam:
                          *[F.lit(None).cast("binary").alias(c) for c in ("ids", "owners", "vectors", "edges")])
     stored = index.select("dim", "shard", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("array<double>").alias("vector"),
                           "ids", "owners", "vectors", "edges")
-    work = stored.union(asked).repartition(4 * shards, "dim", "shard").sortWithinPartitions("dim", "shard", "kind")
+    work = stored.union(asked).repartition(partitions(queries.sparkSession, shards), "dim", "shard").sortWithinPartitions("dim", "shard", "kind")
     found = work.mapInArrow(_search(k, beam), "query_id long, vec_id long, score double")
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -26,7 +26,7 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest rows of every row whose id is divisible by 100."""
     vectors = ann.vectors_of(_table(spark, sf_dir, "embeddings"))
     shards = ann.shard_count(vectors)
-    index = pin(ann.build_index(vectors, shards), "ann-index")
+    index = pin(ann.build_index(vectors, shards), "ann-index", rows_per_file=8)
     return ann.search(index, vectors.where("vec_id % 100 = 0"), shards, k=10)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.llm import words as W
-from sensorlake.llm.scratch import pin
+from sensorlake.llm.scratch import partitions, pin
 from sensorlake.llm.ship import ship
 
 K1, B = 1.2, 0.75
@@ -271,7 +271,8 @@ class Index:
         count = 1 + size // SHARD_BYTES
         # rows that share an id are dealt by their texts too
         dealt = body.select(F.pmod(F.xxhash64("doc_id", F.substring("text", -64, 64)), F.lit(count)).cast("int").alias("shard"), "doc_id", "text")
-        shards = pin(dealt.repartition(4 * count, "shard").groupBy("shard").applyInArrow(_build, _INDEX), "bm25-index")
+        dealt = dealt.repartition(partitions(docs.sparkSession, count), "shard")
+        shards = pin(dealt.groupBy("shard").applyInArrow(_build, _INDEX), "bm25-index", rows_per_file=8)
         return Index(shards, count, documents, length / documents if length else 1.0, sums.where("term is not null").select("term", "documents"))
 
     def search(self, queries: DataFrame, k: int = 10, query_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -289,7 +290,7 @@ class Index:
         every = words.select(F.explode(F.sequence(F.lit(0), F.lit(self.count - 1))).alias("shard"), F.lit(1).alias("kind"), "query_id", "words", *nothing)
         stored = self.shards.select("shard", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("query_id"),
                                     F.lit(None).cast("array<struct<term:bigint,idf:double>>").alias("words"), "ids", "lengths", "terms", "begins", "docs", "times")
-        work = stored.union(every).repartition(4 * self.count, "shard").sortWithinPartitions("shard", "kind")
+        work = stored.union(every).repartition(partitions(queries.sparkSession, self.count), "shard").sortWithinPartitions("shard", "kind")
         found = work.mapInArrow(_search(k, self.mean_length), "query_id long, doc_id long, score double")
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
         return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")

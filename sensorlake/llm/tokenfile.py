@@ -187,8 +187,10 @@ def write_tokens(docs: DataFrame, vocabulary: str, end: int = 1, doc_id: str = "
     body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     size = body.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     order = ["doc_id", F.xxhash64("text")]
-    ranged = body.repartitionByRange(1 + size // PARTITION_BYTES, *order).sortWithinPartitions(*order)
-    return pin(ranged.mapInArrow(_segments(name, end, width), SEGMENT), "token-file")
+    # a task streams its texts in slices, so a partition may be large; more than the cluster's own number gain nothing
+    parts = min(1 + size // PARTITION_BYTES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = body.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return pin(ranged.mapInArrow(_segments(name, end, width), SEGMENT), "token-file", rows_per_file=64)
 
 
 # ---- reading --------------------------------------------------------------------------------------
