@@ -24,14 +24,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id (operator 3).
+    """One document of each near-duplicate group stays, one with the smallest id (operator 3).
 
-    Rows that share an id are repeats of it and go too, but the one with the least text; rows without an id stay.
+    Only rows with equal or linked texts go.  Rows that share an id and the words are repeats, of which the one
+    with the least text stays; other rows that share an id stay.  A row without words goes only if another has
+    its id and its text; rows without an id stay.
     """
-    groups = setsketch.near_duplicates(docs, percent=80).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.select(COLUMNS).join(pin(groups, "kept"), "doc_id").select(COLUMNS)
-    least = named.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row")).select("doc_id", "row.*")
-    return least.union(docs.select(COLUMNS).where("doc_id is null"))
+    chosen = setsketch.groups(docs, percent=80).where("doc_id = component_id and key = component_key").select("doc_id", "key").distinct()
+    named = setsketch.with_keys(docs.select(COLUMNS).where("doc_id is not null"))
+    # a text without words is told by its digest, which is longer than a class key, and a null one by no bytes
+    key = F.coalesce("key", F.sha2("text", 256).cast("binary"), F.lit(b""))
+    least = named.groupBy("doc_id", key.alias("key")).agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row"))
+    found = least.join(pin(chosen, "kept").withColumn("chosen", F.lit(True)), ["doc_id", "key"], "left")
+    single = found.where("chosen or length(key) <> 16").select("doc_id", "row.*")
+    return single.union(docs.select(COLUMNS).where("doc_id is null"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -128,6 +128,18 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 ["doc_id", "key", "n_shingles", "registers"])
 
 
+def key_batches(text: int):
+    """Rows -> the same rows and, as ``key``, the class key of column number ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in W.slices(whole, text, SLICE):
+                keys = class_keys(*W.word_hashes(*W.text_bytes(batch.column(text))))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "key"])
+
+    return run
+
+
 def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, text) -> key and its sorted shingle hashes, for the texts that have this key."""
     for whole in batches:
@@ -270,8 +282,23 @@ def block_links(percent: int):
 
 # ---- groups -------------------------------------------------------------------------------
 
+def with_keys(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` and the class key of each row's text as ``key``; null without words."""
+    ship(docs.sparkSession)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "key binary"])
+    return docs.mapInArrow(key_batches(docs.columns.index(text)), schema)
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row; links at ``percent`` / 100 or more."""
+    return groups(docs, percent, doc_id, text).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def groups(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The columns of ``near_duplicates``, each row's class ``key``, and ``component_key``.
+
+    Ids may repeat over different texts, so ``component_id`` may name several components; the pair
+    ``component_id, component_key`` is a class of one component only, the least of its pairs of id and key."""
     ship(docs.sparkSession)
     threshold = percent / 100
     body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -291,7 +318,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     # the sets of the classes that are compared, from the texts of their first documents
     asked = pairs.select(F.explode(F.array("a", "b")).alias("key")).union(crowd.select("key")).distinct()
     firsts = pin(nodes.join(asked, "key").select("key", F.col("first_id").alias("doc_id")), "asked")
-    texts = body.join(firsts.hint("merge"), "doc_id").select("key", "text")  # the asked grow with the documents
+    # by key too: an id may have many texts
+    texts = with_keys(body).join(firsts.hint("merge"), ["doc_id", "key"]).select("key", "text")  # the asked grow with the documents
     sets = pin(texts.mapInArrow(shingle_sets, "key binary, shingles binary").groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
 
     one, two = (sets.select(F.col("key").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
@@ -304,12 +332,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     links = pin(sure.union(spanning), "confirmed")
 
     labels = connected_components(links)
-    smallest = (labels.join(nodes.select("key", "first_id"), "key").withColumn("least", F.col("first_id"))
-                .groupBy("label").agg(F.min("least").alias("component_id")))
-    linked_keys = labels.join(smallest, "label").select("key", "component_id")
-    every = nodes.join(linked_keys, "key", "left").select("key", F.coalesce("component_id", "first_id").alias("component_id"))
+    smallest = (labels.join(nodes.select("key", "first_id"), "key")
+                .groupBy("label").agg(F.min(F.struct("first_id", "key")).alias("least")))
+    linked_keys = labels.join(smallest, "label").select("key", F.col("least.first_id").alias("component_id"), F.col("least.key").alias("component_key"))
+    every = nodes.join(linked_keys, "key", "left").select(
+        "key", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component_key", "key").alias("component_key"))
     every = pin(every, "components")
     out = sketched.select("doc_id", "key", "n_shingles").join(every, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.col("component_id"))
     out = out.withColumn("component_id", component.cast("long"))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return out.select("doc_id", "n_shingles", "component_id", kept, "key", "component_key")

@@ -50,3 +50,12 @@ def test_stages(spark, folder, request):
 
 def test_run_on_empty_tables(spark, empty_dir):
     assert P.run(spark, empty_dir).collect() == []
+
+
+def test_rows_that_share_an_id_go_by_their_texts(spark):
+    words = [f"w{i}" for i in range(80)]
+    a, near, b, c = " ".join(words), " ".join([*words[:-1], "other"]), "zz " + " ".join(words[::-1]), "another text under the same id"
+    rows = [(3, a), (7, a), (7, near), (7, b), (7, b.upper()), (7, b), (7, c), (7, None), (7, None), (7, ""), (8, c), (8, ""), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r.doc_id, r.text) for r in P.near_duplicates(spark, docs.repartition(3), "").collect())
+    assert got == Counter([(3, a), (7, b.upper()), (7, c), (7, None), (7, ""), (8, ""), (9, None)])
