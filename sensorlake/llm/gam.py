@@ -249,13 +249,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", most: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most ``most`` labelled rows that are not held out, chosen by the hash of their ids."""
+    """Fit on at most ``most`` labels that are not held out, chosen by the hash of their ids, each with one text."""
     ship(docs.sparkSession)
     known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("double").alias("quality")).dropna()
     sample = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
-    body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    # the sample is broadcast: `most` rows of two numbers
-    rows = body.join(F.broadcast(sample), "doc_id").select("quality", "text").mapInArrow(_sample_features, "quality double, x array<double>")
+    body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    # the sample is broadcast: `most` rows of two numbers; an id with many rows gives its least text, so a label is one row
+    named = body.join(F.broadcast(sample.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
+    rows = named.join(F.broadcast(sample), "doc_id").select("quality", "text").mapInArrow(_sample_features, "quality double, x array<double>")
     table = rows.toArrow()
     x = np.array(table.column("x").to_pylist(), float).reshape(table.num_rows, len(FEATURES))
     y = np.asarray(table.column("quality"), float)

@@ -328,3 +328,18 @@ def test_hot_anchors_are_merged_across_shards(spark, monkeypatch, most):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.remove_repeats(docs, most=most).collect()}
     assert [got[i] for i in range(len(texts))] == brute.repeats([t.encode() for t in texts])
+
+
+# ---- quality ---------------------------------------------------------------------------------------
+
+def test_an_id_with_many_rows_is_one_row_of_the_fit(spark, monkeypatch):
+    monkeypatch.setattr(gam, "fit", lambda x, y: (x, y))
+    ids = [i for i in range(40) if not brute.held_out(i)]
+    rows = [(i, f"text number {i}") for i in range(40)] + [(ids[0], t) for t in [None, "z" * 50, *["many"] * 500]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[0], 1)], "doc_id long, quality int")
+    x, y = gam.train(docs, labels)
+    assert len(x) == len(y) == len(ids) + 1
+    want = gam.features(*W.text_bytes(pa.array(["many" if i == ids[0] else f"text number {i}" for i in [*ids, ids[0]]])))
+    assert sorted(map(tuple, x)) == sorted(map(tuple, want))
+    assert len(gam.train(docs, labels, most=5)[1]) == 5
