@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import ann, bpe, gam, mixing, search, secrets, setsketch, sharding, suffix, tokenfile
+from sensorlake.llm import ann, bpe, gam, mixing, search, secrets, setsketch, sharding, suffix, tokencounts, tokenfile
 from sensorlake.llm.oracle import oracle_sql  # noqa: F401
 from sensorlake.llm.scratch import pin
 
@@ -97,5 +97,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op11_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Bytes and tokens of all documents."""
+    return tokencounts.count_tokens(_table(spark, sf_dir, "documents"), vocabulary or _vocabulary(), limit=2048)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_neighbours, op2_quality, op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe, op9_search, op10_repeats)}
+    return {f.__name__: f for f in (op1_neighbours, op2_quality, op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe, op9_search, op10_repeats, op11_counts)}

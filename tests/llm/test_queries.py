@@ -132,6 +132,15 @@ def test_op10_repeats(spark, edge_dir):
     assert [got[i] for i, _ in DOCS] == want
 
 
+def test_op11_counts(spark, edge_dir):
+    t = tokenizer()
+    got = {r.doc_id: r for r in rows(spark, "op11_counts", edge_dir)}
+    for i, text in DOCS:
+        n = len(t.encode(text or "", add_special_tokens=False).ids)
+        assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((text or "").encode()), n, n > 2048)
+    assert {r.over_limit for r in got.values()} == {False, True}
+
+
 @pytest.mark.parametrize("name", sorted(Q))
 def test_empty_tables(spark, empty_dir, edge_dir, name):
     out = Q[name](spark, empty_dir)
