@@ -124,3 +124,29 @@ def by(rows, key):
     for r in rows:
         out[r[key]].append(r)
     return out
+
+
+def alignment(texts, a, b, bytes_a, bytes_b):
+    """texts: (doc_id, text); a, b: text -> ids; bytes_a, bytes_b: id -> bytes -> doc_id: the columns of op13."""
+    found, linked = {}, Counter()
+    for i, text in texts:
+        raw = (" " + (text or "")).encode()
+        ids_a, ids_b = (a(" " + text), b(text)) if text else ([], [])
+        if not text or b"".join(map(bytes_a, ids_a)) != raw or b"".join(map(bytes_b, ids_b)) != raw:
+            ids_a, ids_b = [], []
+        ends_a = dict(zip(np.cumsum([len(bytes_a(x)) for x in ids_a]).tolist(), range(1, len(ids_a) + 1), strict=True))
+        ends_b = dict(zip(np.cumsum([len(bytes_b(x)) for x in ids_b]).tolist(), range(1, len(ids_b) + 1), strict=True))
+        cuts = [(0, 0), *((ends_a[e], ends_b[e]) for e in sorted(set(ends_a) & set(ends_b)))]
+        groups = [(ids_a[p:r], ids_b[q:s]) for (p, q), (r, s) in zip(cuts, cuts[1:], strict=False)]
+        links = [(x[-1], y[-1]) for x, y in groups]
+        linked.update(links)
+        found[i] = len(ids_a), len(ids_b), groups, links
+    best = defaultdict(int)
+    for (_, y), n in linked.items():
+        best[y] = max(best[y], n)
+    out = {}
+    for i, (n_a, n_b, groups, links) in found.items():
+        line = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out[i] = (n_a, n_b, len(groups), len(links), sum(linked[p] == best[p[1]] for p in links), sum(linked[p] for p in links),
+                  hashlib.sha256(line.encode()).hexdigest() if groups else "")
+    return out, linked
