@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import alignment, ann, bpe, gam, mixing, search, secrets, setsketch, sharding, suffix, tokencounts, tokenfile
+from sensorlake.llm import alignment, ann, bpe, codes, gam, mixing, search, secrets, setsketch, sharding, suffix, tokencounts, tokenfile
 from sensorlake.llm.oracle import oracle_sql  # noqa: F401
 from sensorlake.llm.scratch import pin
 
@@ -102,6 +102,13 @@ def op11_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None)
     return tokencounts.count_tokens(_table(spark, sf_dir, "documents"), vocabulary or _vocabulary(), limit=2048)
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all vectors, their errors, and the errors of their labels."""
+    found, books = codes.compress(_table(spark, sf_dir, "embeddings"))
+    return codes.with_label_errors(found).select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+                                                 F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str, vocabularies: tuple[str, str] | None = None) -> DataFrame:
     """Groups and links of two tokenizers' tokens in all documents."""
     if vocabularies is None:
@@ -112,5 +119,5 @@ def op13_alignment(spark: SparkSession, sf_dir: str, vocabularies: tuple[str, st
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_neighbours, op2_quality, op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe, op9_search, op10_repeats, op11_counts,
+    return {f.__name__: f for f in (op1_neighbours, op2_quality, op3_near_duplicates, op4_mixing, op5_sharding, op6_tokens, op7_secrets, op8_bpe, op9_search, op10_repeats, op11_counts, op12_codes,
                                   op13_alignment)}

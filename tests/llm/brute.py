@@ -150,3 +150,34 @@ def alignment(texts, a, b, bytes_a, bytes_b):
         out[i] = (n_a, n_b, len(groups), len(links), sum(linked[p] == best[p[1]] for p in links), sum(linked[p] for p in links),
                   hashlib.sha256(line.encode()).hexdigest() if groups else "")
     return out, linked
+
+
+def codes(rows, parts=16, entries=64, rounds=2):
+    """rows: (vec_id, components, label), all usable -> one row (vec_id, code, error, label_error, digest) each."""
+    ints = [[math.floor(256 * x) for x in v] for _, v, _ in rows]
+    d = len(ints[0]) // parts
+    cut = [[tuple(v[p * d:(p + 1) * d]) for p in range(parts)] for v in ints]
+    first = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, ints[i]))[:entries]
+    books = [[cut[i][p] for i in first] for p in range(parts)]
+
+    def far(x, e):
+        return sum((a - b) ** 2 for a, b in zip(x, e, strict=True))
+
+    def nearest(v):
+        return [min(range(len(books[p])), key=lambda k: (far(v[p], books[p][k]), k)) for p in range(parts)]
+
+    for _ in range(rounds):
+        own = [nearest(v) for v in cut]
+        for p in range(parts):
+            members = defaultdict(list)
+            for v, code in zip(cut, own, strict=True):
+                members[code[p]].append(v[p])
+            for k, xs in members.items():
+                books[p][k] = tuple(sum(c) // len(xs) for c in zip(*xs, strict=True))
+    own = [nearest(v) for v in cut]
+    error = [sum(far(v[p], books[p][c[p]]) for p in range(parts)) for v, c in zip(cut, own, strict=True)]
+    per = Counter()
+    for (_, _, label), e in zip(rows, error, strict=True):
+        per[label] += e
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return [(i, bytes(c).hex(), e, per[label], digest) for (i, _, label), c, e in zip(rows, own, error, strict=True)]
