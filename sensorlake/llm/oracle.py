@@ -7,17 +7,17 @@ from sensorlake.llm import mixing, search, secrets, suffix
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
 OP3 = f"""
-WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
-s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS sh
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
-n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
-links AS MATERIALIZED (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS sh
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.r < b.r GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT a, b FROM common JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
 both_ways AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
-reach AS (SELECT a AS k, b AS r FROM both_ways UNION SELECT k, b FROM reach JOIN both_ways ON a = r),
-least_ AS (SELECT k, min(r) AS m FROM reach GROUP BY k)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id <= coalesce(m, d.doc_id) AS kept
-FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_ ON k = d.doc_id
+reach AS (SELECT a AS k, b AS r FROM both_ways UNION SELECT k, b FROM reach JOIN both_ways ON a = reach.r),
+least_ AS (SELECT k, min(doc_id) AS m FROM reach JOIN d USING (r) GROUP BY k),
+c AS (SELECT d.r, doc_id, coalesce(least(doc_id, m), doc_id, m) AS component_id FROM d LEFT JOIN least_ ON k = d.r)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, coalesce(doc_id = component_id, component_id IS NULL) AS kept FROM c LEFT JOIN n USING (r)
 """
 
 _TRIALS = ", ".join(str(i) for i in range(mixing.TRIALS))

@@ -14,17 +14,30 @@ the sets are similar.
 4. Pairs that are left are confirmed on the full sets.
 5. Links join classes to components.
 
-Small buckets give their likely pairs to one join with the sets.  A bucket of more than
-``LARGE`` classes is cut into blocks of ``BLOCK``; a task compares two blocks, confirms the
-likely pairs on the spot, and returns a spanning forest of the links it found, so a group
-of copies gives rows in proportion to its size, not to its pairs, and no component is lost.
+The bands are worked off in two rounds.  The first ``FIRST`` bands' links are contracted to
+components; the other bands then look at pairs of different components only.  So a group of
+copies gives links in proportion to its classes, not to its pairs:
+
+* A small bucket gives its likely pairs, at most ``LARGE / 2`` for each class, to one join with
+  the sets; of its confirmed pairs a spanning forest is left.
+* A bucket of more than ``LARGE`` classes first has some classes, drawn by hash, compared with
+  all others (``star_links``), which joins copies of one text in linear time.  In the second
+  round the component that holds most of the bucket is its *main* one.  Pairs inside it need no
+  look; the classes outside it, in blocks of ``BLOCK``, are compared with each other and with
+  the main one's blocks, and a task returns a spanning forest of the components it joined.  A
+  bucket that is one component is left out.
+
+No component is lost: every pair of a bucket is compared in its first common band, unless its
+classes are in one component already.
 
 With 32 bands of 5 registers a pair at similarity 0.85 is missed with probability
 ``(1 - 0.85 ** 5) ** 32``, 7e-9; at 0.8 with 3e-6.  Shingles are compared by 64-bit hashes.
 
-Defined results: null and empty texts, and rows with a null id, have links with nothing;
-an empty text's set is empty; a null id has no component and is kept; repeated rows share a
-class; an empty table gives an empty result.
+Defined results: null and empty texts have links with nothing; an empty text's set is empty.
+Rows with a null id are compared like others: they link what is similar to them, and their
+component is that of the smallest id they reach, null if there is none.  A row is kept if it has
+its component's id, if its component has none, or if it has no words.  Repeated rows share a class;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -47,6 +60,8 @@ REGISTERS = ROWS * BANDS
 BASE, RATE = 1.001, 20.0
 MARGIN = 0.14
 LARGE, BLOCK = 32, 256
+FIRST = 4      # bands of the first round
+LEADERS = 8    # classes of a large bucket that are compared with all others, on average
 SLICE = 1 << 20
 
 _RANDOM = np.random.default_rng(20240229)
@@ -173,19 +188,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), REGISTERS)
 
 
-def likely(regs_a, regs_b, n_a, n_b, band: int, threshold: float) -> np.ndarray:
-    """Which pairs (rows) meet first in this band and may be linked."""
-    same = (regs_a == regs_b).reshape(len(regs_a), BANDS, ROWS).all(2)
-    first = same.argmax(1) == band
+def likely(regs_a, regs_b, n_a, n_b, band: int | None, threshold: float) -> np.ndarray:
+    """Which pairs (rows) meet first in this band, or in any if it is None, and may be linked."""
     out = np.zeros(len(regs_a), bool)
-    at = np.flatnonzero(first)
+    at = np.arange(len(regs_a))
+    if band is not None:
+        same = (regs_a == regs_b).reshape(len(regs_a), BANDS, ROWS).all(2)
+        at = np.flatnonzero(same.argmax(1) == band)
     if len(at):
         out[at] = similarity(regs_a[at], regs_b[at], n_a[at], n_b[at]) >= threshold - MARGIN
     return out
 
 
 def small_pairs(threshold: float):
-    """Rows (value, key, n_shingles, registers) sorted by value -> likely pairs a < b of each bucket."""
+    """Rows (value, key, n_shingles, registers) sorted by value -> value and the likely pairs a < b of each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -211,13 +227,13 @@ def small_pairs(threshold: float):
             left.append((at + i).ravel())
             right.append((at + j).ravel())
         left, right = np.concatenate(left), np.concatenate(right)
-        found: list[tuple[bytes, bytes]] = []
+        found: list[tuple[int, bytes, bytes]] = []
         for k in range(0, len(left), 4096):
             a, b = left[k:k + 4096], right[k:k + 4096]
             bands = (values[a].view(np.uint64) & np.uint64(BANDS - 1)).astype(int)
             for x, y in zip(*_kept(regs, sizes, a, b, bands, threshold), strict=True):
-                found.append((min(keys[x], keys[y]), max(keys[x], keys[y])))
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], ["a", "b"])
+                found.append((values[x], min(keys[x], keys[y]), max(keys[x], keys[y])))
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["value", "a", "b"])
 
     return run
 
@@ -232,49 +248,96 @@ def linked(common: np.ndarray | int, n_a: np.ndarray | int, n_b: np.ndarray | in
 
 
 def confirmed_pairs(percent: int):
-    """Rows (a, b, shingles of a, shingles of b) -> the linked pairs."""
+    """Rows (value, a, b, shingles of a, shingles of b) -> value and the linked pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                keep.append(bool(linked(len(np.intersect1d(s, t, assume_unique=True)), len(s), len(t), percent)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for x, y in zip(batch.column(3), batch.column(4), strict=True):
+                keep.append(_confirmed(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent))
+            yield pa.RecordBatch.from_arrays(batch.columns[:3], ["value", "a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _confirmed(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    return bool(linked(len(np.intersect1d(s, t, assume_unique=True)), len(s), len(t), percent))
+
+
+class Forest:
+    """Sets of nodes that links have joined."""
+
+    def __init__(self):
+        self.parent: dict = {}
+
+    def root(self, x):
+        parent = self.parent
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, x, y) -> bool:
+        """Whether the link joined two sets."""
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.parent[x] = y
+        return x != y
+
+
+def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) -> those of a batch that join what no earlier one had joined."""
+    for batch in batches:
+        forest = Forest()
+        keep = [forest.join(x, y) for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def star_links(percent: int):
+    """A block of a bucket's classes and its leaders -> links between a leader and a class."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        keys, leads = table.column("key").to_pylist(), table.column("leads").to_numpy(zero_copy_only=False)
+        regs, sizes = _matrix(table.column("registers").combine_chunks()), table.column("n_shingles").to_numpy()
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("shingles")]
+        forest, links = Forest(), []
+        own = np.flatnonzero(~leads)
+        for x in np.flatnonzero(leads):
+            at = np.full(len(own), x)
+            for y in own[likely(regs[at], regs[own], sizes[at], sizes[own], None, percent / 100)]:
+                if keys[x] != keys[y] and forest.root(keys[x]) != forest.root(keys[y]) and _confirmed(sets[x], sets[y], percent):
+                    forest.join(keys[x], keys[y])
+                    links.append((keys[x], keys[y]))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
 
     return run
 
 
 def block_links(percent: int):
-    """All rows of two blocks of a bucket -> links that span the components within them."""
+    """All rows of two blocks of a bucket -> links that span the components which they join."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        keys, block = table.column("key").to_pylist(), table.column("block").to_numpy()
+        labels, block = table.column("label").to_pylist(), table.column("block").to_numpy()
         regs, sizes = _matrix(table.column("registers").combine_chunks()), table.column("n_shingles").to_numpy()
         sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("shingles")]
         band = int(np.uint64(table.column("value")[0].as_py() & (BANDS - 1)))
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        parent = list(range(len(keys)))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
+        number = {label: n for n, label in enumerate(dict.fromkeys(labels))}
+        names, own = list(number), np.array([number[label] for label in labels])
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        links = []
+        forest, links = Forest(), []
         for x in left:
-            own = right[right > x] if i == j else right
-            at = np.full(len(own), x)
-            own = own[likely(regs[at], regs[own], sizes[at], sizes[own], np.full(len(own), band), percent / 100)] if len(own) else own
-            for y in own:
-                if root(x) == root(y):  # joined already: this link would change no component
-                    continue
-                if linked(len(np.intersect1d(sets[x], sets[y], assume_unique=True)), len(sets[x]), len(sets[y]), percent):
-                    parent[root(x)] = root(y)
-                    links.append((min(keys[x], keys[y]), max(keys[x], keys[y])))
+            other = right[right > x] if i == j else right
+            other = other[own[other] != own[x]]
+            at = np.full(len(other), x)
+            other = other[likely(regs[at], regs[other], sizes[at], sizes[other], band, percent / 100)] if len(other) else other
+            for y in other:
+                if forest.root(own[x]) != forest.root(own[y]) and _confirmed(sets[x], sets[y], percent):
+                    forest.join(own[x], own[y])
+                    links.append((names[own[x]], names[own[y]]))
         return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
 
     return run
@@ -297,14 +360,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
 def groups(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The columns of ``near_duplicates``, each row's class ``key``, and ``component_key``.
 
-    Ids may repeat over different texts, so ``component_id`` may name several components; the pair
-    ``component_id, component_key`` is a class of one component only, the least of its pairs of id and key."""
+    Ids may repeat over different texts or be null, so ``component_id`` may name several components; the pair
+    ``component_id, component_key`` is a class of one component only, the least of its pairs of id and key
+    (null ids last)."""
     ship(docs.sparkSession)
-    threshold = percent / 100
     body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketched = pin(body.mapInArrow(sketch_batches, "doc_id long, key binary, n_shingles long, registers binary"), "sketches")
-    nodes = pin(sketched.where("key is not null and doc_id is not null").groupBy("key").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "classes")
+    nodes = pin(sketched.where("key is not null").groupBy("key").agg(
+        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"),
+        F.count("*").alias("rows")), "classes")
     bands = nodes.select("key", "registers").mapInArrow(band_values, "key binary, value long")
     full = pin(bands.groupBy("value").agg(F.count("*").alias("members")).where("members > 1"), "buckets")
     members = pin(bands.join(full, "value"), "members")
@@ -312,34 +376,92 @@ def groups(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str
     rich = nodes.select("key", "n_shingles", "registers")
     small = (members.where(F.col("members") <= LARGE).select("value", "key").join(rich, "key")
              .select("value", "key", "n_shingles", "registers").repartition("value").sortWithinPartitions("value"))
-    pairs = pin(small.mapInArrow(small_pairs(threshold), "a binary, b binary"), "pairs")
+    pairs = pin(small.mapInArrow(small_pairs(percent / 100), "value long, a binary, b binary"), "pairs")
     crowd = members.where(F.col("members") > LARGE)
-
-    # the sets of the classes that are compared, from the texts of their first documents
+    sets = _sets(body, nodes, pairs, crowd)
+
+    early = F.col("value").bitwiseAND(F.lit(BANDS - 1)) < FIRST  # the lowest bits tell the band
+    links = _confirm(pairs.where(early), sets, percent).union(_star(crowd.where(early), rich, sets, percent))
+    labels = connected_components(pin(links, "confirmed"))
+    names = labels.select("key", "label")
+
+    own = lambda c: F.coalesce(F.col(f"{c}_label"), F.col(c)).alias(c)
+    apart = pairs.where(~early)
+    for c in "ab":
+        apart = apart.join(names.select(F.col("key").alias(c), F.col("label").alias(f"{c}_label")), c, "left")
+    apart = apart.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b"))
+    late = _confirm(apart.select("value", "a", "b"), sets, percent)
+    for c in "ab":
+        late = late.join(names.select(F.col("key").alias(c), F.col("label").alias(f"{c}_label")), c, "left")
+    late = late.select(own("a"), own("b")).union(_crowded(crowd, names, rich, sets, percent))
+    merged = connected_components(pin(late, "confirmed")).withColumnRenamed("key", "name").withColumnRenamed("label", "last")
+
+    every = nodes.select("key", "first_id", "rows").join(names, "key", "left").withColumn("name", F.coalesce("label", "key"))
+    every = every.join(merged, "name", "left").select("key", "first_id", "rows", F.coalesce("last", "name").alias("label"))
+    every = pin(every, "labels")
+    smallest = every.groupBy("label").agg(F.min(F.struct(F.isnull("first_id"), "first_id", "key")).alias("least"))
+    every = pin(every.join(smallest, "label").select(
+        F.col("key").alias("_key"), "rows", F.col("least.first_id").alias("component_id"), F.col("least.key").alias("component_key")), "components")
+    return _with_components(sketched.select("doc_id", "key", "n_shingles"), every)
+
+
+def _sets(body: DataFrame, nodes: DataFrame, pairs: DataFrame, crowd: DataFrame) -> DataFrame:
+    """``key, shingles`` of the classes that are compared, from the texts of their first documents."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("key")).union(crowd.select("key")).distinct()
     firsts = pin(nodes.join(asked, "key").select("key", F.col("first_id").alias("doc_id")), "asked")
-    # by key too: an id may have many texts
-    texts = with_keys(body).join(firsts.hint("merge"), ["doc_id", "key"]).select("key", "text")  # the asked grow with the documents
-    sets = pin(texts.mapInArrow(shingle_sets, "key binary, shingles binary").groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
+    # by key too: an id may have many texts; the asked grow with the documents
+    texts = with_keys(body.where("doc_id is not null")).join(firsts.where("doc_id is not null").hint("merge"), ["doc_id", "key"]).select("key", "text")
+    # classes without an id: their texts are reduced where they are, as one may hold many rows
+    nameless = with_keys(body.where("doc_id is null")).where("key is not null").groupBy("key").agg(F.min("text").alias("text"))
+    texts = texts.union(nameless.join(firsts.where("doc_id is null").select("key"), "key").select("key", "text"))
+    return pin(texts.mapInArrow(shingle_sets, "key binary, shingles binary").groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
 
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked ones of small buckets' pairs ``value, a, b``, a spanning forest of each bucket's."""
     one, two = (sets.select(F.col("key").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
-    sure = pairs.join(one, "a").join(two, "b").select("a", "b", "_a", "_b").mapInArrow(confirmed_pairs(percent), "a binary, b binary")
+    sure = pairs.join(one, "a").join(two, "b").select("value", "a", "b", "_a", "_b").mapInArrow(confirmed_pairs(percent), "value long, a binary, b binary")
+    return sure.repartition("value").select("a", "b").mapInArrow(spanning, "a binary, b binary")
+
+
+def _star(crowd: DataFrame, rich: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of large buckets' leaders with the classes of their buckets, each block on its own."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    placed = crowd.withColumn("block", F.pmod(F.xxhash64("key", "value"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    placed = placed.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).select("value", "key", "block", "i", "j")
-    spanning = (placed.join(rich, "key").join(sets, "key").groupBy("value", "i", "j")
-                .applyInArrow(block_links(percent), "a binary, b binary"))
-    links = pin(sure.union(spanning), "confirmed")
-
-    labels = connected_components(links)
-    smallest = (labels.join(nodes.select("key", "first_id"), "key")
-                .groupBy("label").agg(F.min(F.struct("first_id", "key")).alias("least")))
-    linked_keys = labels.join(smallest, "label").select("key", F.col("least.first_id").alias("component_id"), F.col("least.key").alias("component_key"))
-    every = nodes.join(linked_keys, "key", "left").select(
-        "key", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component_key", "key").alias("component_key"))
-    every = pin(every, "components")
-    out = sketched.select("doc_id", "key", "n_shingles").join(every, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("doc_id")).when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.col("component_id"))
-    out = out.withColumn("component_id", component.cast("long"))
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
-    return out.select("doc_id", "n_shingles", "component_id", kept, "key", "component_key")
+    hashed = F.xxhash64("key", "value")
+    placed = crowd.select("value", "key", F.pmod(hashed, blocks).cast("int").alias("block"), F.lit(False).alias("leads"))
+    leaders = crowd.where(F.pmod(F.xxhash64("value", "key"), F.col("members")) < LEADERS)
+    leaders = leaders.select("value", "key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("leads"))
+    return (placed.union(leaders).join(rich, "key").join(sets, "key").groupBy("value", "block")
+            .applyInArrow(star_links(percent), "a binary, b binary"))
+
+
+def _crowded(crowd: DataFrame, names: DataFrame, rich: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components that meet in large buckets."""
+    crowd = pin(crowd.join(names, "key", "left").withColumn("label", F.coalesce("label", "key")), "crowd")
+    per = crowd.groupBy("value", "label").agg(F.count("*").alias("n"))
+    main = per.groupBy("value").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("inside"))
+    open_ = crowd.join(main, "value").where("inside < members")
+    rest = F.ceil((F.col("members") - F.col("inside")) / BLOCK).cast("int")
+    blocks = rest + F.ceil(F.col("inside") / BLOCK).cast("int")
+    hashed = F.xxhash64("key", "value")
+    outside = F.col("label") != F.col("main")
+    block = F.when(outside, F.pmod(hashed, rest)).otherwise(rest + F.pmod(hashed, blocks - rest)).cast("int")
+    others = F.sequence(F.lit(0), F.when(outside, blocks).otherwise(rest) - 1)  # blocks of the main component are not compared with each other
+    placed = open_.select("value", "key", "label", block.alias("block"), F.explode(others).alias("other"))
+    placed = placed.select("value", "key", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return placed.join(rich, "key").join(sets, "key").groupBy("value", "i", "j").applyInArrow(block_links(percent), "a binary, b binary")
+
+
+def _with_components(rows: DataFrame, every: DataFrame) -> DataFrame:
+    """The rows with their classes' components.  Classes of many rows reach them by a broadcast of at most
+    four rows for each shuffle partition, so that no join deals the copies of one text to one task."""
+    pieces = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = every.agg(F.sum("rows")).first()[0] or 0
+    hot = F.broadcast(every.where(F.col("rows") * pieces >= total).drop("rows"))
+    worded, same = rows.where("key is not null"), F.col("key") == F.col("_key")
+    found = worded.join(hot, same).unionByName(worded.join(hot, same, "left_anti").join(every.where(F.col("rows") * pieces < total).drop("rows"), same))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    found = found.select("doc_id", "n_shingles", F.col("component_id").cast("long").alias("component_id"), kept.alias("kept"), "key", "component_key")
+    wordless = rows.where("key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"),
+                                                "key", F.lit(None).cast("binary").alias("component_key"))
+    return found.unionByName(wordless)

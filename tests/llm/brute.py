@@ -44,6 +44,17 @@ def near_duplicates(docs, percent):
     return {i: (len(sets[i]), comp[i]) for i in sets}
 
 
+def near_duplicate_rows(rows, percent):
+    """rows: (doc_id, text), ids null or repeated -> one (doc_id, n_shingles, component, kept) each, and the rows' groups."""
+    groups = near_duplicates(enumerate(t for _, t in rows), percent)
+    least = {}
+    for k, (_, g) in groups.items():
+        if rows[k][0] is not None:
+            least[g] = min(least.get(g, rows[k][0]), rows[k][0])
+    out = [(rows[k][0], n, least.get(g), rows[k][0] == least.get(g) if rows[k][0] is not None else g not in least) for k, (n, g) in groups.items()]
+    return out, [g for _, g in groups.values()]
+
+
 def targets(sizes, share=1.5, limit=2.0, weights=(5, 2, 1)):
     """sizes: source -> words, by repeated resharing."""
     order = sorted(sizes, key=lambda s: (s is None, s or ""))

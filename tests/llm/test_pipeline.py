@@ -23,9 +23,11 @@ def test_stages(spark, folder, request):
     assert Counter(r.doc_id for r in good.collect()) == Counter(r.row.doc_id for r in scores if r.score >= P.KEEP)
 
     single = pin(stages["near_duplicates"](spark, good, sf))
-    rows = good.collect()
-    groups = brute.near_duplicates({r.doc_id: r.text for r in rows if r.doc_id is not None}.items(), 80)
-    want = Counter([i for i, (_, c) in groups.items() if i == c] + [None] * sum(r.doc_id is None for r in rows))
+    rows = [(r.doc_id, r.text) for r in good.collect()]
+    _, groups = brute.near_duplicate_rows(rows, 80)
+    worded = [(i is None, i, g) for (i, t), g in zip(rows, groups, strict=True) if brute.words(t)]
+    least = {g: min(x[:2] for x in worded if x[2] == g) for g in {x[2] for x in worded}}
+    want = Counter(i for _, i in least.values()) + Counter(i for i, _ in {x for x in rows if not brute.words(x[1])})
     assert single.columns == P.COLUMNS and Counter(r.doc_id for r in single.collect()) == want
 
     clean = pin(stages["secret_scan"](spark, single, sf))
@@ -59,3 +61,14 @@ def test_rows_that_share_an_id_go_by_their_texts(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = Counter((r.doc_id, r.text) for r in P.near_duplicates(spark, docs.repartition(3), "").collect())
     assert got == Counter([(3, a), (7, b.upper()), (7, c), (7, None), (7, ""), (8, ""), (9, None)])
+
+
+def test_null_ids_link_and_go_like_others(spark):
+    words = [f"w{i}" for i in range(100)]
+    near, far = [*words[:92], *(f"x{i}" for i in range(8))], [*(f"y{i}" for i in range(4)), *words[4:92], *(f"x{i}" for i in range(8))]
+    first, near, far = " ".join(words), " ".join(near), " ".join(far)  # first and far are linked by way of near only
+    alone = "alone without an id here"
+    rows = [(1, first), (None, near), (2, far), (None, near), (None, alone), (None, alone)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r.doc_id, r.text) for r in P.near_duplicates(spark, docs.repartition(2), "").collect())
+    assert got == Counter([(1, first), (None, alone)])

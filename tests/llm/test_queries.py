@@ -56,6 +56,13 @@ def test_op3_groups(spark, edge_dir):
     assert max(Counter(c for _, c in expected.values()).values()) > 6
 
 
+def test_op3_null_and_repeated_ids(spark, odd_dir):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{odd_dir}/documents.parquet").select("doc_id", "text").collect()]
+    want, _ = brute.near_duplicate_rows(docs, 85)
+    assert Counter(tuple(r) for r in rows(spark, "op3_near_duplicates", odd_dir)) == Counter(want)
+    assert any(i is None and c is not None for i, _, c, _ in want) and any(i is None and c is None for i, _, c, _ in want)
+
+
 def test_op4_mix(spark, edge_dir):
     got = rows(spark, "op4_mixing", edge_dir)
     size = {i: len(brute.WORD.findall(t or "")) for i, t in DOCS}
