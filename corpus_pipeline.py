@@ -28,16 +28,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Only rows with equal or linked texts go.  Rows that share an id and the words are repeats, of which the one
     with the least text stays; other rows that share an id stay.  A row without words goes only if another has
-    its id and its text; rows without an id stay.
+    its id and its text.  Rows with a null id are compared like others and stay where nothing similar has an id;
+    null ids count as equal.  An empty table gives an empty one; columns beyond those of documents are left out.
     """
-    chosen = setsketch.groups(docs, percent=80).where("doc_id = component_id and key = component_key").select("doc_id", "key").distinct()
-    named = setsketch.with_keys(docs.select(COLUMNS).where("doc_id is not null"))
+    own = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("component_key"))
+    chosen = setsketch.groups(docs, percent=80).where(own).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    named = setsketch.with_keys(docs.select(COLUMNS))
     # a text without words is told by its digest, which is longer than a class key, and a null one by no bytes
     key = F.coalesce("key", F.sha2("text", 256).cast("binary"), F.lit(b""))
     least = named.groupBy("doc_id", key.alias("key")).agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row"))
-    found = least.join(pin(chosen, "kept").withColumn("chosen", F.lit(True)), ["doc_id", "key"], "left")
-    single = found.where("chosen or length(key) <> 16").select("doc_id", "row.*")
-    return single.union(docs.select(COLUMNS).where("doc_id is null"))
+    found = least.join(pin(chosen, "kept"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
+    return found.where("_key is not null or length(key) <> 16").select("doc_id", "row.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
