@@ -125,69 +125,113 @@ def batch_quantiles(df: DataFrame, features: list[str] = FEATURES, probs=(0.01,
     statistics (``pos = p * (n - 1)``). Output columns ``{feature}_lo`` /
     ``{feature}_hi``.
 
-    Exact: the values are counted per (feature, value), which reduces a hot
-    value to one row before the shuffle; the distinct values are range-sorted
-    once, their counts summed up over the sorted partitions, and the two
-    values around each position picked by their running counts. One path for
-    every size; a task holds its range of distinct values.
-    ``exact=False``: the bounded ``percentile_approx`` sketch.
+    Exact: a sketch brackets each order statistic (``_bracket_quantiles``), and
+    only the values inside a bracket are ranked; one path for every size.
+    ``exact=False``: the bounded ``percentile_approx`` sketch alone.
     """
     group_cols = list(group_cols or [])
     ps = [float(p) for p in probs]
     if exact:
-        return _counted_quantiles(df, features, ps, group_cols)
+        return _bracket_quantiles(df, features, ps, group_cols)
     aggs = []
     for f in features:
-        q = F.percentile_approx(F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")), ps, accuracy)
+        q = F.percentile_approx(_present(f), ps, accuracy)
         aggs += [q[i].alias(f"{f}_{name}") for i, name in enumerate(_quantile_names(ps))]
     return df.groupBy(*group_cols).agg(*aggs)
 
 
+def _present(f: str) -> Column:
+    """A feature as DOUBLE with NaN as NULL."""
+    return F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double"))
+
+
 def _quantile_names(ps: list[float]) -> list[str]:
     """Output suffixes: ``lo``/``hi`` for a (low, high) pair, else 0, 1, ..."""
     return ["lo", "hi"] if len(ps) == 2 else [str(i) for i in range(len(ps))]
 
 
-def _counted_quantiles(df: DataFrame, features: list[str], ps: list[float], group_cols: list[str]) -> DataFrame:
-    """Exact quantiles from the counts of the distinct values."""
-    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"))
-                                for f in features])).alias("_c")
-    keys = group_cols + ["feature"]
-    counted = (df.select(*group_cols, cells).select(*group_cols, "_c.feature", "_c.v")
-               .where(F.col("v").isNotNull() & ~F.isnan("v"))
-               .groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c")))
-    seq = sequence(counted, ["v"], keys)
-    per_part = seq.groupBy(_PID, *keys).agg(F.sum("c").alias("_n"))
-    parts = Window.partitionBy(*keys).orderBy(_PID)
-    per_part = per_part.select(
-        _PID, *keys, F.sum("_n").over(Window.partitionBy(*keys)).alias("n"),
-        F.coalesce(F.sum("_n").over(parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(_PID, *keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = seq.withColumn("_upto", F.sum("c").over(inside)).join(per_part, [_PID, *keys])
-    # a value stands at the ranks (last - c, last]
-    ranked = ranked.select(*keys, "v", "c", "n", (F.col("_before") + F.col("_upto")).alias("last"))
+# The sketch's accuracy (its rank error is a 1/SKETCH of the rows), and how many errors a bracket's
+# end lies beside the wanted rank.
+SKETCH, BRACKET = 50_000, 4
+
+
+def _bracket_quantiles(df: DataFrame, features: list[str], ps: list[float], group_cols: list[str]) -> DataFrame:
+    """Exact quantiles by bracket and refine: two passes over the rows, no sort of them.
+
+    1. One aggregate: the number of values of each feature, and the sketch's values a little below and
+       above every probability, which bracket the order statistics.
+    2. One pass: values beyond a bracket, on the side of the nearer end, are counted; values inside it
+       are counted per distinct value. Both reduce to few rows before the shuffle. A running count over
+       a bracket's values, some ``2 * BRACKET / SKETCH`` of the rows, picks the statistics.
+
+    A pick outside its bracket shows in the counts. The second pass then runs again with brackets that
+    hold all values, so the result is exact even where the sketch is not."""
+    step = BRACKET / SKETCH
+    probes = [min(max(p + d, 0.0), 1.0) for p in ps for d in (-step, step)]
     aggs = []
-    for i, p in enumerate(ps):
-        pos = F.lit(p) * (F.col("n") - 1).cast("double")
-        for side, rank in (("lo", F.floor(pos).cast("long") + 1), ("hi", F.ceil(pos).cast("long") + 1)):
-            here = (F.col("last") - F.col("c") < rank) & (rank <= F.col("last"))
-            aggs.append(F.max(F.when(here, F.col("v"))).alias(f"_v{side}{i}"))
-    per = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *aggs)
-    names = _quantile_names(ps)
-    outs = []
-    for i, (name, p) in enumerate(zip(names, ps, strict=True)):
-        pos = F.lit(p) * (F.col("n") - 1).cast("double")
-        lo_r, hi_r, vlo, vhi = F.floor(pos), F.ceil(pos), F.col(f"_vlo{i}"), F.col(f"_vhi{i}")
-        value = F.when((lo_r == hi_r) | (vlo == vhi), vlo).otherwise(
-            (hi_r.cast("double") - pos) * vlo + (pos - lo_r.cast("double")) * vhi)
-        outs.append(value.alias(f"_q_{name}"))
-    per = per.select(*keys, *outs)
-    # one row per group: pivot the features into {feature}_{lo,hi}
-    aggs = [F.max(F.when(F.col("feature") == f, F.col(f"_q_{name}"))).alias(f"{f}_{name}")
-            for f in features for name in names]
+    for f in features:
+        aggs += [F.count(_present(f)).alias(f"_n_{f}"), F.percentile_approx(_present(f), probes, SKETCH).alias(f"_b_{f}")]
+    bounds = df.groupBy(*group_cols).agg(*aggs)
     if group_cols:
-        return per.groupBy(*group_cols).agg(*aggs)
-    return per.agg(*aggs)
+        return _group_quantiles(df, bounds, features, ps, group_cols)
+    row = bounds.first()
+    for widest in (False, True):
+        ends = {f: [float("-inf"), float("inf")] * len(ps) if widest else row[f"_b_{f}"] for f in features if row[f"_n_{f}"]}
+        cells = [(f, j, F.lit(row[f"_n_{f}"]), F.lit(ends[f][2 * j]), F.lit(ends[f][2 * j + 1])) for f in ends for j in range(len(ps))]
+        picked = {(r["feature"], r["j"]): r for r in _picked(df, cells, ps, []).collect()} if cells else {}
+        if all(r["held"] for r in picked.values()):
+            break
+    named = [(f, j, name) for f in features for j, name in enumerate(_quantile_names(ps))]
+    values = [F.lit(picked[f, j]["q"] if (f, j) in picked else None).cast("double").alias(f"{f}_{name}") for f, j, name in named]
+    return df.sparkSession.range(1).select(*values)
+
+
+def _group_quantiles(df: DataFrame, bounds: DataFrame, features: list[str], ps: list[float], group_cols: list[str]) -> DataFrame:
+    """The second pass per group; the picks, one row per group, feature and probability, are pinned."""
+    names = _quantile_names(ps)
+
+    def picks(rows: DataFrame, widest: bool) -> DataFrame:
+        low, high = (F.lit(float(x)) for x in ("-inf", "inf"))
+        cells = [(f, j, F.col(f"_n_{f}"), low if widest else F.col(f"_b_{f}")[2 * j], high if widest else F.col(f"_b_{f}")[2 * j + 1])
+                 for f in features for j in range(len(ps))]
+        return _picked(join_small(rows.select(*group_cols, *features), bounds, group_cols), cells, ps, group_cols)
+
+    ensure_checkpoint_dir(df.sparkSession)
+    found = picks(df, False).checkpoint(eager=True)
+    missed = found.where("not held").select(*group_cols).distinct()
+    if not missed.isEmpty():  # all cells of such a group again
+        found = found.join(missed, group_cols, "left_anti").unionByName(picks(df.join(missed, group_cols, "left_semi"), True))
+    pivot = found.groupBy(*group_cols).agg(*[F.max(F.when((F.col("feature") == f) & (F.col("j") == j), F.col("q"))).alias(f"{f}_{name}")
+                                             for f in features for j, name in enumerate(names)])
+    return bounds.select(*group_cols).join(pivot, group_cols, "left")  # a group without any value has null limits
+
+
+def _picked(df: DataFrame, cells: list[tuple[str, int, Column, Column, Column]], ps: list[float], group_cols: list[str]) -> DataFrame:
+    """One row per group, ``feature`` and ``j`` (place of the probability): the quantile ``q`` and whether the
+    bracket ``held`` its ranks. ``cells``: feature, j, number of values, and the bracket's ends."""
+    rows = []
+    for f, j, n, lo, hi in cells:
+        x = _present(f)
+        low = ps[j] <= 0.5  # count from the nearer end
+        inside, beyond = (x >= lo) & (x <= hi), (x < lo) if low else (x > hi)
+        rows.append(F.when(inside | beyond, F.struct(F.lit(f).alias("feature"), F.lit(j).alias("j"), n.alias("n"), F.when(inside, x).alias("v"))))
+    keys = [*group_cols, "feature", "j", "n"]
+    counted = (df.select(*group_cols, F.inline(F.filter(F.array(*rows), lambda c: c.isNotNull())))
+               .groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c")))
+    low = F.element_at(F.array(*[F.lit(p <= 0.5) for p in ps]), F.col("j") + 1)
+    p = F.element_at(F.array(*[F.lit(p) for p in ps]), F.col("j") + 1)
+    pos = p * (F.col("n") - 1).cast("double")
+    from_end = F.when(low, F.col("v")).otherwise(-F.col("v"))  # null, beyond the bracket, comes first
+    w = Window.partitionBy(*keys).orderBy(from_end.asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_upto", F.sum("c").over(w))
+    # a value stands at the ranks (upto - c, upto] from its end
+    at = {side: F.when(low, r).otherwise(F.col("n") - r + 1) for side, r in
+          (("lo", F.floor(pos).cast("long") + 1), ("hi", F.ceil(pos).cast("long") + 1))}
+    per = ranked.groupBy(*keys).agg(*[
+        F.max(F.when((F.col("_upto") - F.col("c") < r) & (r <= F.col("_upto")), F.col("v"))).alias(f"_v{side}") for side, r in at.items()])
+    lo_r, hi_r, vlo, vhi = F.floor(pos), F.ceil(pos), F.col("_vlo"), F.col("_vhi")
+    q = F.when((lo_r == hi_r) | (vlo == vhi), vlo).otherwise((hi_r.cast("double") - pos) * vlo + (pos - lo_r.cast("double")) * vhi)
+    return per.select(*group_cols, "feature", "j", q.alias("q"), (vlo.isNotNull() & vhi.isNotNull()).alias("held"))
 
 
 def clip_outliers(df: DataFrame, limits: DataFrame, features: list[str] = FEATURES,

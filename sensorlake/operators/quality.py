@@ -46,6 +46,24 @@ def completeness(count_mart: DataFrame, expected: int = EXPECTED_MINUTES_PER_HOU
     return out.where(F.col("record_count") != expected) if only_incomplete else out
 
 
+def hour_calendar(hourly: DataFrame) -> DataFrame:
+    """RP2: every hour of every device from its first hour to the newest hour of all devices.
+
+    One row per device is unfolded to its hours; the newest hour is a one-row broadcast."""
+    first = hourly.groupBy("device_id").agg(F.min("timestamp").alias("_first"))
+    last = hourly.agg(F.max("timestamp").alias("_last"))
+    hours = F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 HOUR"))).alias("timestamp")
+    return first.crossJoin(F.broadcast(last)).select("device_id", hours)
+
+
+def calendar_completeness(count_mart: DataFrame, expected: int = EXPECTED_MINUTES_PER_HOUR,
+                          only_incomplete: bool = True) -> DataFrame:
+    """RP2 over the hour calendar: an hour in which a device sent nothing appears with 0 %."""
+    keys = ["timestamp", "device_id"]
+    counted = hour_calendar(count_mart).join(count_mart.select(*keys, "record_count"), keys, "left")
+    return completeness(counted.withColumn("record_count", F.coalesce("record_count", F.lit(0))), expected, only_incomplete)
+
+
 def late_rows(rows: DataFrame, watermark: _dt.datetime | None, ts_col: str = "timestamp") -> DataFrame:
     """SS4: rows at or behind the target's watermark, per device (they would
     be dropped by the next incremental load)."""

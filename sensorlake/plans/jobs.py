@@ -20,8 +20,9 @@ from sensorlake.operators.rollup import minute_rollup
 from sensorlake.operators.slices import after_watermark, full_periods
 from sensorlake.operators.store import (append_new, date_bounds, storage_cast, storage_rejects,
                                         stored_rows, with_partition_columns)
-from sensorlake.schemas import FEATURES, MART_NAMES, MINUTE_TABLE, MINUTE_TABLE_NAME, mart_schema
-from sensorlake.sources.landing import history_to_lines, read_history_csv, read_landing, write_landing
+from sensorlake.schemas import FEATURES, FILE_LEDGER_NAME, MART_NAMES, MINUTE_TABLE, MINUTE_TABLE_NAME, mart_schema
+from sensorlake.sources.landing import history_to_lines, list_landing, read_history_csv, read_landing, write_landing
+from sensorlake.sources.ledger import LATE, REFUSED, ledger_rows
 from sensorlake.sources.tables import Lakehouse
 from sensorlake.session import ensure_checkpoint_dir
 
@@ -62,13 +63,25 @@ def minute_batch(lines: DataFrame, watermark: _dt.datetime | None = None, clean:
 
 def run_minute(spark: SparkSession, lake: Lakehouse, landing_path: str, clean: bool = True,
                group_cols: list[str] | None = None, exact_quantiles: bool = True,
-               ingest_seq: int | None = None) -> dict:
-    """PL1: landing files newer than the minute table's watermark -> minute
-    table. Returns the watermark used and the reject DataFrames."""
+               ingest_seq: int | None = None, ledger_days: int | None = None) -> dict:
+    """PL1: landing files newer than the minute table's watermark -> minute table.
+
+    First and later runs read by one rule: a file whose name carries no valid time is refused,
+    one whose time is not later than the watermark is late; both go to the file ledger unread
+    (``sources.ledger``), which is written before the minutes. ``ledger_days``: how many days
+    before the watermark's ``day=`` folders are still searched for late files (None: all of them).
+
+    Returns the watermark used, the reject DataFrames and this run's ledger rows: ``files``, and of
+    them ``refused_files`` and ``late_files``."""
     lake.create(MINUTE_TABLE_NAME)
+    lake.create(FILE_LEDGER_NAME)
     table = lake.read(MINUTE_TABLE_NAME)
     wm = lake.latest_timestamp(MINUTE_TABLE_NAME)
-    lines = read_landing(spark, landing_path, since=wm)
+    seq = ingest_seq if ingest_seq is not None else int(time.time() * 1e6)
+    lines = read_landing(spark, landing_path, since=wm).where(F.col("file_time").isNotNull())
+    horizon = wm - _dt.timedelta(days=ledger_days) if wm is not None and ledger_days is not None else None
+    lake.append(FILE_LEDGER_NAME, ledger_rows(list_landing(spark, landing_path, horizon), lake.read(FILE_LEDGER_NAME), lines, wm, seq, horizon))
+    files = lake.read(FILE_LEDGER_NAME).where(F.col("ingest_seq") == seq)
     minutes = minute_batch(lines, wm, clean, group_cols, exact_quantiles)
     # pin the typed minute rows once: the date bounds, the anti-join and the
     # reject report all read them, and the cut lineage keeps the plans small
@@ -76,12 +89,14 @@ def run_minute(spark: SparkSession, lake: Lakehouse, landing_path: str, clean: b
     ok = stored_rows(cast)
     bounds = date_bounds(ok)
     new = append_new(ok, table, bounds=bounds)
-    seq = ingest_seq if ingest_seq is not None else int(time.time() * 1e6)
     lake.append(MINUTE_TABLE_NAME, with_partition_columns(new, seq))
     return {
         "watermark": wm,
         "line_rejects": rejected(parse_lines(lines)),
         "storage_rejects": storage_rejects(cast),
+        "files": files,
+        "refused_files": files.where(F.col("status") == REFUSED),
+        "late_files": files.where(F.col("status") == LATE),
     }
 
 

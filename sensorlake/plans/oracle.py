@@ -316,6 +316,35 @@ def _stored(src: str) -> str:
             + f", CAST(light AS SMALLINT) AS light FROM ({_minute_rollup(src, False, rounded=False)})")
 
 
+# the raw lines in three parts by time
+PARTS = """,
+parts AS (SELECT event_id, CAST(floor((row_number() OVER (ORDER BY timestamp, event_id) - 1) * 3 / count(*) OVER ()) AS INTEGER) AS part FROM raw_lines),
+acc AS (SELECT a.*, part FROM accepted a JOIN parts USING (event_id))"""
+
+
+def _load_marks() -> str:
+    """The newest stored minute after the first and after the second of three loads without cleaning."""
+    marks = "".join(f""",
+cut{p} AS (SELECT date_trunc('minute', max(timestamp)) AS c FROM acc WHERE part <= {p}),
+wm{p} AS (SELECT date_trunc('minute', max(timestamp)) AS w FROM acc, cut{p} WHERE part <= {p} AND timestamp < c)""" for p in range(2))
+    return ACC + PARTS + marks
+
+
+def _clean_loads() -> str:
+    """Three loads, each with the quantiles and the interpolation of the rows that it reads: those after the
+    newest stored minute and before the newest minute that has begun."""
+    sql = ACC + PARTS + ",\nstored0 AS (SELECT * FROM (" + _stored("(FROM accepted LIMIT 0)") + "))"
+    complete = " AND ".join(f"{f} IS NOT NULL" for f in FEATURES)
+    for p in range(3):
+        load = f"""WITH s AS (SELECT * FROM acc, (SELECT date_trunc('minute', max(timestamp)) AS c FROM acc WHERE part <= {p}), (SELECT max(timestamp) AS w FROM stored{p}) m
+  WHERE part <= {p} AND acc.timestamp < c AND (w IS NULL OR acc.timestamp > w))""" + QUANTILES.format(src="s") + f""",
+clipped AS (SELECT s.timestamp, s.device_id, s.raw_line, s.light, {CLIP_SELECT} FROM s, limits l),
+ordered AS (SELECT *, row_number() OVER (ORDER BY timestamp, device_id, raw_line) AS rn FROM clipped)""" + _interp("ordered") + "\n" + _stored("filled")
+        sql += f""",
+stored{p + 1} AS (SELECT * FROM stored{p} UNION ALL SELECT n.* FROM ({load}) n ANTI JOIN stored{p} USING (timestamp, device_id) WHERE {complete} AND light IS NOT NULL)"""
+    return sql + "\nSELECT * FROM stored3"
+
+
 def _job_oracles(q: dict[str, str]) -> dict[str, str]:
     """What the deployed jobs leave in their tables, computed in one go."""
     out = {}
@@ -350,6 +379,36 @@ m AS ({_stored("good")}),
 r AS ({_minute_rollup("good", False, rounded=False)}),
 s AS (SELECT CASE WHEN m.co IS NULL THEN 'range' WHEN r.humidity IS NULL THEN 'null' ELSE 'ok' END AS reason FROM m JOIN r USING (timestamp, device_id))
 SELECT 'line' AS stage, reason, count(*) AS lines FROM f GROUP BY ALL UNION ALL SELECT 'minute', reason, count(*) FROM s GROUP BY ALL"""
+    out["job_minutes_clean"] = out["minute_table_stream_clean"] = _clean_loads()
+    out["file_ledger"] = _load_marks() + """,
+idx AS (SELECT l.*, a.event_id IS NOT NULL AS ok, floor((row_number() OVER o - 1) / 1000) AS batch_no, row_number() OVER o AS rn
+  FROM raw_lines l LEFT JOIN accepted a USING (event_id) WINDOW o AS (ORDER BY l.timestamp, event_id)),
+staged AS (SELECT part, batch_no, idx.* EXCLUDE (batch_no) FROM idx JOIN parts USING (event_id) UNION ALL SELECT 2, 1000000 + batch_no, idx.* EXCLUDE (batch_no) FROM idx WHERE event_id % 700 = 0),
+marked AS (SELECT staged.*, w FROM staged LEFT JOIN (SELECT 1 AS part, w FROM wm0 UNION ALL SELECT 2, w FROM wm1) USING (part)),
+files AS (SELECT part, max_by(timestamp, rn) AS file_time, any_value(w) AS watermark, count(*) AS lines, count(*) FILTER (NOT ok) AS rejected_lines,
+  count(*) FILTER (ok AND timestamp <= w) AS late_lines FROM marked GROUP BY part, batch_no)
+SELECT CAST(part AS BIGINT) AS load, CASE WHEN file_time <= watermark THEN 'late' ELSE 'loaded' END AS status, file_time, watermark,
+  CAST(CASE WHEN file_time <= watermark THEN NULL ELSE lines END AS DOUBLE) AS lines, CAST(CASE WHEN file_time <= watermark THEN NULL ELSE rejected_lines END AS DOUBLE) AS rejected_lines,
+  CAST(CASE WHEN file_time <= watermark THEN NULL ELSE late_lines END AS DOUBLE) AS late_lines FROM files
+UNION ALL SELECT 1, 'refused', NULL, w, NULL, NULL, NULL FROM wm0 WHERE EXISTS (FROM idx)"""
+    out["stream_late_rows"] = _load_marks() + """
+SELECT CAST(2 AS BIGINT) AS batch, device_id, count(*) AS late_rows FROM accepted, wm1 WHERE event_id % 50 = 0 AND timestamp <= w GROUP BY device_id"""
+    out["landing_stream_batches"] = LINES + """,
+idx AS (SELECT timestamp, row_number() OVER (ORDER BY timestamp, event_id) AS rn FROM raw_lines)
+SELECT max_by(timestamp, rn) AS file_time, count(*) AS lines FROM idx GROUP BY floor((rn - 1) / 1000)"""
+    out["completeness_calendar"] = ACC + f""",
+minutes AS ({_minute_rollup('accepted', False)}),
+cnt AS (SELECT date_trunc('hour', timestamp) AS timestamp, device_id, count(*) AS n FROM minutes GROUP BY 1, 2),
+spans AS (SELECT device_id, min(timestamp) AS a, (SELECT max(timestamp) FROM cnt) AS b FROM cnt GROUP BY 1),
+spine AS (SELECT device_id, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS timestamp FROM spans)
+SELECT timestamp, device_id, CAST(coalesce(n, 0) AS INTEGER) AS record_count, round(100.0 * coalesce(n, 0) / 60.0, %d) AS completeness_pct
+FROM spine LEFT JOIN cnt USING (timestamp, device_id) WHERE coalesce(n, 0) <> 60"""
+    out["table_lifecycle"] = ACC + f""",
+filled AS (SELECT count(*) AS n FROM ({_stored("accepted")}) WHERE {_feats("{f} IS NOT NULL", " AND ")} AND light IS NOT NULL),
+t AS (SELECT unnest(['dds_iot_data', 'dm_iot_average', 'dm_iot_extreme', 'dm_iot_count', 'dm_iot_ml', 'landing_files']) AS table_name),
+s AS (SELECT unnest(['created', 'filled', 'one dropped', 'all dropped']) AS step),
+p AS (SELECT step, table_name, step <> 'all dropped' AND NOT (step = 'one dropped' AND table_name = 'dm_iot_ml') AS present FROM s, t)
+SELECT step, table_name, present, CAST(CASE WHEN present THEN CASE WHEN step <> 'created' AND table_name = 'dds_iot_data' THEN n ELSE 0 END END AS DOUBLE) AS rows FROM p, filled"""
     hours = "hours AS (SELECT m.*"
     share = q["hour_stream"].replace(hours, "hours AS (SELECT m.*, date_trunc('hour', m.timestamp) AS h")
     share = share.replace("\nSELECT date_trunc('hour', timestamp) AS timestamp, device_id, count(*) AS record_count, ",

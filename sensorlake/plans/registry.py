@@ -20,7 +20,7 @@ from sensorlake.operators.clean import batch_quantiles, clean_batch, clip_outlie
 from sensorlake.operators.marts import (average_mart, count_mart, extreme_mart, hourly_stats, ml_mart,
                                         with_changes)
 from sensorlake.operators.parse import accepted, parse_lines, reject_counts
-from sensorlake.operators.quality import completeness, constraint_violations, duplicate_keys, late_rows
+from sensorlake.operators.quality import calendar_completeness, completeness, constraint_violations, duplicate_keys, late_rows
 from sensorlake.operators.report import device_summary, export_order, time_series
 from sensorlake.operators.rollup import minute_rollup
 from sensorlake.operators.slices import after_watermark, devices, full_periods, latest_timestamp
@@ -330,7 +330,7 @@ def q_job_minutes(spark, sf_dir):
     lake, stage = _job_lake(spark), _thirds(spark, sf_dir)
     for part in range(3):
         run_minute(spark, lake, stage(part), clean=False, ingest_seq=part)
-    return _minute_rows(lake)
+    return _done(lake, _minute_rows(lake))
 
 
 def q_job_marts(spark, sf_dir):
@@ -353,8 +353,8 @@ def q_job_marts(spark, sf_dir):
             run_hour(spark, lake, ingest_seq=part)
     keys = ["timestamp", "device_id"]
     read = {t: lake.read(t).drop("ingest_seq", "dt") for t in ("dm_iot_average", "dm_iot_extreme", "dm_iot_count", "dm_iot_ml")}
-    return (read["dm_iot_average"].join(read["dm_iot_extreme"], keys).join(read["dm_iot_count"], keys)
-            .join(read["dm_iot_ml"], keys))
+    return _done(lake, read["dm_iot_average"].join(read["dm_iot_extreme"], keys).join(read["dm_iot_count"], keys)
+                 .join(read["dm_iot_ml"], keys))
 
 
 def q_minute_table_stream(spark, sf_dir):
@@ -365,7 +365,7 @@ def q_minute_table_stream(spark, sf_dir):
     pending, checkpoint = scratch_path(spark, "pending"), scratch_path(spark, "sink-ckpt")
     for part in range(3):
         minute_table_sink(spark, lake, stage(part), pending, checkpoint, clean=False).awaitTermination()
-    return _minute_rows(lake)
+    return _done(lake, _minute_rows(lake))
 
 
 def q_history_load(spark, sf_dir):
@@ -407,6 +407,118 @@ def _faulty_lines(tel):
     return tel.select("event_id", F.concat_ws(" ", text, device, co, humidity, *rest, light).alias("value"))
 
 
+def _done(lake, rows: DataFrame) -> DataFrame:
+    """What a job has left, pinned, so that the job's database can go."""
+    from sensorlake.plans.jobs import pinned
+
+    out = pinned(rows)
+    lake.drop_database()
+    return out
+
+
+def q_job_minutes_clean(spark, sf_dir):
+    """``job_minutes`` with quantiles, clipping and interpolation in every load."""
+    from sensorlake.plans.jobs import run_minute
+
+    lake, stage = _job_lake(spark), _thirds(spark, sf_dir)
+    for part in range(3):
+        run_minute(spark, lake, stage(part), ingest_seq=part)
+    return _done(lake, _minute_rows(lake))
+
+
+def q_minute_table_stream_clean(spark, sf_dir):
+    """``minute_table_stream`` with the full cleaning in every micro-batch."""
+    from sensorlake.streaming.streams import minute_table_sink, scratch_path
+
+    lake, stage = _job_lake(spark), _thirds(spark, sf_dir)
+    pending, checkpoint = scratch_path(spark, "pending"), scratch_path(spark, "sink-ckpt")
+    for part in range(3):
+        minute_table_sink(spark, lake, stage(part), pending, checkpoint).awaitTermination()
+    return _done(lake, _minute_rows(lake))
+
+
+def q_file_ledger(spark, sf_dir):
+    """Three loads; before the second a file without a valid name, before the third every 700th line again."""
+    from sensorlake.plans.jobs import run_minute
+    from sensorlake.sources.landing import write_landing
+
+    lake, stage = _job_lake(spark), _thirds(spark, sf_dir)
+    for part in range(3):
+        path = stage(part)
+        again = row_index(lines(spark, sf_dir), ["timestamp", "event_id"])
+        if part == 1:
+            again.where("row_idx <= 3").select("value").coalesce(1).write.mode("append").text(f"{path}/day=none/batch=unnamed")
+        if part == 2:
+            write_landing(again.where("event_id % 700 = 0"), path)
+        run_minute(spark, lake, path, clean=False, ingest_seq=part)
+    counts = [F.col(c).cast("double").alias(c) for c in ("lines", "rejected_lines", "late_lines")]  # null for files that are not read
+    files = lake.read("landing_files").select(F.col("ingest_seq").alias("load"), "status", "file_time", "watermark", *counts)
+    return _done(lake, files)
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """Late rows per micro-batch and device: every 50th line arrives again with the last third."""
+    from sensorlake.streaming.streams import late_row_counts, minute_table_sink, scratch_path
+
+    lake, stage = _job_lake(spark), _thirds(spark, sf_dir)
+    pending, checkpoint, late = (scratch_path(spark, k) for k in ("pending", "sink-ckpt", "late"))
+    for part in range(3):
+        path = stage(part)
+        if part == 2:
+            lines(spark, sf_dir).where("event_id % 50 = 0").select("value").write.mode("append").text(f"{path}/day=none/batch=again")
+        minute_table_sink(spark, lake, path, pending, checkpoint, clean=False, late_path=late).awaitTermination()
+    return _done(lake, late_row_counts(spark, late))
+
+
+def q_landing_stream_batches(spark, sf_dir):
+    """Lines that arrive in five parts -> landing files of 1,000 lines across the micro-batches."""
+    from sensorlake.sources.landing import landing_files, read_landing
+    from sensorlake.streaming.streams import close_landing_batches, landing_batch_sink, landing_stream, scratch_path
+
+    indexed = row_index(lines(spark, sf_dir), ["timestamp", "event_id"])
+    source, out, pending, checkpoint = (scratch_path(spark, k) for k in ("in", "landing", "open-batch", "ckpt"))
+    n = max(indexed.count(), 1)
+    for part in range(5):
+        here = F.floor((F.col("row_idx") - 1) * 5 / F.lit(n)) == part
+        indexed.where(here).select("value").write.mode("append").text(source)
+        landing_batch_sink(landing_stream(spark, source), out, pending, checkpoint).awaitTermination()
+    close_landing_batches(spark, out, pending)
+    return landing_files(read_landing(spark, out)).select("file_time", "lines")
+
+
+def q_completeness_calendar(spark, sf_dir):
+    """Incomplete device-hours, those without any record included."""
+    minutes = minute_rollup(accepted_rows(spark, sf_dir), with_count=False)
+    return rounded(calendar_completeness(count_mart(hourly_stats(minutes))))
+
+
+def q_table_lifecycle(spark, sf_dir):
+    """Tables created, probed, filled, emptied of one, and dropped: rows that each step leaves in each table."""
+    from sensorlake.operators.store import stored_rows, with_partition_columns
+    from sensorlake.sources.tables import TABLES
+
+    lake = _job_lake(spark)
+    minutes = storage_cast(minute_rollup(accepted_rows(spark, sf_dir), with_count=False), MINUTE_TABLE)
+    steps = []
+
+    def seen(step: str) -> None:
+        counts = [(lake.read(t).agg(F.count("*").alias("rows")) if lake.exists(t) else spark.range(1).select(F.lit(None).cast("long").alias("rows")))
+                  .select(F.lit(step).alias("step"), F.lit(t).alias("table_name"), F.lit(lake.exists(t)).alias("present"), F.col("rows").cast("double")) for t in TABLES]
+        for c in counts:
+            steps.append(c.collect()[0])
+
+    seen("created")
+    lake.append("dds_iot_data", with_partition_columns(stored_rows(minutes), 1))
+    lake.create_all()  # changes nothing
+    seen("filled")
+    lake.drop("dm_iot_ml")
+    seen("one dropped")
+    lake.drop_all()
+    seen("all dropped")
+    lake.drop_database()
+    return spark.createDataFrame(steps, "step string, table_name string, present boolean, rows double")
+
+
 def q_device_export(spark, sf_dir):
     """The time-series report of one device in export order."""
     stats = hourly_stats(devices(telemetry(spark, sf_dir), ["b8:27:eb:bf:9d:51"]))

@@ -89,6 +89,21 @@ MART_COLUMNS = {
     + [f"high_low_percentage_{f}" for f in FEATURES],
 }
 MINUTE_TABLE_NAME = "dds_iot_data"
+
+# Ledger of the landing files: one row per file, written by the load that first saw it. `dt` is the
+# date of the file's name time (null for a refused file).
+FILE_LEDGER = T.StructType([
+    T.StructField("file_path", T.StringType(), False),
+    T.StructField("file_name", T.StringType(), False),
+    T.StructField("file_time", T.TimestampNTZType()),
+    T.StructField("bytes", T.LongType()),
+    T.StructField("status", T.StringType(), False),
+    T.StructField("watermark", T.TimestampNTZType()),
+    T.StructField("lines", T.LongType()),
+    T.StructField("rejected_lines", T.LongType()),
+    T.StructField("late_lines", T.LongType()),
+])
+FILE_LEDGER_NAME = "landing_files"
 MART_NAMES = list(MART_COLUMNS)
 
 
@@ -132,7 +147,8 @@ def mart_schema(table: str) -> T.StructType:
 
 
 def table_schema(table: str) -> T.StructType:
-    return MINUTE_TABLE if table == MINUTE_TABLE_NAME else mart_schema(table)
+    fixed = {MINUTE_TABLE_NAME: MINUTE_TABLE, FILE_LEDGER_NAME: FILE_LEDGER}
+    return fixed[table] if table in fixed else mart_schema(table)
 
 
 def ddl_columns(schema: T.StructType) -> str:

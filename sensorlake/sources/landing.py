@@ -13,8 +13,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorlake.functions.columns import (batch_label_from_line, epoch_to_timestamp,
-                                          file_name_timestamp, float_text, timestamp_text)
+from sensorlake.functions.columns import (batch_label_from_line, epoch_to_timestamp, file_name_timestamp, float_text,
+                                          line_timestamp, timestamp_text, whitespace_tokens)
 from sensorlake.schemas import FEATURES, HISTORY_CSV, LANDING_FILE_RECORDS, LANDING_NAME_FORMAT, RAW_LINE
 
 
@@ -69,6 +69,17 @@ def read_landing(spark: SparkSession, path: str | list[str], since: _dt.datetime
     return df
 
 
+def list_landing(spark: SparkSession, path: str, since: _dt.datetime | None = None) -> DataFrame:
+    """SC1: one row per landing file, ``file_path, file_name, file_time, bytes``; no file is opened,
+    and files without a byte are not listed.
+
+    With ``since`` only the ``day=`` folders from that day on are listed."""
+    paths = [path] if since is None else _paths_since(spark, path, since)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return files.select(F.col("path").alias("file_path"), F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"),
+                        F.col("length").alias("bytes")).withColumn("file_time", _file_time())
+
+
 def landing_files(lines: DataFrame) -> DataFrame:
     """SC1: one row per landing file with its line count and name time."""
     return lines.groupBy("file_path", "file_name", "file_time").agg(F.count("*").alias("lines"))
@@ -82,33 +93,50 @@ def rejected_files(lines: DataFrame) -> DataFrame:
 def batch_labels(lines: DataFrame, order_cols: list[str], index_col: str = "row_idx",
                  batch_size: int = LANDING_FILE_RECORDS) -> DataFrame:
     """SK2: label each batch of ``batch_size`` consecutive lines (by a dense
-    1-based ``index_col``) with its last line's first two tokens joined by '_'."""
+    1-based ``index_col``) with the first two tokens, joined by '_', of its last
+    line with a valid timestamp; null without such a line."""
     batch = F.floor((F.col(index_col) - 1) / batch_size).alias("batch_no")
-    return (lines.select(batch, index_col, "value")
+    return (lines.select(batch, F.when(raw_line_timestamp("value").isNotNull(), F.col(index_col)).alias("_at"), "value")
             .groupBy("batch_no")
-            .agg(F.max_by("value", index_col).alias("last_line"),
+            .agg(F.max_by("value", "_at").alias("last_line"),
                  F.count("*").alias("records"))
             .select("batch_no", batch_label_from_line(F.col("last_line")).alias("batch"), "records"))
 
 
+def raw_line_timestamp(line: str):
+    """The timestamp of a raw line; NULL when its first two tokens are none."""
+    tokens = whitespace_tokens(F.col(line))
+    return line_timestamp(F.try_element_at(tokens, F.lit(1)), F.try_element_at(tokens, F.lit(2)))
+
+
 def write_landing(lines: DataFrame, path: str, index_col: str = "row_idx",
-                  batch_size: int = LANDING_FILE_RECORDS, mode: str = "append") -> None:
+                  batch_size: int = LANDING_FILE_RECORDS, mode: str = "append", load: str | None = None) -> None:
     """SK1+SK2: write lines (with a dense 1-based ``index_col`` in arrival
     order) as files of at most ``batch_size`` records, one file per batch, each
-    in a ``day=<date>/batch=<label of its last record>`` directory.
+    in a ``day=<date>/batch=<label>`` directory. The label is the timestamp of
+    the batch's last line that has a valid one, so a faulty line at its end
+    does not make the batch unreadable; a batch without any valid timestamp is
+    written as ``day=none/batch=none-<number>`` and refused by the loads.
+    With ``load`` the folders are ``day=<date>/load=<load>/batch=<label>``, and
+    what the same load has written there before is replaced.
 
     One shuffle: a batch's rows meet in a task, which also labels them."""
     batch = F.floor((F.col(index_col) - 1) / batch_size)
+    rows = lines.select("value", index_col, batch.alias("batch_no"), raw_line_timestamp("value").alias("_ts"))
     own = Window.partitionBy("batch_no")
-    # the label's time part 'HH:mm:ss' becomes 'HH_mm_ss': ':' is not a
-    # portable path character (file sources cannot read it back)
-    label = F.regexp_replace(batch_label_from_line(F.max_by("value", index_col).over(own)), ":", "_")
-    out = (lines.select("value", index_col, batch.alias("batch_no")).withColumn("batch", label)
-           .withColumn("day", F.substring("batch", 1, 10))
+    last = F.max_by("_ts", F.when(F.col("_ts").isNotNull(), F.col(index_col))).over(own)
+    out = (rows.withColumn("_last", last)
+           # ':' is not a portable path character (file sources cannot read it back)
+           .withColumn("batch", F.coalesce(F.date_format("_last", LANDING_NAME_FORMAT), F.concat(F.lit("none-"), F.col("batch_no"))))
+           .withColumn("day", F.coalesce(F.date_format("_last", "yyyy-MM-dd"), F.lit("none")))
            .sortWithinPartitions("day", "batch", index_col)
            .select("value", "day", "batch"))
-    (out.write.mode(mode).option("maxRecordsPerFile", batch_size)
-     .partitionBy("day", "batch").text(path))
+    if load is None:
+        out.write.option("maxRecordsPerFile", batch_size).mode(mode).partitionBy("day", "batch").text(path)
+    else:
+        out = out.select("value", "day", F.lit(load).alias("load"), "batch")
+        (out.write.option("maxRecordsPerFile", batch_size).option("partitionOverwriteMode", "dynamic")
+         .mode("overwrite").partitionBy("day", "load", "batch").text(path))
 
 
 def read_history_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -3,7 +3,8 @@
 Tables are parquet catalog tables partitioned by ``dt`` (the UTC date of the
 row's timestamp), with an ``ingest_seq`` load id. The minute table is named
 ``dds_iot_data`` and the marts ``dm_iot_average``, ``dm_iot_extreme``,
-``dm_iot_count`` and ``dm_iot_ml`` as in the source system.
+``dm_iot_count`` and ``dm_iot_ml`` as in the source system; ``landing_files`` is the
+ledger of the landing files (``sources.ledger``).
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.schemas import MART_NAMES, MINUTE_TABLE_NAME, ddl_columns, table_schema
+from sensorlake.schemas import FILE_LEDGER_NAME, MART_NAMES, MINUTE_TABLE_NAME, ddl_columns, table_schema
+
+TABLES = [MINUTE_TABLE_NAME, *MART_NAMES, FILE_LEDGER_NAME]
 
 
 class Lakehouse:
@@ -37,7 +40,7 @@ class Lakehouse:
             f"({cols}, `ingest_seq` BIGINT, `dt` DATE) USING parquet PARTITIONED BY (dt)")
 
     def create_all(self) -> None:
-        for t in [MINUTE_TABLE_NAME, *MART_NAMES]:
+        for t in TABLES:
             self.create(t)
 
     def drop(self, table: str) -> None:
@@ -45,13 +48,18 @@ class Lakehouse:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
 
     def drop_all(self) -> None:
-        for t in [MINUTE_TABLE_NAME, *MART_NAMES]:
+        for t in TABLES:
             self.drop(t)
 
+    def drop_database(self) -> None:
+        """The tables and the database itself."""
+        self.drop_all()
+        if self.database:
+            self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
+
     def exists(self, table: str) -> bool:
         """SK9."""
-        return self.spark.catalog.tableExists(table, self.database) if self.database \
-            else self.spark.catalog.tableExists(table)
+        return self.spark.catalog.tableExists(f"{self.database}.{table}" if self.database else table)
 
     def refresh(self, table: str) -> None:
         """Forget this session's cached file listing of a table that another session wrote."""

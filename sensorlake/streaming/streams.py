@@ -9,7 +9,10 @@
 * ``minute_table_sink``   SS5/SS6: ``foreachBatch`` running the full batch
   cleaning on each micro-batch, carrying the rows after the newest stored
   minute over in a pending folder and appending idempotently (anti-join on
-  stored keys).
+  stored keys); the rows that the watermark drops are counted per device and
+  micro-batch (SS4).
+* ``landing_batch_sink``  SS7/SK2: landing files of exactly 1,000 lines with their
+  label; an unfilled batch is carried from one micro-batch to the next.
 * ``landing_sink``        SS7: streaming text sink, files of at most 1,000 lines.
 
 Streams use TIMESTAMP event time (watermarks refuse TIMESTAMP_NTZ); tables
@@ -114,7 +117,8 @@ def run_hour_stream_once(spark: SparkSession, lines: DataFrame) -> DataFrame:
 
 def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path: str,
                       checkpoint_path: str, clean: bool = True, group_cols=None,
-                      trigger: dict | None = None, max_files_per_trigger: int | None = None):
+                      trigger: dict | None = None, max_files_per_trigger: int | None = None,
+                      late_path: str | None = None):
     """SS5/SS6: micro-batches of landing lines -> minute table.
 
     Each micro-batch is the pending rows of the previous batch plus the new
@@ -127,7 +131,12 @@ def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path
     Table reads and the append go through the micro-batch's own session, with
     the file listing refreshed first, so the anti-join sees what earlier
     batches appended; a replayed batch appends nothing twice. A pending folder
-    that cannot be read fails the batch."""
+    that cannot be read fails the batch.
+
+    SS4: with ``late_path``, each micro-batch writes how many of its own rows per
+    device the watermark drops (``late_row_counts`` reads them); a replayed
+    batch writes its counts anew."""
+    from sensorlake.operators.quality import late_rows
     from sensorlake.operators.slices import after_watermark, full_periods
     from sensorlake.plans.jobs import ORDER_COLS, pinned
     from sensorlake.operators.clean import clean_batch
@@ -142,6 +151,8 @@ def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path
         own.refresh(MINUTE_TABLE_NAME)
         watermark = own.latest_timestamp(MINUTE_TABLE_NAME)
         rows = accepted(parse_lines(batch, keep=["file_name"]))
+        if late_path:
+            late_rows(rows, watermark).write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
         if batch_id > 0:
             rows = bspark.read.parquet(f"{pending_path}/batch={batch_id - 1}").unionByName(rows)
         rows = pinned(rows)  # read for the cut, the cleaning and the pending rows
@@ -165,6 +176,70 @@ def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path
     return writer.start()
 
 
+def late_row_counts(spark: SparkSession, late_path: str) -> DataFrame:
+    """SS4: ``batch, device_id, late_rows`` of all micro-batches of a minute table sink."""
+    rows = spark.read.schema("device_id string, late_rows long, batch long").parquet(late_path)
+    return rows.select("batch", "device_id", "late_rows")
+
+
+def landing_batch_sink(lines: DataFrame, path: str, pending_path: str, checkpoint_path: str,
+                       records_per_file: int = LANDING_FILE_RECORDS, trigger: dict | None = None):
+    """SS7/SK2: stream raw lines into labelled landing files of exactly ``records_per_file`` lines.
+
+    A micro-batch is the pending lines of the previous one, then its own lines in the order of their
+    timestamps. Full batches are written as by ``write_landing``; the lines of the last, unfilled batch
+    are the pending lines of the next micro-batch (fewer than ``records_per_file`` lines, at any rate of
+    arrival). ``close_landing_batches`` writes them when the stream has ended. A replayed micro-batch
+    overwrites its own folder, so no line is written twice."""
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        bspark = batch.sparkSession
+        rows = _in_order(batch.select("value"), F.lit(1))
+        if batch_id > 0:
+            rows = rows.unionByName(bspark.read.schema(_PENDING).parquet(f"{pending_path}/batch={batch_id - 1}"))
+        _write_batches(rows, path, str(batch_id), f"{pending_path}/batch={batch_id}", records_per_file, close=False)
+        if batch_id > 1:  # this batch may still be replayed, the one before it not
+            _delete(bspark, f"{pending_path}/batch={batch_id - 2}")
+
+    writer = lines.select("value").writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_path)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def close_landing_batches(spark: SparkSession, path: str, pending_path: str, records_per_file: int = LANDING_FILE_RECORDS) -> None:
+    """SS7: write the unfilled batch that an ended stream has left as its last landing file."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(pending_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    batches = [int(s.getPath().getName().removeprefix("batch=")) for s in fs.listStatus(root)] if fs.exists(root) else []
+    if batches:
+        newest = f"{pending_path}/batch={max(batches)}"
+        _write_batches(spark.read.schema(_PENDING).parquet(newest), path, f"{max(batches)}-end", newest, records_per_file, close=True)
+
+
+_PENDING = "value string, carried int, at timestamp_ntz, place long"
+
+
+def _in_order(lines: DataFrame, carried) -> DataFrame:
+    """Raw lines with what orders them: carried ones first, then by timestamp; faulty ones go with the first."""
+    from sensorlake.sources.landing import raw_line_timestamp
+
+    return lines.select("value", carried.alias("carried"), raw_line_timestamp("value").alias("at"), F.lit(0).cast("long").alias("place"))
+
+
+def _write_batches(rows: DataFrame, path: str, load: str, pending: str, records_per_file: int, close: bool) -> None:
+    from sensorlake.operators.clean import row_index
+    from sensorlake.sources.landing import write_landing
+
+    indexed = row_index(rows, ["carried", "place", "at", "value"])
+    total = indexed.count()
+    full = total if close else total // records_per_file * records_per_file
+    if full:
+        write_landing(indexed.where(F.col("row_idx") <= full), path, batch_size=records_per_file, load=load)
+    if not close:
+        rest = indexed.where(F.col("row_idx") > full)
+        rest.select("value", F.lit(0).alias("carried"), "at", F.col("row_idx").alias("place")).write.mode("overwrite").parquet(pending)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

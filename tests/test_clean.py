@@ -122,3 +122,37 @@ def test_quantiles_of_a_hot_value_use_no_large_task(spark):
     want = df.agg(*[F.percentile("x", F.lit(p)).alias(str(p)) for p in (0.01, 0.5, 0.999)]).first()
     assert [r[f"x_{i}"] for i in range(3)] == pytest.approx(list(want))
     assert sum(seen[0]) == 5_000 and max(seen[0]) < 2_500
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 3000])
+@pytest.mark.parametrize("misses", [False, True])
+def test_bracketed_quantiles_are_exact(spark, monkeypatch, n, misses):
+    """Ties, missing values and features without any; also when no bracket holds its ranks."""
+    from sensorlake.operators import clean as C
+    if misses:
+        monkeypatch.setattr(C, "BRACKET", -1)  # ends on the wrong sides
+        monkeypatch.setattr(C, "SKETCH", 1000)
+    rng = np.random.default_rng(n)
+    rows = [(f"d{i % 3}", float(rng.normal()), float(round(rng.normal(), 1)), None if i % 5 == 0 else float(i % 3), None, float("nan") if i % 2 else 1.5)
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, a double, b double, c double, z double, w double").repartition(3)
+    probs = (0.01, 0.99)
+
+    def expected(own):
+        out = {}
+        for k, f in enumerate("abczw"):
+            v = [r[k + 1] for r in own if r[k + 1] is not None and r[k + 1] == r[k + 1]]
+            out |= {f"{f}_{name}": float(np.quantile(v, p)) if v else None for name, p in zip(("lo", "hi"), probs, strict=True)}
+        return out
+
+    def same(got, want):
+        assert got.keys() == want.keys()
+        for c, x in want.items():
+            assert (got[c] is None) == (x is None) and (x is None or abs(got[c] - x) < 1e-12), c
+
+    same(C.batch_quantiles(df, list("abczw"), probs).collect()[0].asDict(), expected(rows))
+    groups = {r["g"]: r.asDict() for r in C.batch_quantiles(df, list("abczw"), probs, group_cols=["g"]).collect()}
+    assert set(groups) == {r[0] for r in rows}
+    for g, got in groups.items():
+        got.pop("g")
+        same(got, expected([r for r in rows if r[0] == g]))

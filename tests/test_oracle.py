@@ -3,6 +3,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -12,13 +13,15 @@ SF = "/root/testdata/sf0.001"
 SAMPLE = ["raw_line_parse", "reject_counts", "history_epoch_to_lines", "batch_labels", "minute_rollup",
           "dds_end_to_end", "ml_features", "keep_first_dedupe", "anti_join_append", "constraint_violations",
           "storage_cast", "completeness_monitor", "job_minutes", "job_marts", "minute_table_stream", "history_load",
-          "reject_reasons", "device_export", "hour_stream", "batch_quantiles", "time_series_report", "interpolate_per_device"]
+          "reject_reasons", "device_export", "hour_stream", "batch_quantiles", "time_series_report", "interpolate_per_device",
+          "job_minutes_clean", "minute_table_stream_clean", "file_ledger", "stream_late_rows", "landing_stream_batches",
+          "completeness_calendar", "table_lifecycle"]
 
 
 def _canon(df):
     cols = sorted(df.columns)
     def norm(v):
-        if v is None or (isinstance(v, float) and math.isnan(v)):
+        if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
             return None
         if hasattr(v, "to_pydatetime"):
             return v.to_pydatetime()
