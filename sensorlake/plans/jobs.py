@@ -137,11 +137,14 @@ def run_hour(spark: SparkSession, lake: Lakehouse, ingest_seq: int | None = None
 
     The hourly statistics are computed once (one window + one aggregate),
     persisted (they are small: one row per hour and device) and projected
-    into the four marts."""
+    into the four marts. When all four are written, one commit record
+    publishes them together (``Lakehouse.read_published``)."""
     lake.create_all()
     start, minutes = _hour_input(lake)
     stats = hourly_stats(full_periods(minutes, "hour")).persist()
     seq = ingest_seq if ingest_seq is not None else int(time.time() * 1e6)
+    if (published := lake.published_seq()) is not None and published > seq:
+        raise ValueError(f"load {seq} is older than the published one, {published}")
     rejects = {}
     try:
         bounds = date_bounds(stats)
@@ -150,6 +153,7 @@ def run_hour(spark: SparkSession, lake: Lakehouse, ingest_seq: int | None = None
             new = append_new(stored_rows(cast), lake.read(name), bounds=bounds)
             lake.append(name, with_partition_columns(new, seq))
             rejects[name] = storage_rejects(cast)
+        lake.commit(seq)
     finally:
         stats.unpersist()
     return {"scan_start": start, "storage_rejects": rejects}

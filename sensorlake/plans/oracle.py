@@ -409,6 +409,17 @@ t AS (SELECT unnest(['dds_iot_data', 'dm_iot_average', 'dm_iot_extreme', 'dm_iot
 s AS (SELECT unnest(['created', 'filled', 'one dropped', 'all dropped']) AS step),
 p AS (SELECT step, table_name, step <> 'all dropped' AND NOT (step = 'one dropped' AND table_name = 'dm_iot_ml') AS present FROM s, t)
 SELECT step, table_name, present, CAST(CASE WHEN present THEN CASE WHEN step <> 'created' AND table_name = 'dds_iot_data' THEN n ELSE 0 END END AS DOUBLE) AS rows FROM p, filled"""
+    out["mart_publication"] = ACC + MINUTE_SLICE + f""",
+stored AS ({_stored('sliced')}),
+early AS (SELECT * FROM stored WHERE timestamp < (SELECT date_trunc('day', min(timestamp)) + INTERVAL 10 DAY FROM stored)),
+n AS (SELECT (SELECT count(DISTINCT (date_trunc('hour', timestamp), device_id)) FROM early WHERE timestamp < (SELECT date_trunc('hour', max(timestamp)) FROM early)) AS a,
+  (SELECT count(DISTINCT (date_trunc('hour', timestamp), device_id)) FROM stored WHERE timestamp < (SELECT date_trunc('hour', max(timestamp)) FROM stored)) AS b)
+SELECT step, mart, CASE WHEN step = 'next load' THEN b ELSE a END AS rows FROM n, (SELECT unnest(['first days', 'failed load', 'next load']) AS step),
+  (SELECT unnest(['dm_iot_average', 'dm_iot_extreme', 'dm_iot_count', 'dm_iot_ml']) AS mart)"""
+    means = _feats("avg({f}) AS {f}")
+    out["hour_change_stream"] = q["hour_stream"][:q["hour_stream"].index("\nSELECT date_trunc('hour', timestamp) AS timestamp, device_id, count(*)")] + f""",
+means AS (SELECT date_trunc('hour', timestamp) AS timestamp, device_id, {means} FROM hours GROUP BY 1, 2)
+SELECT timestamp, device_id, """ + _feats("round({f} - lag({f}) OVER (PARTITION BY device_id ORDER BY timestamp), %d) AS {f}_change_last_hour") + " FROM means"
     hours = "hours AS (SELECT m.*"
     share = q["hour_stream"].replace(hours, "hours AS (SELECT m.*, date_trunc('hour', m.timestamp) AS h")
     share = share.replace("\nSELECT date_trunc('hour', timestamp) AS timestamp, device_id, count(*) AS record_count, ",

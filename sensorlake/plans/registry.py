@@ -456,6 +456,16 @@ def q_file_ledger(spark, sf_dir):
     return _done(lake, files)
 
 
+def q_hour_change_stream(spark, sf_dir):
+    """Hour-over-hour changes of the hour stream, restarted after each third of the lines."""
+    from sensorlake.streaming.streams import hour_change_sink, scratch_path
+
+    stage, out, checkpoint = _thirds(spark, sf_dir), scratch_path(spark, "changes"), scratch_path(spark, "ckpt")
+    for part in range(3):
+        hour_change_sink(spark, stage(part), out, checkpoint).awaitTermination()
+    return rounded(spark.read.parquet(out))
+
+
 def q_stream_late_rows(spark, sf_dir):
     """Late rows per micro-batch and device: every 50th line arrives again with the last third."""
     from sensorlake.streaming.streams import late_row_counts, minute_table_sink, scratch_path
@@ -486,6 +496,43 @@ def q_landing_stream_batches(spark, sf_dir):
     return landing_files(read_landing(spark, out)).select("file_time", "lines")
 
 
+def q_mart_publication(spark, sf_dir):
+    """Rows of each mart that readers see: after the first days, after a load that fails between two marts, and after the next one."""
+    from sensorlake.operators.store import stored_rows, with_partition_columns
+    from sensorlake.plans.jobs import pinned, run_hour
+    from sensorlake.schemas import MART_NAMES
+    from sensorlake.sources.tables import Lakehouse
+
+    class Failing(Lakehouse):
+        def append(self, table, rows):
+            if table == "dm_iot_count":
+                raise OSError("injected failure")
+            super().append(table, rows)
+
+    lake = _job_lake(spark)
+    minutes = pinned(stored_rows(storage_cast(
+        minute_rollup(full_periods(accepted_rows(spark, sf_dir), "minute"), with_count=False), MINUTE_TABLE)))
+    first = minutes.agg(F.min("timestamp")).first()[0] or _dt.datetime.min
+    cut = F.lit(_dt.datetime.combine(first.date(), _dt.time()) + _dt.timedelta(days=10)).cast("timestamp_ntz")
+    steps = []
+
+    def seen(step: str) -> None:
+        steps.extend((step, t, lake.read_published(t).count()) for t in MART_NAMES)
+
+    lake.append("dds_iot_data", with_partition_columns(minutes.where(F.col("timestamp") < cut), 0))
+    run_hour(spark, lake, ingest_seq=1)
+    seen("first days")
+    lake.append("dds_iot_data", with_partition_columns(minutes.where(F.col("timestamp") >= cut), 1))
+    try:
+        run_hour(spark, Failing(spark, lake.database), ingest_seq=2)
+    except OSError:
+        seen("failed load")
+    run_hour(spark, lake, ingest_seq=3)
+    seen("next load")
+    lake.drop_database()
+    return spark.createDataFrame(steps, "step string, mart string, rows long")
+
+
 def q_completeness_calendar(spark, sf_dir):
     """Incomplete device-hours, those without any record included."""
     minutes = minute_rollup(accepted_rows(spark, sf_dir), with_count=False)

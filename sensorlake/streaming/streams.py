@@ -5,6 +5,7 @@
   zero-delay watermark, append mode - a minute is emitted once the newest
   event time has passed its end, which is the batch job's full-minute cut.
 * ``hour_stream``         SS3: chained 1-hour windows over the minute windows.
+* ``hour_change_stream``  WN2: hour-over-hour change, the device's last hour in keyed state.
 * ``late_rows`` in ``sensorlake.operators.quality`` counts what the watermark drops (SS4).
 * ``minute_table_sink``   SS5/SS6: ``foreachBatch`` running the full batch
   cleaning on each micro-batch, carrying the rows after the newest stored
@@ -21,6 +22,7 @@ keep TIMESTAMP_NTZ. The session time zone is UTC, so the casts are exact.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,6 +84,58 @@ def hour_stream(minutes: DataFrame) -> DataFrame:
                         "device_id", *[c for c in hours.columns if c not in ("hwin", "device_id") and not c.startswith("_all_")])
 
 
+_CHANGES = [f"{f}_change_last_hour" for f in FEATURES]
+
+
+def hour_change_stream(hours: DataFrame) -> DataFrame:
+    """WN2 on the hour stream: each hour's means minus those of the device's previous observed hour.
+
+    Keyed state: one row per device, the means of its last hour, so the change spans micro-batches,
+    restarts and silent hours. Hours of a device leave ``hour_stream`` in the order of time, as an hour is
+    emitted when the watermark has passed it; those of one micro-batch are sorted here. The state store has
+    to be RocksDB (``rocksdb_state``)."""
+    means = ", ".join(f"{f} double" for f in FEATURES)
+    out = "timestamp timestamp_ntz, device_id string, " + ", ".join(f"{c} double" for c in _CHANGES)
+    return (hours.select("timestamp", "device_id", *FEATURES).groupBy("device_id")
+            .transformWithStateInPandas(_last_hour(list(FEATURES), list(_CHANGES), means), out, "Append", "none"))
+
+
+def _last_hour(features: list[str], changes: list[str], schema: str):
+    """The processor of ``hour_change_stream``; made here, so that executors need no module of ours."""
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    class LastHour(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.last = handle.getValueState("last_hour", schema)
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            hours = pd.concat(list(rows)).sort_values("timestamp")
+            before = list(self.last.get()) if self.last.exists() else [None] * len(features)
+            means = pd.concat([pd.DataFrame([before], columns=features, dtype="float64"), hours[features].astype("float64")], ignore_index=True)
+            self.last.update(tuple(None if pd.isna(x) else float(x) for x in means.iloc[-1]))
+            moved = means.diff().iloc[1:].set_axis(changes, axis=1).reset_index(drop=True)
+            yield pd.concat([hours[["timestamp", "device_id"]].reset_index(drop=True), moved], axis=1)
+
+        def close(self) -> None:
+            pass
+
+    return LastHour()
+
+
+@contextlib.contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries that start inside keep their state in RocksDB, as ``transformWithState`` demands."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _above(values, total, n):
     """The values above the mean, by the exact comparison of the batch marts."""
     return F.filter(values, lambda x: x * n > total)
@@ -115,6 +169,14 @@ def run_hour_stream_once(spark: SparkSession, lines: DataFrame) -> DataFrame:
     return run_to_parquet(hour_stream(minute_stream(src)), spark, "hour-stream")
 
 
+def hour_change_sink(spark: SparkSession, landing_path: str, path: str, checkpoint_path: str, trigger: dict | None = None):
+    """Landing lines -> minutes -> hours -> changes, appended as parquet; state and output survive restarts."""
+    changes = hour_change_stream(hour_stream(minute_stream(landing_stream(spark, landing_path))))
+    writer = changes.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint_path)
+    with rocksdb_state(spark):
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path: str,
                       checkpoint_path: str, clean: bool = True, group_cols=None,
                       trigger: dict | None = None, max_files_per_trigger: int | None = None,

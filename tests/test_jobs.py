@@ -158,3 +158,100 @@ def test_table_ddl_probe_and_drop(spark):
     assert len(cols) == 35 + 2 and cols[-2:] == ["ingest_seq", "dt"]
     lake.drop_all()
     assert not any(lake.exists(t) for t in names)
+
+
+def _half_days(spark, name):
+    from sensorlake.operators.store import storage_cast, stored_rows, with_partition_columns
+    lake = Lakehouse(spark, name)
+    lake.drop_all()
+    lake.create_all()
+    stored = stored_rows(storage_cast(_minutes(spark, 7), MINUTE_TABLE))
+    early = F.col("timestamp") < F.lit("2020-01-01 04:30:00").cast("timestamp_ntz")
+    for k, part in enumerate((stored.where(early), stored.where(~early))):
+        yield lake, lambda part=part, k=k: lake.append(MINUTE_TABLE_NAME, with_partition_columns(part, k))
+
+
+def test_readers_see_four_marts_of_one_state(spark, monkeypatch):
+    """A failure between two marts leaves readers on the old state of all; the next run publishes everything."""
+    (lake, first), (_, second) = _half_days(spark, "t_publish")
+    assert lake.published_seq() is None and lake.read_published("dm_iot_ml").count() == 0
+    first()
+    run_hour(spark, lake, ingest_seq=10)
+    seen = lambda: [lake.read_published(t).count() for t in MART_NAMES]
+    before = seen()
+    assert before[0] > 0 and len(set(before)) == 1
+    second()
+    append = Lakehouse.append
+
+    def broken(self, table, rows):
+        if table == MART_NAMES[2]:
+            raise OSError("lost")
+        append(self, table, rows)
+
+    monkeypatch.setattr(Lakehouse, "append", broken)
+    try:
+        run_hour(spark, lake, ingest_seq=11)
+    except OSError:
+        pass
+    else:
+        raise AssertionError("the append should have failed")
+    monkeypatch.undo()
+    assert lake.read(MART_NAMES[0]).count() > before[0] and seen() == before
+    run_hour(spark, lake, ingest_seq=12)
+    assert lake.published_seq() == 12 and seen() == [lake.read(t).count() for t in MART_NAMES] and seen()[0] > before[0]
+    assert all(duplicate_keys(lake.read_published(t)).count() == 0 for t in MART_NAMES)
+    try:
+        run_hour(spark, lake, ingest_seq=5)
+    except ValueError:
+        pass
+    else:
+        raise AssertionError("an older load number should be refused")
+
+
+def test_compaction_bounds_the_files_of_a_day(spark):
+    from sensorlake.operators.store import storage_cast, stored_rows, with_partition_columns
+    lake = Lakehouse(spark, "t_compact")
+    lake.drop_all()
+    lake.create_all()
+    stored = stored_rows(storage_cast(_minutes(spark, 7), MINUTE_TABLE))
+    for k in range(4):
+        lake.append(MINUTE_TABLE_NAME, with_partition_columns(stored.where(F.pmod(F.hour("timestamp"), F.lit(4)) == k).repartition(3), k))
+    other = stored.limit(5).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 3 DAYS"))
+    lake.append(MINUTE_TABLE_NAME, with_partition_columns(other.coalesce(1), 9))
+    rows = lambda: sorted(tuple(r) for r in lake.read(MINUTE_TABLE_NAME).collect())
+    before = rows()
+    files = {str(r["dt"]): r["files"] for r in lake.files(MINUTE_TABLE_NAME).collect()}
+    assert files["2020-01-01"] > 8 and files["2020-01-04"] == 1
+    assert lake.compact(MINUTE_TABLE_NAME, most_files=2, rows_per_file=60) == 1
+    assert rows() == before
+    after = {str(r["dt"]): (r["files"], r["rows"]) for r in lake.files(MINUTE_TABLE_NAME).collect()}
+    assert after["2020-01-01"][0] <= 2 and after["2020-01-04"] == (1, 5)
+    assert lake.compact(MINUTE_TABLE_NAME, most_files=2) == 0
+
+
+def test_bucketed_tables_are_joined_where_they_lie(spark):
+    """Same rows as without buckets, no exchange of the stored side, and a file for each bucket after compaction."""
+    from sensorlake.operators.store import storage_cast, stored_rows, with_partition_columns
+    plain, lake = Lakehouse(spark, "t_plain"), Lakehouse(spark, "t_buckets", buckets=3)
+    stored = stored_rows(storage_cast(_minutes(spark, 7), MINUTE_TABLE)).persist()
+    for one in (plain, lake):
+        one.drop_all()
+        one.create_all()
+        for k in range(3):
+            one.append(MINUTE_TABLE_NAME, with_partition_columns(append_new(stored.where(F.hour("timestamp") <= 2 * k + 2), one.read(MINUTE_TABLE_NAME)), k))
+        run_hour(spark, one, ingest_seq=1)
+    rows = lambda x, t: sorted(tuple(r) for r in x.read(t).drop("ingest_seq").collect())
+    for t in [MINUTE_TABLE_NAME, *MART_NAMES]:
+        assert rows(plain, t) == rows(lake, t) and rows(lake, t)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = append_new(stored, lake.read(MINUTE_TABLE_NAME))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert plan.index("Exchange hashpartitioning") < plan.index("FileScan parquet")  # of the new rows, the left side
+    day = lambda: {r["files"] for r in lake.files(MINUTE_TABLE_NAME).collect()}
+    assert max(day()) > 3
+    kept = rows(lake, MINUTE_TABLE_NAME)
+    assert lake.compact(MINUTE_TABLE_NAME, most_files=3) == 1 and max(day()) <= 3 and rows(lake, MINUTE_TABLE_NAME) == kept

@@ -54,3 +54,45 @@ def test_streaming_landing_sink_bounds_files(spark, scratch):
     q.awaitTermination()
     counts = [n for f, n in _line_counts(out).items()]
     assert sum(counts) == 2300 and max(counts) <= 1000
+
+
+def _stream_part(spark, src, name, lines):
+    os.makedirs(src, exist_ok=True)
+    with open(os.path.join(src, name), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+
+
+def test_batches_fill_up_across_micro_batches(spark, scratch):
+    """2,500 lines in five micro-batches: files of 1000, 1000 and 500 lines, labelled by their last lines."""
+    from sensorlake.sources.landing import landing_files
+    from sensorlake.streaming.streams import close_landing_batches, landing_batch_sink
+    src, out, pending, ckpt = (os.path.join(scratch, k) for k in ("in", "out", "pending", "ckpt"))
+    lines = [f"2020-07-12 {i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d}.000000 dev {i}" for i in range(2500)]
+    lines[1499] = "a faulty line"
+    written = []
+    for k in range(5):
+        _stream_part(spark, src, f"{k}.txt", lines[k * 500:(k + 1) * 500])
+        landing_batch_sink(landing_stream(spark, src), out, pending, ckpt).awaitTermination()
+        written.append(sorted(_line_counts(out).values()))
+    assert written == [[], [1000], [1000], [1000, 1000], [1000, 1000]]
+    close_landing_batches(spark, out, pending)
+    assert sorted(_line_counts(out).values()) == [500, 1000, 1000]
+    close_landing_batches(spark, out, pending)  # closing again replaces the same file
+    rows = read_landing(spark, out)
+    got = sorted((str(r["file_time"]), r["lines"]) for r in landing_files(rows).collect())
+    assert got == [("2020-07-12 00:16:39", 1000), ("2020-07-12 00:33:19", 1000), ("2020-07-12 00:41:39", 500)]
+    assert sorted(r["value"] for r in rows.select("value").collect()) == sorted(lines)
+
+
+def test_a_replayed_micro_batch_writes_nothing_twice(spark, scratch):
+    from sensorlake.streaming.streams import landing_batch_sink
+    src, out, pending, ckpt = (os.path.join(scratch, k) for k in ("in", "out", "pending", "ckpt"))
+    lines = [f"2020-07-12 00:{i // 60:02d}:{i % 60:02d}.000000 dev {i}" for i in range(250)]
+    for k in range(2):
+        _stream_part(spark, src, f"{k}.txt", lines[k * 125:(k + 1) * 125])
+        landing_batch_sink(landing_stream(spark, src), out, pending, ckpt, records_per_file=100).awaitTermination()
+    for f in ("1", ".1.crc"):  # as if the driver had died before the second commit
+        os.remove(os.path.join(ckpt, "commits", f))
+    landing_batch_sink(landing_stream(spark, src), out, pending, ckpt, records_per_file=100).awaitTermination()
+    got = [r["value"] for r in read_landing(spark, out).select("value").collect()]
+    assert sorted(got) == lines[:200] and sorted(_line_counts(out).values()) == [100, 100]

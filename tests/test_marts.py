@@ -61,3 +61,14 @@ def test_keep_first_dedupe_keeps_lowest_sequence(spark):
                                "timestamp timestamp_ntz, device_id string, ingest_seq int, co double")
     got = by_key(dedupe_first(df).collect())
     assert got[(ts("2020-01-01 00:00:00"), D)]["co"] == 2.0 and len(got) == 2
+
+
+def test_hours_without_any_record_have_zero_completeness(spark):
+    from sensorlake.operators.quality import calendar_completeness
+    rows = spark.createDataFrame([("2020-01-01 00:00:00", "a", 60), ("2020-01-01 03:00:00", "a", 59), ("2020-01-01 02:00:00", "b", 60)],
+                                 "timestamp string, device_id string, record_count int")
+    rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    got = {(str(r["timestamp"])[11:13], r["device_id"]): (r["record_count"], round(r["completeness_pct"], 2)) for r in calendar_completeness(rows).collect()}
+    assert got == {("01", "a"): (0, 0.0), ("02", "a"): (0, 0.0), ("03", "a"): (59, 98.33), ("03", "b"): (0, 0.0)}
+    assert calendar_completeness(rows, only_incomplete=False).count() == 6
+    assert calendar_completeness(rows.limit(0)).count() == 0

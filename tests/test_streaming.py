@@ -97,3 +97,20 @@ def test_a_lost_pending_folder_fails_the_batch(spark, scratch):
     _stage(landing, "2020-07-20_00_02_05.000000.txt", [line("2020-07-20 00:02:05.000000", "a")])
     with pytest.raises(Exception):
         minute_table_sink(spark, lake, landing, pending, ckpt).awaitTermination()
+
+
+def test_late_rows_are_counted_per_micro_batch(spark, scratch):
+    from sensorlake.streaming.streams import late_row_counts
+    devices = ("b8:27:eb:bf:9d:51", "00:0f:00:70:91:0a")
+    landing, ckpt, pending, late = (os.path.join(scratch, k) for k in ("in", "ckpt", "pending", "late"))
+    os.makedirs(landing)
+    lake = Lakehouse(spark, "t_late")
+    lake.drop_all()
+    files = [[line(f"2020-07-20 00:{m:02d}:10.000000", d) for m in range(k * 3, k * 3 + 4) for d in devices] for k in range(3)]
+    files[1] += [line("2020-07-20 00:01:30.000000", devices[0]), line("2020-07-20 00:00:30.000000", devices[0])]
+    files[2] += [line("2020-07-20 00:04:00.000000", devices[1]), "faulty"]
+    for k, content in enumerate(files):
+        _stage(landing, f"2020-07-20_00_{k * 3 + 3:02d}_10.000000.txt", content)
+        minute_table_sink(spark, lake, landing, pending, ckpt, clean=False, late_path=late).awaitTermination()
+    got = sorted(tuple(r) for r in late_row_counts(spark, late).collect())
+    assert got == [(1, devices[0], 2), (2, devices[1], 1)]
