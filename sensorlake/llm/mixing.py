@@ -12,7 +12,9 @@ neither a hot source nor a hot group of copies meets in one task.
 
 Defined results: a null or empty text has size 0; a null source is a source of
 its own (last in order); repeated rows count one by one; rows with a null id are
-mixed like others; an empty table gives an empty mix.
+mixed like others; which of the rows that share an id and a size are taken more
+often follows from their columns, not from where they are read; an empty table
+gives an empty mix.
 """
 
 from __future__ import annotations
@@ -83,7 +85,9 @@ def mix_counts(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, limit: floa
         (n_words(F.col("text")) if size is None else size).alias("size"),
         F.col(source).isNotNull().alias("_has_source"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_source"),
-        F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))).alias("_order"))
+        F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))).alias("_order"),
+        # rows that share an id and a size are told apart by all their columns, so that reruns agree
+        F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]).alias("_tie"))
     sized = (sized.withColumn("_class", F.floor(16 * F.log2(F.col("size") + 1)))
              .withColumn("_part", F.substring("_order", 1, 2)).withColumn("_one", F.lit(1)))
     of = ["_has_source", "_source"]
@@ -91,13 +95,13 @@ def mix_counts(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, limit: floa
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = source_targets(sized.drop("row"), weights, share, limit).withColumn("_each", each)
     trials = [_offset(seed, i) for i in range(TRIALS)]
-    tried = running_total(sized.drop("row"), "_one", of, levels, ["_order"], attach=targets).groupBy(*of).agg(
+    tried = running_total(sized.drop("row"), "_one", of, levels, ["_order", "_tie"], attach=targets).groupBy(*of).agg(
         F.first("target").alias("target"),
         *[F.sum(F.col("size") * _copies(F.col("before"), F.col("_each"), u)).alias(f"_words{i}") for i, u in enumerate(trials)])
     nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"_words{i}") - F.col("target")), F.lit(i), u.alias("offset"))
                                     for i, u in enumerate(trials)]))
     offsets = tried.select(*of, nearest["offset"].alias("_offset"))
-    mixed = running_total(sized, "_one", of, levels, ["_order"], attach=targets.join(offsets, of))
+    mixed = running_total(sized, "_one", of, levels, ["_order", "_tie"], attach=targets.join(offsets, of))
     return mixed.select("row", "size", "source_size", "target", _copies(F.col("before"), F.col("_each"), F.col("_offset")).alias("copies"))
 
 

@@ -2,6 +2,7 @@
 import random
 import re
 import string
+from collections import Counter
 
 import brute
 import numpy as np
@@ -343,3 +344,10 @@ def test_an_id_with_many_rows_is_one_row_of_the_fit(spark, monkeypatch):
     want = gam.features(*W.text_bytes(pa.array(["many" if i == ids[0] else f"text number {i}" for i in [*ids, ids[0]]])))
     assert sorted(map(tuple, x)) == sorted(map(tuple, want))
     assert len(gam.train(docs, labels, most=5)[1]) == 5
+
+
+def test_mix_of_rows_that_share_an_id_is_the_same_on_every_run(spark):
+    rows = [(i, f"word{k} b c", "s") for k in range(200) for i in (7, None)] + [(k, "a " * 20, "t") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = [Counter((r.doc_id, r.text, r.source) for r in mixing.mix(docs.repartition(n, *by)).collect()) for n, by in ((2, []), (5, ["text"]), (1, []))]
+    assert runs[0] == runs[1] == runs[2] and len(set(runs[0].values())) > 1
