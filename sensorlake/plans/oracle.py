@@ -409,6 +409,16 @@ t AS (SELECT unnest(['dds_iot_data', 'dm_iot_average', 'dm_iot_extreme', 'dm_iot
 s AS (SELECT unnest(['created', 'filled', 'one dropped', 'all dropped']) AS step),
 p AS (SELECT step, table_name, step <> 'all dropped' AND NOT (step = 'one dropped' AND table_name = 'dm_iot_ml') AS present FROM s, t)
 SELECT step, table_name, present, CAST(CASE WHEN present THEN CASE WHEN step <> 'created' AND table_name = 'dds_iot_data' THEN n ELSE 0 END END AS DOUBLE) AS rows FROM p, filled"""
+    fed = ACC + MINUTE_SLICE + f",\nstored AS ({_stored('sliced')})"
+    ml = ML_SELECT[len("SELECT timestamp, device_id, "):-len(" FROM hchg")]
+    out["minute_fed_marts"] = fed + """,
+hcut AS (SELECT date_trunc('hour', max(timestamp)) AS c FROM stored),
+dds AS (SELECT s.* FROM stored s, hcut WHERE s.timestamp < hcut.c)""" + _hourly("dds") + "\nSELECT timestamp, device_id, " + _feats(
+        "round(mean_{f}, %d) AS {f}") + ", round(mean_light, %d) AS light, CAST(record_count AS INTEGER) AS record_count, " + _feats(
+        "round(max_{f}, %d) AS max_{f}, round(min_{f}, %d) AS min_{f}") + ", " + ml + " FROM hchg"
+    out["minute_fed_report"] = fed + _hourly("stored") + "\nSELECT timestamp, device_id, " + _feats(
+        "round(mean_{f}, %d) AS avg_{f}, round(min_{f}, %d) AS min_{f}, round(max_{f}, %d) AS max_{f}") + \
+        " FROM hstats WHERE timestamp >= (SELECT max(timestamp) - INTERVAL 7 DAY FROM stored)"
     out["mart_publication"] = ACC + MINUTE_SLICE + f""",
 stored AS ({_stored('sliced')}),
 early AS (SELECT * FROM stored WHERE timestamp < (SELECT date_trunc('day', min(timestamp)) + INTERVAL 10 DAY FROM stored)),

@@ -533,6 +533,35 @@ def q_mart_publication(spark, sf_dir):
     return spark.createDataFrame(steps, "step string, mart string, rows long")
 
 
+def _stored_minutes(spark, sf_dir) -> DataFrame:
+    """The minutes as the minute table stores them: at most 60 rows for an hour and device."""
+    from sensorlake.operators.store import stored_rows
+
+    rollup = minute_rollup(full_periods(accepted_rows(spark, sf_dir), "minute"), with_count=False)
+    return stored_rows(storage_cast(rollup, MINUTE_TABLE))
+
+
+def q_minute_fed_marts(spark, sf_dir):
+    """The four marts of the complete hours, side by side, from stored minutes in one pass."""
+    from sensorlake.plans.jobs import pinned
+
+    marts = hour_batch(pinned(_stored_minutes(spark, sf_dir)))
+    keys = ["timestamp", "device_id"]
+    out = marts["dm_iot_average"]
+    for name in ("dm_iot_extreme", "dm_iot_count", "dm_iot_ml"):
+        out = out.join(marts[name], keys)
+    return rounded(out)
+
+
+def q_minute_fed_report(spark, sf_dir):
+    """The time-series report of the last days, from stored minutes."""
+    from sensorlake.plans.jobs import pinned
+
+    minutes = pinned(_stored_minutes(spark, sf_dir))
+    start = F.lit(latest_timestamp(minutes) - _dt.timedelta(days=WINDOW_DAYS)).cast("timestamp_ntz")
+    return rounded(time_series(hourly_stats(minutes)).where(F.col("timestamp") >= start))
+
+
 def q_completeness_calendar(spark, sf_dir):
     """Incomplete device-hours, those without any record included."""
     minutes = minute_rollup(accepted_rows(spark, sf_dir), with_count=False)

@@ -15,7 +15,7 @@ SAMPLE = ["raw_line_parse", "reject_counts", "history_epoch_to_lines", "batch_la
           "storage_cast", "completeness_monitor", "job_minutes", "job_marts", "minute_table_stream", "history_load",
           "reject_reasons", "device_export", "hour_stream", "batch_quantiles", "time_series_report", "interpolate_per_device",
           "job_minutes_clean", "minute_table_stream_clean", "file_ledger", "stream_late_rows", "landing_stream_batches",
-          "completeness_calendar", "table_lifecycle", "hour_change_stream", "mart_publication"]
+          "completeness_calendar", "table_lifecycle", "hour_change_stream", "mart_publication", "minute_fed_marts", "minute_fed_report"]
 
 
 def _canon(df):
