@@ -230,7 +230,8 @@ def _search_shard(table: pa.Table, most: int, parts: int) -> pa.Table:
 
     A row with ``start`` is a span of a text's bytes (``stop`` its end).  A row with ``prints`` is a sorted run:
     the fingerprints, in one of ``parts`` parts, of the windows of pieces whose anchor occurs more than ``most``
-    times, with each window's place and whether it is repeated here already.
+    times, with each window's place and whether it is repeated here already.  Equal windows give one row, so a
+    passage that stands in any number of texts meets in ``_merge`` as often as there are shards.
     """
     table = table.combine_chunks()
     number: dict[bytes, int] = {}
@@ -260,6 +261,9 @@ def _search_shard(table: pa.Table, most: int, parts: int) -> pa.Table:
         owners.append(np.full(len(marks[i]), row))
     prints, sure, starts, owners = (np.concatenate(x) for x in (prints, sure, starts, owners))
     order = np.lexsort((prints["low"], prints["high"]))
+    # of windows that are equal here, all sure already, one tells the other shards
+    new = np.append(True, prints[order][1:] != prints[order][:-1])[:len(order)]
+    order = order[new | ~sure[order]]
     part = (prints["low"][order] % np.uint64(parts)).astype(np.int64)
     out = []
     for p in np.unique(part).tolist():

@@ -7,7 +7,9 @@ a key's bucket holds the displacement that sends all of its keys to free slots,
 fill n slots and a key is found by one bucket and one slot.  A slot stores a fingerprint
 of its key, so a foreign key is refused, and the document's offset and length.
 
-The key of a document is its id and its number among equal ids of the segment.  Segments
+The key of a document is its id and its number among equal ids of the segment.  A segment
+names its least and greatest id, and the segments lie in ascending order, so ``lookup`` goes
+from an id to its segments by range, and from there to the document by the hash.  Segments
 are rows of a Parquet table, so they live in any store that Spark reaches, are committed
 by Spark as a whole, and a lost task writes its own again.
 
@@ -35,7 +37,8 @@ from sensorlake.llm.wordids import WordEncoder
 
 SEGMENT_BYTES = 1 << 20  # of text
 PARTITION_BYTES = 32 << 20
-SEGMENT = "part int, seq int, n_docs int, n_tokens long, width int, keys binary, payload binary, seeds binary, slots binary"
+ROW_BYTES = 64         # of a row besides its text
+SEGMENT = "part int, seq int, n_docs int, n_tokens long, width int, least long, greatest long, nulls int, keys binary, payload binary, seeds binary, slots binary"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SLOT = np.dtype([("fingerprint", "<u4"), ("length", "<u4"), ("offset", "<u8")])
 _KEY = np.dtype([("doc_id", "<i8"), ("copy", "<u4"), ("null", "u1")])
@@ -146,30 +149,40 @@ class LibraryEncoder(WordEncoder):
         return np.fromiter((i for x in found for i in x), np.int32, int(count.sum())), count
 
 
+def _keys(ids: pa.Array) -> np.ndarray:
+    """The keys of a segment's documents, whose ids ascend, null ones first."""
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    keys = np.zeros(len(ids), _KEY)
+    keys["doc_id"], keys["null"] = ids.fill_null(0).to_numpy(), null
+    new = np.append(True, (keys["doc_id"][1:] != keys["doc_id"][:-1]) | (null[1:] != null[:-1]))[:len(keys)]
+    at = np.arange(len(keys))
+    keys["copy"] = at - np.maximum.accumulate(np.where(new, at, 0))
+    return keys
+
+
 def _segments(name: str, end: int, width: int):
     """Sorted (doc_id, text) -> segment rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         encoder = LibraryEncoder.of(name)
-        last, copy = object(), 0
         for whole in batches:
             for batch in W.slices(whole, 1, SEGMENT_BYTES):
                 ids, lengths = encoder.encode(*W.text_bytes(batch.column(1)), end=end)
-                keys = np.zeros(len(lengths), _KEY)
-                for i, doc_id in enumerate(batch.column(0).to_pylist()):
-                    copy = copy + 1 if doc_id == last else 0
-                    last = doc_id
-                    keys[i] = (doc_id or 0, copy, doc_id is None)
+                keys = _keys(batch.column(0))
                 h = key_hashes(keys)
                 seeds = build_hash(h)
                 at = slots_of(h, seeds, len(h))
                 slots = np.zeros(len(h), _SLOT)
                 slots["fingerprint"][at], slots["length"][at], slots["offset"][at] = fingerprints(h), lengths, np.cumsum(lengths) - lengths
                 payload = ids.astype("<u2" if width == 2 else "<u4")
-                row = [part, seq, len(lengths), int(lengths.sum()), width, keys.tobytes(), payload.tobytes(), seeds.astype("<i4").tobytes(), slots.tobytes()]
+                own = keys["doc_id"][keys["null"] == 0]
+                range_ = [int(own[0]), int(own[-1])] if len(own) else [None, None]
+                row = [part, seq, len(lengths), int(lengths.sum()), width, *range_, len(keys) - len(own),
+                       keys.tobytes(), payload.tobytes(), seeds.astype("<i4").tobytes(), slots.tobytes()]
+                kinds = [pa.int32()] * 3 + [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()] + [pa.binary()] * 4
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], t) for v, t in zip(row, [pa.int32()] * 3 + [pa.int64(), pa.int32()] + [pa.binary()] * 4, strict=True)],
+                    [pa.array([v], t) for v, t in zip(row, kinds, strict=True)],
                     [c.split()[0] for c in SEGMENT.split(", ")])
                 seq += 1
 
@@ -185,8 +198,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, end: int = 1, doc_id: str = "
 
     width = 2 if max(Tokenizer.from_file(vocabulary).get_vocab_size(), end + 1) <= 1 << 16 else 4
     body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    size = body.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    order = ["doc_id", F.xxhash64("text")]
+    size = body.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES)).first()[0] or 0
+    # the last column only deals equal rows to many tasks
+    order = ["doc_id", F.xxhash64("text"), F.monotonically_increasing_id()]
     # a task streams its texts in slices, so a partition may be large; more than the cluster's own number gain nothing
     parts = min(1 + size // PARTITION_BYTES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranged = body.repartitionByRange(parts, *order).sortWithinPartitions(*order)
@@ -216,3 +230,38 @@ def read_documents(segments: DataFrame) -> DataFrame:
     starts = running_total(heads, "n_tokens", [], [["part"]], ["seq"], "first").select("part", "seq", "first")
     found = segments.mapInArrow(_read, "part int, seq int, doc_id long, offset long, n_tokens long, ids_crc32 long")
     return found.join(starts, ["part", "seq"]).select("doc_id", (F.col("first") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments with the ids that are asked of them -> one row for each document found."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            segment = Segment(row)
+            out = []
+            for doc_id in row["asked"]:
+                copy = 0
+                while (ids := segment.get(doc_id, copy)) is not None:
+                    out.append((doc_id, copy, ids.tolist()))
+                    copy += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in out], pa.int64()), pa.array([row["part"]] * len(out), pa.int32()), pa.array([row["seq"]] * len(out), pa.int32()),
+                 pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.list_(pa.int32()))],
+                ["doc_id", "part", "seq", "copy", "ids"])
+
+
+def lookup(segments: DataFrame, keys: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """``doc_id, part, seq, copy, ids`` of every document that has one of the ids in ``keys``.
+
+    An id finds its partitions among their ranges (a broadcast of one row for each, at most four times the
+    session's shuffle partitions), its segments among the ranges of those partitions, and its documents by the
+    hash of the segment.  Payloads are read of segments that are asked for only; repeated and null ids of
+    ``keys`` count once and not at all; an id that no segment holds gives no row."""
+    ship(segments.sparkSession)
+    asked = keys.select(F.col(doc_id).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    heads = segments.select("part", "seq", "least", "greatest").where("least is not null")
+    parts = heads.groupBy("part").agg(F.min("least").alias("low"), F.max("greatest").alias("high"))
+    near = asked.join(F.broadcast(parts), (F.col("doc_id") >= F.col("low")) & (F.col("doc_id") <= F.col("high"))).select("doc_id", "part")
+    hits = near.join(heads, "part").where((F.col("doc_id") >= F.col("least")) & (F.col("doc_id") <= F.col("greatest")))
+    wanted = hits.groupBy("part", "seq").agg(F.collect_list("doc_id").alias("asked"))  # ids of one segment's range
+    whole = segments.select("part", "seq", "width", "keys", "payload", "seeds", "slots").join(wanted, ["part", "seq"])
+    return whole.mapInArrow(_found, "doc_id long, part int, seq int, copy int, ids array<int>")

@@ -351,3 +351,57 @@ def test_mix_of_rows_that_share_an_id_is_the_same_on_every_run(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     runs = [Counter((r.doc_id, r.text, r.source) for r in mixing.mix(docs.repartition(n, *by)).collect()) for n, by in ((2, []), (5, ["text"]), (1, []))]
     assert runs[0] == runs[1] == runs[2] and len(set(runs[0].values())) > 1
+
+
+def test_lookup_over_many_segments(spark, monkeypatch):
+    """Ids that lie in several segments, foreign ids, null and repeated keys."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(tokenfile, "PARTITION_BYTES", 4_000)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(5, f"the same id {i} " * 3) for i in range(14)] + [(None, "without an id")] * 3 + [(i * 10, f"text {i}") for i in range(300)] + [(7, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    segments = tokenfile.write_tokens(docs.repartition(3), path)
+    assert segments.count() > 3
+    found = tokenfile.lookup(segments, spark.createDataFrame([(i,) for i in (5, 5, 0, 7, 9, 1500, 2990, 3, 11, -4, 10 ** 12, None)], "doc_id long")).collect()
+    from tokenizers import Tokenizer
+    encode = lambda t: [*Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids, 1]
+    got = Counter((r.doc_id, tuple(r.ids)) for r in found)
+    assert got == Counter((i, tuple(encode(t))) for i, t in rows if i in (5, 0, 7, 9, 1500, 2990))
+    assert len({(r.part, r.seq, r.copy) for r in found if r.doc_id == 5}) == 14
+    row = segments.where("least <= 1500 and greatest >= 1500").first().asDict()
+    assert tokenfile.Segment(row).get(1500).tolist() == encode("text 150") and tokenfile.Segment(row).get(1501) is None
+
+
+def test_token_file_of_empty_texts_is_spread(spark, monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(tokenfile, "PARTITION_BYTES", 20_000)
+    docs = spark.createDataFrame([(i % 2, "") for i in range(3_000)], "doc_id long, text string").repartition(4)
+    segments = tokenfile.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    sizes = [r.n_docs for r in segments.collect()]
+    assert sum(sizes) == 3_000 and max(sizes) < 1_000
+    assert sorted(r.start for r in tokenfile.read_documents(segments).collect()) == list(range(3_000))
+
+
+def test_a_common_passage_meets_once_for_each_shard():
+    rng = np.random.default_rng(3)
+    passage = bytes(rng.integers(97, 123, 400, dtype=np.uint8))
+    pieces = [bytes(rng.integers(97, 123, 50, dtype=np.uint8)) + passage for _ in range(200)]
+    table = pa.table({"key": pa.array([bytes([i]) for i in range(200)], pa.binary()), "begin": pa.array([0] * 200, pa.int32()), "n": pa.array([10 ** 6] * 200, pa.int64()),
+                      "shard": pa.array([0] * 200, pa.int32()), "piece": pa.array(pieces, pa.binary())})
+    found = suffix._search_shard(table, 10, 3)
+    prints = np.concatenate([np.frombuffer(x, suffix._PRINT) for x in found.column("prints").to_pylist() if x is not None])
+    sure = np.concatenate([np.frombuffer(x, bool) for x in found.column("sure").to_pylist() if x is not None])
+    windows = Counter(p[i:i + suffix.LENGTH] for p in pieces for i in range(len(p) - suffix.LENGTH + 1))
+    assert len(np.unique(prints)) == len(prints) == len(windows) and sure.sum() == sum(n > 1 for n in windows.values())
+
+
+def test_decode_gives_what_encode_decoded(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    docs = spark.createDataFrame([(1, "Some words, 12 and é"), (2, ""), (3, None), (None, "<|endoftext|> x"), (1, "Some words, 12 and é")], "doc_id long, text string")
+    codec = bpe.Codec.compile(docs, public_tokenizers.path("word_bpe_49k.json"))
+    done = codec.encode(docs, decoded=True).collect()
+    back = codec.decode(codec.encode(docs)).collect()
+    assert sorted(map(tuple, back), key=str) == sorted(map(tuple, done), key=str) and len(back) == 5
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert all(r.decoded == library.decode(r.ids, skip_special_tokens=False) for r in back)
