@@ -192,3 +192,82 @@ def codes(rows, parts=16, entries=64, rounds=2):
         per[label] += e
     digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
     return [(i, bytes(c).hex(), e, per[label], digest) for (i, _, label), c, e in zip(rows, own, error, strict=True)]
+
+
+def _prefix(values):
+    out = [0.0]
+    for v in values:
+        out.append(out[-1] + v)
+    return out
+
+
+def _tree(grad, hess, leaves):
+    """The value of each ordered bin: the cut that gains most first, until there are enough leaves."""
+    g, h, cuts = _prefix(grad), _prefix(hess), [0, len(grad)]
+
+    def gain(a, b):
+        return (g[b] - g[a]) ** 2 / (h[b] - h[a] + 1.0)
+
+    for _ in range(leaves - 1):
+        found = [(gain(a, k) + gain(k, b) - gain(a, b), -k) for a, b in zip(cuts, cuts[1:], strict=False) for k in range(a + 1, b)]
+        if not found or max(found)[0] <= 1e-9:
+            break
+        cuts = sorted([*cuts, -max(found)[1]])
+    return [(g[b] - g[a]) / (h[b] - h[a] + 1.0) for a, b in zip(cuts, cuts[1:], strict=False) for _ in range(b - a)]
+
+
+def _cross(grad, hess, size):
+    """The best two cuts of a joint histogram: gain and the value of each cell."""
+    def total(t, rows, columns):
+        return sum(t[i][j] for i in rows for j in columns)
+
+    best = None
+    for i in range(1, size):
+        for j in range(1, size):
+            parts = [(range(r0, r1), range(c0, c1)) for r0, r1 in ((0, i), (i, size)) for c0, c1 in ((0, j), (j, size))]
+            sums = [(total(grad, *p), total(hess, *p)) for p in parts]
+            gain = sum(a ** 2 / (b + 1.0) for a, b in sums)
+            if best is None or gain > best[0] + 1e-12:
+                best = gain, [(p, a / (b + 1.0)) for p, (a, b) in zip(parts, sums, strict=True)]
+    out = [[0.0] * size for _ in range(size)]
+    for (rows, columns), v in best[1]:
+        for i in rows:
+            for j in columns:
+                out[i][j] = v
+    whole = range(size), range(size)
+    return best[0] - total(grad, *whole) ** 2 / (total(hess, *whole) + 1.0), out
+
+
+def additive_model(bins, y, n_bins, rounds, leaves, rate, pair_bins, pair_rounds, n_pairs):
+    """Cyclic boosting by plain loops over rows of bins -> the score of each row."""
+    n, width = len(y), len(bins[0])
+    base = sum(y) / n
+    total = [math.log(base / (1 - base))] * n
+
+    def slopes():
+        p = [1 / (1 + math.exp(-t)) for t in total]
+        return [a - b for a, b in zip(y, p, strict=True)], [b * (1 - b) for b in p]
+
+    for _ in range(rounds):
+        for f in range(width):
+            grad, hess = [0.0] * n_bins, [0.0] * n_bins
+            for row, g, h in zip(bins, *slopes(), strict=True):
+                grad[row[f]] += g
+                hess[row[f]] += h
+            step = _tree(grad, hess, leaves)
+            total = [t + rate * step[row[f]] for t, row in zip(total, bins, strict=True)]
+    coarse = [[b * pair_bins // n_bins for b in row] for row in bins]
+
+    def cross(f, g):
+        grad, hess = ([[0.0] * pair_bins for _ in range(pair_bins)] for _ in range(2))
+        for row, a, b in zip(coarse, *slopes(), strict=True):
+            grad[row[f]][row[g]] += a
+            hess[row[f]][row[g]] += b
+        return _cross(grad, hess, pair_bins)
+
+    chosen = sorted(((f, g) for f in range(width) for g in range(f)), key=lambda p: (-round(cross(*p)[0], 9), p))[:n_pairs]
+    for _ in range(pair_rounds):
+        for f, g in chosen:
+            step = cross(f, g)[1]
+            total = [t + rate * step[row[f]][row[g]] for t, row in zip(total, coarse, strict=True)]
+    return [1 / (1 + math.exp(-t)) for t in total]

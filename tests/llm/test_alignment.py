@@ -57,8 +57,9 @@ def test_texts_as_the_libraries_encode_them(aligner, monkeypatch):
     column = W.text_bytes(pa.array(TEXTS, pa.string()))
     for memory in (A.MEMORY_CHUNKS, 0):  # with and without what was remembered
         monkeypatch.setattr(A, "MEMORY_CHUNKS", memory)
-        a, b, sizes_a, sizes_b, n_a, n_b, n_groups = aligner.align(*column)
-        raw, ends = A.group_texts((a, b, sizes_a, sizes_b), (n_a, n_b, n_groups, n_groups), A.digit_table(50_257))
+        a, b, at_a, at_b, n_a, n_b = aligner.align(*column)
+        n_groups = np.diff(np.searchsorted(at_a, np.append(0, np.cumsum(n_a))))
+        raw, ends = A.group_texts((a, b, np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)), (n_a, n_b, n_groups), A.digit_table(50_257))
         want, _ = plain(aligner, list(enumerate(TEXTS)))
         import hashlib
         got = {i: (n_a[i], n_b[i], n_groups[i], hashlib.sha256(raw[ends[i]:ends[i + 1] - 1]).hexdigest() if n_a[i] else "") for i in range(len(TEXTS))}
@@ -68,10 +69,10 @@ def test_texts_as_the_libraries_encode_them(aligner, monkeypatch):
 
 @given(st.lists(st.text(st.sampled_from("a b\n\t\u00a0é▁'s<|>"), max_size=30), max_size=5))
 def test_any_text(aligner, texts):
-    a, b, sizes_a, sizes_b, n_a, n_b, n_groups = aligner.align(*W.text_bytes(pa.array(texts, pa.string())))
+    a, b, at_a, at_b, n_a, n_b = aligner.align(*W.text_bytes(pa.array(texts, pa.string())))
     want, _ = plain(aligner, list(enumerate(texts)))
-    assert [tuple(map(int, x)) for x in zip(n_a, n_b, n_groups, strict=True)] == [w[:3] for w in want.values()]
-    assert sizes_a.sum() == n_a.sum() and sizes_b.sum() == n_b.sum()
+    n_groups = np.diff(np.searchsorted(at_a, np.append(0, np.cumsum(n_a))))
+    assert [tuple(map(int, x)) for x in zip(n_a, n_b, n_groups, strict=True)] == [w[:3] for w in want.values()] and len(at_a) == len(at_b)
 
 
 def test_linkable_pairs_by_hand():
@@ -93,7 +94,12 @@ def test_op13_against_plain_python(spark, aligner, folder, request):
         assert s.endswith(t) or t.endswith(s)
 
 
-def test_counts_table(spark, aligner):
-    docs = spark.createDataFrame([(i, t) for i, (_, t, *_) in enumerate(edge_documents())], "doc_id long, text string").repartition(3)
-    _, linked = plain(aligner, [(i, t) for i, (_, t, *_) in enumerate(edge_documents())])
-    assert {(r.a, r.b): r.n for r in A.link_counts(A.align(docs, *PATHS)).collect()} == dict(linked)
+def test_counts_table_and_unpacked_lists(spark, aligner):
+    texts = [(i, t) for i, (_, t, *_) in enumerate(edge_documents())]
+    both = A.Tokenizers(*PATHS)
+    aligned = A.align(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), both)
+    want, linked = plain(aligner, texts)
+    assert {(r.a, r.b): r.n for r in A.link_counts(aligned, both).collect()} == dict(linked)
+    for r in A.unpacked(aligned, both).collect():
+        assert (len(r.a_ids), len(r.b_ids), len(r.a_sizes), len(r.b_sizes)) == (*want[r.doc_id][:2], want[r.doc_id][2], want[r.doc_id][2])
+        assert sum(r.a_sizes) == len(r.a_ids) and sum(r.b_sizes) == len(r.b_ids)
