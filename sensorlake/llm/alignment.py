@@ -46,11 +46,12 @@ from sensorlake.llm.scratch import pin
 from sensorlake.llm.ship import send, ship
 from sensorlake.llm.wordids import spread
 
-SLICE = 1 << 20        # bytes of text at once
-TOKENS = 1 << 20       # tokens at once
-MEMORY_CHUNKS, MEMORY_IDS = 400_000, 8_000_000
+SLICE = 1 << 19        # bytes of text at once
+TOKENS = 1 << 16       # tokens of A at once
+MEMORY_CHUNKS, MEMORY_IDS = 300_000, 4_000_000
 MOST_PAIRS = 32_000_000
-ALIGNED = "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
+#: Ids as little-endian integers of 2 bytes (4 where a vocabulary needs them); a bit for each token, set where it ends a group.
+ALIGNED = "doc_id long, a_ids binary, b_ids binary, a_ends binary, b_ends binary"
 _BLANK = "▁"
 _RECENT = 50_000
 
@@ -267,7 +268,7 @@ class Aligner:
         return out
 
     def align(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Ids of A and B, group sizes in A and B; numbers of A and B tokens and of groups of each text."""
+        """Ids of A and B, ranks of the tokens of A and B that end a group; numbers of A and B tokens of each text."""
         if sum(len(t[0]) for t in self.tables) > MEMORY_CHUNKS or max(self.used) > MEMORY_IDS:
             self.forget()
         data, starts, hashes, texts = cut_chunks(data, offsets)
@@ -294,8 +295,7 @@ class Aligner:
         a, b = self.flat[0][spread(first_a, count_a)], self.flat[1][spread(first_b, count_b)]
         # both tokenizers spell the same bytes, so the running ends of a batch compare across all of its texts
         at_a, at_b = common_ends(np.cumsum(self.spell_a.lengths[a]), np.cumsum(self.spell_b.lengths[b]), n_a, n_b)
-        n_groups = np.diff(np.searchsorted(at_a, np.concatenate([[0], np.cumsum(n_a)])))
-        return a, b, np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1), n_a, n_b, n_groups
+        return a, b, at_a, at_b, n_a, n_b
 
 
 def _merged(a: tuple, b: tuple) -> tuple:
@@ -306,70 +306,118 @@ def _merged(a: tuple, b: tuple) -> tuple:
 
 # ---- Spark --------------------------------------------------------------------------------------
 
-def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values, pa.int32()))
+def _binary(values: np.ndarray, counts: np.ndarray, kind: str) -> pa.Array:
+    """One binary value for each run of ``counts`` values."""
+    raw = values.astype(kind)
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * raw.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw.tobytes())])
 
 
-def _align(a: str, b: str):
+def _bits(places: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """One binary value for each run of ``counts`` bits, of which those at ``places`` are set."""
+    width = (counts + 7) // 8
+    out = np.zeros(8 * int(width.sum()), np.uint8)
+    out[spread(8 * (np.cumsum(width) - width), counts)[places]] = 1
+    return _binary(np.packbits(out), width, "u1")
+
+
+def _places(column: pa.Array, counts: np.ndarray) -> np.ndarray:
+    """The places that ``_bits`` has set."""
+    data, offsets = W.text_bytes(column)
+    return np.flatnonzero(np.unpackbits(data)[spread(8 * offsets[:-1], counts)])
+
+
+def _align(a: str, b: str, kind: str):
     """(doc_id, text) -> ALIGNED."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner.of(a, b)
         for whole in batches:
             for batch in W.slices(whole, 1, SLICE):
-                ids_a, ids_b, sizes_a, sizes_b, n_a, n_b, n_groups = aligner.align(*W.text_bytes(batch.column(1)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), _lists(ids_a, n_a), _lists(ids_b, n_b), _lists(sizes_a, n_groups), _lists(sizes_b, n_groups)],
-                    ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
+                ids_a, ids_b, at_a, at_b, n_a, n_b = aligner.align(*W.text_bytes(batch.column(1)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), _binary(ids_a, n_a, kind), _binary(ids_b, n_b, kind), _bits(at_a, n_a), _bits(at_b, n_b)],
+                                                 ["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"])
 
     return run
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, the ids of A and B, and per group the numbers of A and of B tokens, of every whole text."""
+class Tokenizers:
+    """The two tokenizer files, and what follows from their vocabularies."""
+
+    def __init__(self, path_a: str, path_b: str):
+        from sentencepiece import SentencePieceProcessor
+
+        self.path_a, self.path_b = path_a, path_b
+        self.tokens_a, self.tokens_b = byte_level_tokens(path_a), piece_tokens(SentencePieceProcessor(model_file=path_b))
+        self.n_ids = max(len(self.tokens_a), len(self.tokens_b))
+        self.kind = "<u2" if self.n_ids <= 1 << 16 else "<u4"
+
+
+def align(docs: DataFrame, both: Tokenizers, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``ALIGNED``: the ids of A and B, and which tokens end a group, of every whole text."""
     spark = docs.sparkSession
     ship(spark)
     body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return body.mapInArrow(_align(send(spark, path_a), send(spark, path_b)), ALIGNED)
+    return body.mapInArrow(_align(send(spark, both.path_a), send(spark, both.path_b), both.kind), ALIGNED)
+
+
+def _parts(batch: pa.RecordBatch, kind: str) -> Iterator[tuple[pa.Array, tuple[np.ndarray, ...], tuple[np.ndarray, ...]]]:
+    """Of ALIGNED rows, some at a time: document ids; ids of A and B and group sizes in A and B, one document
+    after the other; numbers of A and B tokens and of groups of each document."""
+    Aligner._open.clear()  # a worker that has encoded before needs the room
+    for part in W.slices(batch, 1, TOKENS * np.dtype(kind).itemsize):
+        ids, counts, ends = [], [], []
+        for k in (1, 2):
+            data, offsets = W.text_bytes(part.column(k))
+            ids.append(np.frombuffer(data, kind).astype(np.int64))
+            counts.append(np.diff(offsets) // np.dtype(kind).itemsize)
+            ends.append(_places(part.column(k + 2), counts[-1]))
+        n_groups = np.diff(np.searchsorted(ends[0], np.concatenate([[0], np.cumsum(counts[0])])))
+        yield part.column(0), (*ids, *(np.diff(e, prepend=-1) for e in ends)), (*counts, n_groups)
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, tuple[np.ndarray, ...], tuple[np.ndarray, ...]]]:
-    """Of ALIGNED rows, about TOKENS tokens at a time: ids, the four flat lists, and the lengths of each."""
-    totals = np.cumsum(np.diff(batch.column(1).offsets.to_numpy()) + np.diff(batch.column(2).offsets.to_numpy()))
-    begin = 0
-    for end in (np.flatnonzero(np.diff(totals // TOKENS, append=-1)) + 1).tolist():
-        part = batch.slice(begin, end - begin)
-        begin = end
-        lists = [part.column(i) for i in range(1, 5)]
-        yield part.column(0), tuple(x.flatten().to_numpy() for x in lists), tuple(np.diff(x.offsets.to_numpy()).astype(np.int64) for x in lists)
+def unpacked(aligned: DataFrame, both: Tokenizers) -> DataFrame:
+    """``doc_id``, the ids of A and B, and per group the numbers of A and of B tokens, as arrays."""
+    kind, names = both.kind, ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, flat, counts in _parts(batch, kind):
+                lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(x, pa.int32()))
+                         for x, n in zip(flat, (*counts, counts[2]), strict=True)]
+                yield pa.RecordBatch.from_arrays([doc_id, *lists], names)
+
+    return aligned.mapInArrow(run, "doc_id long, " + ", ".join(f"{n} array<int>" for n in names[1:]))
 
 
 def _links(flat: tuple[np.ndarray, ...]) -> np.ndarray:
     """The linked id pairs, A's id in the upper half: the last tokens of every group."""
     a, b, sizes_a, sizes_b = flat
-    return a[np.cumsum(sizes_a) - 1].astype(np.int64) << 32 | b[np.cumsum(sizes_b) - 1]
+    return a[np.cumsum(sizes_a) - 1] << 32 | b[np.cumsum(sizes_b) - 1]
 
 
-def _count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_links(kind: str):
     """ALIGNED -> pair, n: partial counts."""
     rows = lambda p, n: pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
-    pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for batch in batches:
-        for _, flat, _ in _parts(batch):
-            own, n = np.unique(_links(flat), return_counts=True)
-            merged, place = np.unique(np.concatenate([pairs, own]), return_inverse=True)
-            counts = np.bincount(place, np.concatenate([counts, n]), len(merged)).astype(np.int64)
-            pairs = merged
-        if len(pairs) > 1_000_000:
-            yield rows(pairs, counts)
-            pairs, counts = pairs[:0], counts[:0]
-    yield rows(pairs, counts)
-
-
-def link_counts(aligned: DataFrame) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            for _, flat, _ in _parts(batch, kind):
+                own, n = np.unique(_links(flat), return_counts=True)
+                pairs, place = np.unique(np.concatenate([pairs, own]), return_inverse=True)
+                counts = np.bincount(place, np.concatenate([counts, n]), len(pairs)).astype(np.int64)
+            if len(pairs) > 1_000_000:
+                yield rows(pairs, counts)
+                pairs, counts = pairs[:0], counts[:0]
+        yield rows(pairs, counts)
+
+    return run
+
+
+def link_counts(aligned: DataFrame, both: Tokenizers) -> DataFrame:
     """``a, b, n``: how often the ids are linked in all documents."""
-    ship(aligned.sparkSession)
-    pairs = aligned.mapInArrow(_count_links, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = aligned.mapInArrow(_count_links(both.kind), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     return pairs.select(F.shiftright("pair", 32).cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("b"), "n")
 
 
@@ -399,15 +447,15 @@ def digit_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(t.ljust(width, b" ") for t in texts), np.uint8).reshape(n, width), np.array([len(t) for t in texts], np.int64)
 
 
-def _digests(shared, n_ids: int):
+def _digests(shared, n_ids: int, kind: str):
     """ALIGNED -> counts of tokens, groups and links, and the digest of the groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = shared.value
         digits = digit_table(n_ids)
         for batch in batches:
-            for doc_id, flat, counts in _parts(batch):
-                n_a, n_b, n_groups, _ = counts
+            for doc_id, flat, counts in _parts(batch, kind):
+                n_a, n_b, n_groups = counts
                 at = np.searchsorted(pairs, _links(flat))
                 cuts = np.concatenate([[0], np.cumsum(n_groups)])
                 per = [np.diff(np.concatenate([[0], np.cumsum(x[at])])[cuts]) for x in (best, n)]
@@ -420,22 +468,18 @@ def _digests(shared, n_ids: int):
     return run
 
 
-def alignment_digests(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def alignment_digests(docs: DataFrame, both: Tokenizers) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every document.
 
     The pair counts that meet in the driver have at most one row for each linkable id pair."""
-    from sentencepiece import SentencePieceProcessor
-
-    spark = docs.sparkSession
-    tokens_a, tokens_b = byte_level_tokens(path_a), piece_tokens(SentencePieceProcessor(model_file=path_b))
-    if linkable(tokens_a, tokens_b) > MOST_PAIRS:
+    if linkable(both.tokens_a, both.tokens_b) > MOST_PAIRS:
         raise ValueError("the vocabularies allow too many id pairs for one table")
-    aligned = pin(align(docs, path_a, path_b), "aligned")
-    counts = link_counts(aligned).toArrow()
+    aligned = pin(align(docs, both), "aligned")
+    counts = link_counts(aligned, both).toArrow()
     a, b, n = (counts.column(c).to_numpy().astype(np.int64) for c in ("a", "b", "n"))
     order = np.argsort(a << 32 | b)
-    highest = np.zeros(len(tokens_b), np.int64)
+    highest = np.zeros(len(both.tokens_b), np.int64)
     np.maximum.at(highest, b, n)
-    shared = spark.sparkContext.broadcast(((a << 32 | b)[order], n[order], (n == highest[b]).astype(np.int64)[order]))
-    return aligned.mapInArrow(_digests(shared, max(len(tokens_a), len(tokens_b))),
+    shared = docs.sparkSession.sparkContext.broadcast(((a << 32 | b)[order], n[order], (n == highest[b]).astype(np.int64)[order]))
+    return aligned.mapInArrow(_digests(shared, both.n_ids, both.kind),
                               "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")

@@ -115,7 +115,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str, vocabularies: tuple[str, st
         import public_tokenizers
 
         vocabularies = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    return alignment.alignment_digests(_table(spark, sf_dir, "documents"), *vocabularies)
+    return alignment.alignment_digests(_table(spark, sf_dir, "documents"), alignment.Tokenizers(*vocabularies))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
