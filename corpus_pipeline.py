@@ -18,7 +18,13 @@ KEEP = 0.7  # the least score of a good document
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go (operator 2)."""
+    """Documents that the quality classifier rejects go (operator 2).
+
+    A null text is scored as an empty one; rows with a null id are scored like others and never learned from; repeated
+    rows score alike, so they stay or go together; without labels of both kinds every score is the share of label 1
+    (0.5 without any), and all documents stay or go by it.  An empty table gives an empty one; columns beyond those of
+    documents are left out.
+    """
     model = gam.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return gam.score(docs.select(COLUMNS), model).where(F.col("score") >= KEEP).select("row.*")
 
@@ -42,7 +48,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the texts (operator 7)."""
+    """Secrets are masked in the texts (operator 7).
+
+    Every row stays: null and empty texts as they are, repeated rows and rows without an id like others.  ``n_chars`` is
+    the length of a masked text; a text without a secret keeps the number it came with, null included.  An empty table
+    gives an empty one; columns beyond those of documents are left out.
+    """
     found = secrets.scan(docs.select(COLUMNS))
     text = secrets.masked(F.col("row.text"), F.col("spans"))
     out = found.select("row.doc_id", text.alias("text"), "row.lang", "row.source", "row.n_chars", F.size("spans").alias("found"))
@@ -51,12 +62,21 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of the sources takes them (operator 4)."""
+    """Documents as often as the mix of the sources takes them (operator 4).
+
+    Null and empty texts have size 0 and are taken like the smallest documents; a null source is a source of its own;
+    repeated rows count one by one, and rows that share an id and a size are ordered by all their columns, so reruns
+    agree.  An empty table gives an empty one; columns beyond those of documents are left out.
+    """
     return mixing.mix(docs.select(COLUMNS))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
-    """``doc_id, ids`` of every document of the mix (operator 8)."""
+    """``doc_id, ids`` of every document of the mix (operator 8).
+
+    Null and empty texts have no ids; a document that the mix takes twice gives two rows; rows with a null id are encoded
+    like others.  An empty table gives an empty one; other columns are left out.
+    """
     if vocabulary is None:
         import public_tokenizers
 
