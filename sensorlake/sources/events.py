@@ -30,7 +30,7 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     many files are already read in parallel)."""
     df = spark.read.parquet(f"{sf_dir}/events.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if len(df.inputFiles()) < cores:
         df = df.repartition(cores)
     return df
 
