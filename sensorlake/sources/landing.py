@@ -100,7 +100,7 @@ def batch_labels(lines: DataFrame, order_cols: list[str], index_col: str = "row_
             .groupBy("batch_no")
             .agg(F.max_by("value", "_at").alias("last_line"),
                  F.count("*").alias("records"))
-            .select("batch_no", batch_label_from_line(F.col("last_line")).alias("batch"), "records"))
+            .select("batch_no", F.when(F.col("last_line").isNotNull(), batch_label_from_line(F.col("last_line"))).alias("batch"), "records"))
 
 
 def raw_line_timestamp(line: str):
