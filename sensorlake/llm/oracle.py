@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorlake.llm import mixing, search, secrets, suffix
+from sensorlake.llm import codes, mixing, search, secrets, suffix
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -92,5 +92,27 @@ FROM d JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)
 """
 
 
+def _round(k: int) -> str:
+    """The assignment to codebook ``k``, and the codebook that follows from it."""
+    return f"""
+a{k} AS MATERIALIZED (SELECT r, part, min(d * {codes.ENTRIES} + entry) % {codes.ENTRIES} AS entry, min(d * {codes.ENTRIES} + entry) // {codes.ENTRIES} AS d
+  FROM (SELECT r, part, entry, CAST(list_sum(list_transform(list_zip(xs, es), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM p JOIN c{k} USING (part)) GROUP BY r, part),
+m{k} AS (SELECT part, entry, list(m ORDER BY i) AS es FROM (SELECT part, entry, i, CAST(floor(sum(xs[i]) / count(*)) AS BIGINT) AS m
+  FROM (SELECT part, entry, xs, unnest(range(1, len(xs) + 1)) AS i FROM a{k} JOIN p USING (r, part)) GROUP BY ALL) GROUP BY ALL),
+c{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m{k}.es, c{k}.es) AS es FROM c{k} LEFT JOIN m{k} USING (part, entry))"""
+
+
+OP12 = f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * {codes.SCALE}) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+n AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, x) - 1 AS r, len(x) // {codes.PARTS} AS w FROM v),
+p AS MATERIALIZED (SELECT r, part, x[part * w + 1:(part + 1) * w] AS xs FROM n, (SELECT unnest(range(0, {codes.PARTS})) AS part)),
+c0 AS MATERIALIZED (SELECT part, r AS entry, xs AS es FROM p WHERE r < {codes.ENTRIES}),{",".join(_round(k) for k in range(codes.ROUNDS + 1))},
+found AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{codes.ROUNDS} GROUP BY r),
+books AS (SELECT sha256(string_agg(array_to_string(es, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{codes.ROUNDS})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM n JOIN found USING (r), books
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_duplicates": OP3, "op4_mixing": OP4, "op7_secrets": OP7, "op9_search": OP9, "op10_repeats": OP10}
+    return {"op3_near_duplicates": OP3, "op4_mixing": OP4, "op7_secrets": OP7, "op9_search": OP9, "op10_repeats": OP10, "op12_codes": OP12}

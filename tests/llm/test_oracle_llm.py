@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     got, want = registry.queries()[name](spark, SF).toPandas(), con.execute(registry.oracle_sql()[name]).df()
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
