@@ -307,6 +307,7 @@ class Encoder(WordEncoder):
     def of(vocabulary: str, lexicon: str) -> Encoder:
         key = (vocabulary, lexicon)
         if key not in Encoder._open:
+            Encoder._open.clear()  # a worker lives on from one lexicon to the next
             Encoder._open[key] = Encoder(Vocabulary(SparkFiles.get(vocabulary)), Lexicon.open(SparkFiles.get(lexicon)))
         return Encoder._open[key]
 
