@@ -44,6 +44,25 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], bounded: bool =
     return big.join(F.broadcast(small) if bounded else small, on, how)
 
 
+# A table of one row per group is broadcast by hand up to so many rows (a few MB), which are counted first.
+FEW_GROUPS = 10_000
+
+
+def join_groups(big: DataFrame, small: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Join a pinned table of one row per group, so that no task gets all rows of a group.
+
+    A join by the group alone would deal a few devices' rows to as many tasks, and the windows and
+    aggregates after it would stay there, as rows dealt by the group are also dealt by group and segment.
+    Few groups are broadcast. Of many, sequenced rows get theirs by segment, a part of a group's rows."""
+    if small.count() <= FEW_GROUPS:
+        return big.join(F.broadcast(small), group_cols)
+    keys = list(group_cols)
+    if _PID in big.columns:
+        keys = [_PID, *keys]
+        small = big.select(*keys).distinct().join(small, group_cols)
+    return big.join(small, keys)
+
+
 def sequence(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None,
              num_partitions: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """ST1: range-partition and sort by ``group_cols + order_cols`` and pin
@@ -152,7 +171,9 @@ def _quantile_names(ps: list[float]) -> list[str]:
 
 # The sketch's accuracy (its rank error is a 1/SKETCH of the rows), and how many errors a bracket's
 # end lies beside the wanted rank.
-SKETCH, BRACKET = 50_000, 4
+SKETCH, BRACKET = 20_000, 4
+# Partial sketches that one task merges: so many, or two for each core, however many partitions the rows have.
+SKETCHES = 32
 
 
 def _bracket_quantiles(df: DataFrame, features: list[str], ps: list[float], group_cols: list[str]) -> DataFrame:
@@ -171,9 +192,11 @@ def _bracket_quantiles(df: DataFrame, features: list[str], ps: list[float], grou
     aggs = []
     for f in features:
         aggs += [F.count(_present(f)).alias(f"_n_{f}"), F.percentile_approx(_present(f), probes, SKETCH).alias(f"_b_{f}")]
-    bounds = df.groupBy(*group_cols).agg(*aggs)
+    partial = max(SKETCHES, 2 * df.sparkSession.sparkContext.defaultParallelism)
+    bounds = df.coalesce(partial).groupBy(*group_cols).agg(*aggs)
     if group_cols:
-        return _group_quantiles(df, bounds, features, ps, group_cols)
+        ensure_checkpoint_dir(df.sparkSession)
+        return _group_quantiles(df, bounds.checkpoint(eager=True), features, ps, group_cols)
     row = bounds.first()
     for widest in (False, True):
         ends = {f: [float("-inf"), float("inf")] * len(ps) if widest else row[f"_b_{f}"] for f in features if row[f"_n_{f}"]}
@@ -187,23 +210,23 @@ def _bracket_quantiles(df: DataFrame, features: list[str], ps: list[float], grou
 
 
 def _group_quantiles(df: DataFrame, bounds: DataFrame, features: list[str], ps: list[float], group_cols: list[str]) -> DataFrame:
-    """The second pass per group; the picks, one row per group, feature and probability, are pinned."""
+    """The second pass per group; the picks, one row per group, feature and probability, and the limits are pinned."""
     names = _quantile_names(ps)
 
     def picks(rows: DataFrame, widest: bool) -> DataFrame:
         low, high = (F.lit(float(x)) for x in ("-inf", "inf"))
         cells = [(f, j, F.col(f"_n_{f}"), low if widest else F.col(f"_b_{f}")[2 * j], high if widest else F.col(f"_b_{f}")[2 * j + 1])
                  for f in features for j in range(len(ps))]
-        return _picked(join_small(rows.select(*group_cols, *features), bounds, group_cols), cells, ps, group_cols)
+        split = [_PID] if _PID in rows.columns else []
+        return _picked(join_groups(rows.select(*split, *group_cols, *features), bounds, group_cols), cells, ps, group_cols)
 
-    ensure_checkpoint_dir(df.sparkSession)
     found = picks(df, False).checkpoint(eager=True)
     missed = found.where("not held").select(*group_cols).distinct()
     if not missed.isEmpty():  # all cells of such a group again
         found = found.join(missed, group_cols, "left_anti").unionByName(picks(df.join(missed, group_cols, "left_semi"), True))
     pivot = found.groupBy(*group_cols).agg(*[F.max(F.when((F.col("feature") == f) & (F.col("j") == j), F.col("q"))).alias(f"{f}_{name}")
                                              for f in features for j, name in enumerate(names)])
-    return bounds.select(*group_cols).join(pivot, group_cols, "left")  # a group without any value has null limits
+    return bounds.select(*group_cols).join(pivot, group_cols, "left").checkpoint(eager=True)  # a group without any value has null limits
 
 
 def _picked(df: DataFrame, cells: list[tuple[str, int, Column, Column, Column]], ps: list[float], group_cols: list[str]) -> DataFrame:
@@ -238,8 +261,7 @@ def clip_outliers(df: DataFrame, limits: DataFrame, features: list[str] = FEATUR
                   group_cols: list[str] | None = None) -> DataFrame:
     """FL6/SF10: values strictly outside [lo, hi] become missing."""
     group_cols = list(group_cols or [])
-    joined = join_small(df, limits, group_cols, bounded=not group_cols)
-    out = joined
+    out = join_groups(df, limits, group_cols) if group_cols else join_small(df, limits, [])
     for f in features:
         x = F.col(f)
         out = out.withColumn(f, F.when((x < F.col(f"{f}_lo")) | (x > F.col(f"{f}_hi")),
@@ -320,12 +342,7 @@ def clean_sequenced(seq: DataFrame, features: list[str] = FEATURES, group_cols:
     order (of each group), and only distances between rows enter the interpolation."""
     group_cols = list(group_cols or [])
     limits = batch_quantiles(seq, features, group_cols=group_cols, exact=exact_quantiles)
-    clipped = join_small(seq, limits, group_cols, bounded=not group_cols)
-    for f in features:
-        x = F.col(f)
-        clipped = clipped.withColumn(f, F.when((x < F.col(f"{f}_lo")) | (x > F.col(f"{f}_hi")),
-                                               F.lit(None).cast("double")).otherwise(x))
-    return interpolate_sequenced(clipped.select(*seq.columns), features, group_cols, keep_index)
+    return interpolate_sequenced(clip_outliers(seq, limits, features, group_cols), features, group_cols, keep_index)
 
 
 def clean_batch(df: DataFrame, order_cols: list[str], features: list[str] = FEATURES,

@@ -1,4 +1,6 @@
 """Distributed row index, clipping and interpolation vs a pandas computation."""
+import re
+
 import numpy as np
 import pytest
 import pandas as pd
@@ -156,3 +158,29 @@ def test_bracketed_quantiles_are_exact(spark, monkeypatch, n, misses):
     for g, got in groups.items():
         got.pop("g")
         same(got, expected([r for r in rows if r[0] == g]))
+
+
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_rows_of_one_device_stay_spread_over_tasks(spark, monkeypatch, few):
+    """Quantiles, clip and fill per device: no task gets all rows of a device, by broadcast or by segment."""
+    from sensorlake.operators import clean as C
+    monkeypatch.setattr(C, "FEW_GROUPS", few)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(4000).select(F.col("id").alias("timestamp"), F.when(F.col("id") % 8 == 0, "b").otherwise("a").alias("device_id"),
+                                      F.col("id").cast("double").alias("x"))
+        out = C.clean_batch(df, ["timestamp"], ["x"], ["device_id"], num_partitions=16)
+        rows, plan = out.collect(), out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    dealt = re.search(r"Window .*?hashpartitioning\((.*?)\)", plan, re.DOTALL).group(1)
+    assert len(rows) == 4000 and "_pid" in dealt, dealt
+    got = pd.DataFrame(rows, columns=out.columns).sort_values("timestamp")
+    for device, own in got.groupby("device_id"):
+        x = pd.Series([float(i) for i in range(4000) if (i % 8 == 0) == (device == "b")])
+        kept = x.where((x >= np.quantile(x, 0.01)) & (x <= np.quantile(x, 0.99)))
+        np.testing.assert_allclose(own["x"].to_numpy(float), kept.interpolate(method="linear").to_numpy())
