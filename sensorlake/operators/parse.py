@@ -26,10 +26,8 @@ def _double(tok):
     return F.when(plain | word, tok.try_cast("double"))
 
 
-def _number(tok):
-    """Token -> DOUBLE; NULL when not a number. NaN counts as a missing value
-    (it is later interpolated), not as a reject."""
-    x = _double(tok)
+def _not_nan(x):
+    """NaN counts as a missing value (it is later interpolated), not as a reject."""
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 
@@ -40,25 +38,25 @@ def parse_lines(lines: DataFrame, line_col: str = "value", keep: list[str] | Non
         c for c in lines.columns if c != line_col and c not in produced]
     toks = lines.select(*keep, F.col(line_col).alias("raw_line"),
                         whitespace_tokens(F.col(line_col)).alias("_tok"))
-    ts = line_timestamp(_tok(0), _tok(1))
-    feats = {f: _number(_tok(3 + i)) for i, f in enumerate(FEATURES)}
-    light_num = _double(_tok(8))
-    bad_number = F.lit(False)
-    for i, f in enumerate(FEATURES):
-        tok = _tok(3 + i)
-        bad_number = bad_number | (_double(tok).isNull())
-    bad_number = bad_number | light_num.isNull()
-    reason = (F.when(F.size("_tok") != 9, F.lit("arity"))
-              .when(ts.isNull(), F.lit("timestamp"))
+    # Every token is converted once, in a projection of its own: with the checks in the same one, the
+    # generated method passes the 8,000 bytes up to which the JVM compiles a method, and every line runs
+    # in its interpreter.
+    typed = toks.select(*keep, "raw_line", F.size("_tok").alias("_size"),
+                        line_timestamp(_tok(0), _tok(1)).alias("timestamp"), _tok(2).alias("device_id"),
+                        *[_double(_tok(3 + i)).alias(f"_{f}") for i, f in enumerate(FEATURES)],
+                        _double(_tok(8)).alias("_light"))
+    bad_number = F.col("_light").isNull()
+    for f in FEATURES:
+        bad_number = bad_number | F.col(f"_{f}").isNull()
+    reason = (F.when(F.col("_size") != 9, F.lit("arity"))
+              .when(F.col("timestamp").isNull(), F.lit("timestamp"))
               .when(bad_number, F.lit("number"))
-              .when(~light_num.isin(*LIGHT_DOMAIN), F.lit("domain"))
-              .when(F.length(_tok(2)) > DEVICE_ID_MAX_LEN, F.lit("length")))
-    return toks.select(
-        *keep, "raw_line",
-        ts.alias("timestamp"),
-        _tok(2).alias("device_id"),
-        *[feats[f].alias(f) for f in FEATURES],
-        F.when(light_num.isin(*LIGHT_DOMAIN), light_num.cast("int")).alias("light"),
+              .when(~F.col("_light").isin(*LIGHT_DOMAIN), F.lit("domain"))
+              .when(F.length("device_id") > DEVICE_ID_MAX_LEN, F.lit("length")))
+    return typed.select(
+        *keep, "raw_line", "timestamp", "device_id",
+        *[_not_nan(F.col(f"_{f}")).alias(f) for f in FEATURES],
+        F.when(F.col("_light").isin(*LIGHT_DOMAIN), F.col("_light").cast("int")).alias("light"),
         reason.alias("reject"),
     )
 

@@ -1,4 +1,6 @@
 """Line parsing and reject accounting (FIXTURES.md section 4)."""
+from pyspark.sql import functions as F
+
 from sensorlake.operators.parse import accepted, parse_lines, reject_counts
 
 from helpers import line, lines_df
@@ -58,3 +60,10 @@ def test_missing_values_survive_a_replay(spark):
     assert " nan 50.0 " in lines.first()["value"]
     r = parse_lines(lines.selectExpr("value", "'' as file_name")).first()
     assert r["reject"] is None and r["co"] is None and r["humidity"] == 50.0
+
+
+def test_generated_code_of_the_parser_is_compiled(spark):
+    """The JVM leaves methods of more than 8,000 bytes to its interpreter: each line then takes several times as long."""
+    lines = spark.range(10).select(F.concat(F.lit("2020-07-20 00:00:00.000000 d 1 2 3 4 5 "), F.col("id") % 2).alias("value"))
+    code = accepted(parse_lines(lines))._jdf.queryExecution().debug().codegenToSeq()
+    assert code.size() and max(code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())) <= 8000
