@@ -212,12 +212,11 @@ def minute_table_sink(spark: SparkSession, lake, landing_path: str, pending_path
         own = Lakehouse(bspark, lake.database)
         own.refresh(MINUTE_TABLE_NAME)
         watermark = own.latest_timestamp(MINUTE_TABLE_NAME)
-        rows = accepted(parse_lines(batch, keep=["file_name"]))
+        rows = pinned(accepted(parse_lines(batch, keep=["file_name"])))  # read for the late rows, the cut, the cleaning and the pending rows
         if late_path:
             late_rows(rows, watermark).write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
         if batch_id > 0:
             rows = bspark.read.parquet(f"{pending_path}/batch={batch_id - 1}").unionByName(rows)
-        rows = pinned(rows)  # read for the cut, the cleaning and the pending rows
         complete = after_watermark(full_periods(rows, "minute"), watermark)
         if clean:
             complete = clean_batch(complete, ORDER_COLS, FEATURES, group_cols)

@@ -114,3 +114,20 @@ def test_late_rows_are_counted_per_micro_batch(spark, scratch):
         minute_table_sink(spark, lake, landing, pending, ckpt, clean=False, late_path=late).awaitTermination()
     got = sorted(tuple(r) for r in late_row_counts(spark, late).collect())
     assert got == [(1, devices[0], 2), (2, devices[1], 1)]
+
+
+def test_a_micro_batch_is_parsed_once(spark, scratch, monkeypatch):
+    """The late rows are counted on the pinned rows, not on the lines once more."""
+    from sensorlake.operators import quality
+    plans, late = [], quality.late_rows
+
+    def spy(rows, watermark, *args):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return late(rows, watermark, *args)
+
+    monkeypatch.setattr(quality, "late_rows", spy)
+    lake = Lakehouse(spark, "t_parse_once")
+    lake.drop_all()
+    paths = [os.path.join(scratch, k) for k in ("pending", "ckpt", "late")]
+    minute_table_sink(spark, lake, os.path.join(FIXTURES, "landing"), *paths[:2], clean=False, late_path=paths[2]).awaitTermination()
+    assert plans and not any("split(" in p for p in plans), plans
