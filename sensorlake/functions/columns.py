@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sensorlake.schemas import LANDING_NAME_FORMAT, RAW_TIME_FORMAT
 
 __all__ = [
-    "whitespace_tokens", "line_timestamp", "file_name_timestamp",
+    "whitespace_tokens", "line_timestamp", "file_name_timestamp", "label_timestamp",
     "file_stem", "floor_minute", "floor_hour", "epoch_to_timestamp",
     "timestamp_text", "safe_ratio",
     "percent_of", "batch_label_from_line", "float_text",
@@ -37,7 +37,7 @@ def line_timestamp(date_tok: Column, time_tok: Column) -> Column:
 
 def file_stem(path: Column) -> Column:
     """Last path component without a trailing '.txt'."""
-    return F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), r"\.txt$", "")
+    return F.regexp_replace(F.substring_index(path, "/", -1), r"\.txt$", "")
 
 
 def file_name_timestamp(path: Column) -> Column:
@@ -46,8 +46,15 @@ def file_name_timestamp(path: Column) -> Column:
     Names are ``yyyy-MM-dd_HH_mm_ss.SSSSSS.txt``; the colon spelling
     ``yyyy-MM-dd_HH:mm:ss.SSSSSS`` is accepted too. NULL when malformed.
     """
-    stem = F.regexp_replace(file_stem(path), ":", "_")
-    return F.try_to_timestamp(stem, F.lit(LANDING_NAME_FORMAT)).cast("timestamp_ntz")
+    return label_timestamp(F.translate(file_stem(path), ":", "_"))
+
+
+def label_timestamp(label: Column) -> Column:
+    """Batch label -> TIMESTAMP_NTZ, NULL when malformed.
+
+    Other texts (``part-00000-...``) are not tried: a failed parse throws and catches an exception, and
+    this runs for every line of a file."""
+    return F.when(label.rlike("^[0-9+_.-]+$"), F.try_to_timestamp(label, F.lit(LANDING_NAME_FORMAT))).cast("timestamp_ntz")
 
 
 def floor_minute(ts: Column) -> Column:

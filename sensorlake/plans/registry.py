@@ -294,12 +294,13 @@ def q_hour_stream(spark, sf_dir):
 
 
 # --- the deployed jobs, on catalog tables of a database of their own ---------------------
-def _thirds(spark, sf_dir):
+def _thirds(spark, sf_dir, indexed=None):
     """The landing lines in three parts by time, each staged as landing files: (path, stage next part)."""
     from sensorlake.sources.landing import write_landing
     from sensorlake.streaming.streams import scratch_path
 
-    indexed = row_index(lines(spark, sf_dir), ["timestamp", "event_id"])
+    if indexed is None:
+        indexed = row_index(lines(spark, sf_dir), ["timestamp", "event_id"])
     span = indexed.agg(F.max("row_idx").alias("n")).first()["n"] or 0
     path = scratch_path(spark, "landing")
 
@@ -442,10 +443,10 @@ def q_file_ledger(spark, sf_dir):
     from sensorlake.plans.jobs import run_minute
     from sensorlake.sources.landing import write_landing
 
-    lake, stage = _job_lake(spark), _thirds(spark, sf_dir)
+    again = row_index(lines(spark, sf_dir), ["timestamp", "event_id"])
+    lake, stage = _job_lake(spark), _thirds(spark, sf_dir, again)
     for part in range(3):
         path = stage(part)
-        again = row_index(lines(spark, sf_dir), ["timestamp", "event_id"])
         if part == 1:
             again.where("row_idx <= 3").select("value").coalesce(1).write.mode("append").text(f"{path}/day=none/batch=unnamed")
         if part == 2:

@@ -14,15 +14,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorlake.functions.columns import (batch_label_from_line, epoch_to_timestamp, file_name_timestamp, float_text,
-                                          line_timestamp, timestamp_text, whitespace_tokens)
+                                          label_timestamp, line_timestamp, timestamp_text, whitespace_tokens)
 from sensorlake.schemas import FEATURES, HISTORY_CSV, LANDING_FILE_RECORDS, LANDING_NAME_FORMAT, RAW_LINE
 
 
 def _file_time():
-    """Landing time of a file: its name, else its ``batch=`` directory."""
+    """Landing time of a file: its name, else its ``batch=`` directory. It is worked out for every line, so
+    the path is cut at its slashes; a regular expression tries every place of a long path."""
     path = F.col("file_path")
-    from_dir = F.try_to_timestamp(F.regexp_extract(path, r"batch=([^/]+)/[^/]*$", 1),
-                                  F.lit(LANDING_NAME_FORMAT)).cast("timestamp_ntz")
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    from_dir = label_timestamp(F.when(F.contains(folder, F.lit("batch=")), F.regexp_replace(folder, "^.*?batch=", "")))
     return F.coalesce(file_name_timestamp(path), from_dir)
 
 
@@ -120,9 +121,11 @@ def write_landing(lines: DataFrame, path: str, index_col: str = "row_idx",
     With ``load`` the folders are ``day=<date>/load=<load>/batch=<label>``, and
     what the same load has written there before is replaced.
 
-    One shuffle: a batch's rows meet in a task, which also labels them."""
+    One shuffle: a batch's rows meet in a task, which also labels them. Its partitions are not joined to fewer
+    by their bytes: the time goes into the files, and short batches would all be written by one task."""
     batch = F.floor((F.col(index_col) - 1) / batch_size)
     rows = lines.select("value", index_col, batch.alias("batch_no"), raw_line_timestamp("value").alias("_ts"))
+    rows = rows.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "batch_no")
     own = Window.partitionBy("batch_no")
     last = F.max_by("_ts", F.when(F.col("_ts").isNotNull(), F.col(index_col))).over(own)
     out = (rows.withColumn("_last", last)

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from sensorlake.plans.jobs import load_history
-from sensorlake.sources.landing import read_landing
+from sensorlake.sources.landing import read_landing, write_landing
 from sensorlake.streaming.streams import landing_sink, landing_stream
 
 
@@ -96,3 +96,25 @@ def test_a_replayed_micro_batch_writes_nothing_twice(spark, scratch):
     landing_batch_sink(landing_stream(spark, src), out, pending, ckpt, records_per_file=100).awaitTermination()
     got = [r["value"] for r in read_landing(spark, out).select("value").collect()]
     assert sorted(got) == lines[:200] and sorted(_line_counts(out).values()) == [100, 100]
+
+
+def test_short_batches_are_written_by_many_tasks(spark, scratch):
+    """The time of a write goes into its files, however few bytes they hold."""
+    path = os.path.join(scratch, "short")
+    rows = spark.range(1, 41).select((F.col("id") * 10).alias("row_idx"), F.concat(F.date_format(F.timestamp_seconds(F.col("id") + 1595116800), "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" d 1 2 3 4 5 1")).alias("value"))
+    write_landing(rows, path, batch_size=10)
+    files = [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
+    assert len(files) == 40 and len({f.split("-")[1] for f in files}) > 1
+
+
+def test_file_time_of_odd_paths(spark):
+    """Only texts that can be a label are tried, and the path is cut without a regular expression."""
+    from sensorlake.sources.landing import _file_time
+    good, at = "2020-07-20_00_03_37.264313", "2020-07-20 00:03:37.264313"
+    cases = {f"file:/a/{good}.txt": at, "file:/a/2020-07-20_00:03:37.264313.txt": at, f"file:/a/day=2020-07-20/batch={good}/part-00000-x.c000.txt": at,
+             f"file:/a/xbatch={good}/part-0.txt": at, f"file:/batch={good}/b/part-0.txt": None, "file:/a/batch=/part-0.txt": None, "file:/a/batch=none-3/part-0.txt": None,
+             "file:/a/2020-99-20_00_03_37.264313.txt": None, "file:/a/-.txt": None, "file:/a/x y.txt": None, f"file:/a/{good}/b.txt": None}
+    out = spark.createDataFrame([(p,) for p in cases], "file_path string").select("file_path", _file_time().alias("t"))
+    assert {r["file_path"]: r["t"] and str(r["t"]) for r in out.collect()} == cases
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan and "RLIKE" in plan.upper()
