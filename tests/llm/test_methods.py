@@ -289,6 +289,61 @@ def test_blocks_are_skipped_without_loss(spark, monkeypatch):
     assert shard.scored < 0.8 * total
 
 
+def test_queries_meet_shards_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_BYTES", 8 << 10)
+    monkeypatch.setattr(search, "GROUP_TERMS", 2000)
+    rng = random.Random(10)
+    docs = [(i, " ".join(f"w{int(rng.paretovariate(0.5)) % 700}" for _ in range(rng.randint(1, 80)))) for i in range(500)]
+    docs += docs[:20] + [(1000 + i, docs[40][1]) for i in range(30)]  # repeated rows, and ties for the last ranks
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    index = search.Index.build(table)
+    assert index.count > 8
+    found = index.search(table.where("doc_id % 10 = 0"), k=7)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[plan.index("CartesianProduct"):]  # queries x shards come to no disk
+    got = {q: [(r.doc_id, r.score) for r in sorted(own, key=lambda r: r["rank"])] for q, own in brute.by(found.collect(), "query_id").items()}
+    assert got == brute.bm25(docs, {i: t for i, t in docs if i % 10 == 0}, k=7)
+
+
+def test_groups_hold_every_query_once(monkeypatch):
+    monkeypatch.setattr(search, "GROUP_TERMS", 1000)
+    rng = np.random.default_rng(11)
+    lengths = [1] * 40 + [1500, 10, 30, 2500, 900, 900] + rng.integers(1, 200, 50).tolist()
+    idf = rng.uniform(0, 12, 5000)
+    asked = {i: np.sort(rng.choice(5000, n, replace=False)) for i, n in enumerate(lengths)}
+    kind = pa.list_(pa.struct([("term", pa.int64()), ("idf", pa.float64())]))
+    rows = [pa.RecordBatch.from_arrays([pa.array([i for i, _ in some], pa.int64()), pa.array([[{"term": t - 2500, "idf": idf[t]} for t in own.tolist()] for _, own in some], kind)],
+                                       ["query_id", "words"]) for some in (list(asked.items())[:45], list(asked.items())[45:], [])]
+    seen = {}
+    for group in search._groups(iter(rows)):
+        queries, starts, places, words, weights = (np.frombuffer(c[0].as_buffer(), t) for c, t in zip(group.columns, ("<i8", "<i4", "<i4", "<u8", "<f8"), strict=True))
+        assert len(queries) == 1 or len(places) + search.QUERY_TERMS * len(queries) <= 1000
+        assert (np.diff(words.astype(object)) > 0).all()
+        for q, a, b in zip(queries.tolist(), starts[:-1], starts[1:], strict=True):
+            assert q not in seen
+            seen[q] = sorted(zip(words[places[a:b]].view(np.int64).tolist(), weights[places[a:b]].tolist(), strict=True))
+    assert seen == {i: [(t - 2500, idf[t]) for t in own.tolist()] for i, own in asked.items()}
+
+
+def test_one_pass_over_the_lists_equals_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    docs = [(i, " ".join(f"w{int(rng.paretovariate(0.4)) % 900}" for _ in range(rng.randint(1, 60)))) for i in range(1500)]
+    docs += docs[:50] + [(3000 + i, docs[60][1]) for i in range(40)]
+    index = search.Index.build(spark.createDataFrame(docs, "doc_id long, text string"))
+    row, frequency = index.shards.collect()[0].asDict(), {r.term: r.documents for r in index.frequencies.collect()}
+    answers = []
+    for dense in (0, np.inf):
+        monkeypatch.setattr(search, "DENSE", dense)
+        shard = search.Shard(row, index.mean_length)
+        queries = []
+        for i, text in [docs[j] for j in (0, 3, 60, 61, 700, 1400)] + [(-1, "w1 w2 nothing"), (-2, "")]:
+            _, terms, _, _ = search.term_counts(*W.text_bytes(pa.array([text])))
+            df = np.array([frequency.get(t, 1) for t in terms.view(np.int64).tolist()], float)
+            queries.append((i, terms, np.log1p((len(docs) - df + 0.5) / (df + 0.5))))
+        answers.append([list(zip(ids.tolist(), scores.tolist(), strict=True)) for ids, scores in shard.top(queries, 10)])
+    assert answers[0] == answers[1] and [len(x) for x in answers[0]] == [10] * 7 + [0]
+
+
 # ---- suffix arrays ------------------------------------------------------------------------------------
 
 @given(st.lists(st.binary(min_size=1, max_size=30).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=8, unique=True))
